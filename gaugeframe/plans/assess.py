@@ -1,0 +1,54 @@
+"""Fit a classifier on a prepared table, score its test rows, and collect the results."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gaugeframe.operators import metrics, model, roc, split, training, verdict
+from gaugeframe.plans.prepare import KEY, Prepared
+
+
+def train_and_test(
+    prepared: Prepared,
+    kind: str = "mlp",
+    hidden: Sequence[int] = model.HIDDEN,
+    max_iter: int = 100,
+    seed: int = 42,
+) -> tuple[PipelineModel, DataFrame]:
+    """The fitted model and the scored test rows."""
+    train = prepared.df.where(F.col("split") == "train")
+    test = prepared.df.where(F.col("split") == "test")
+    fitted = model.fit_classifier(
+        train, prepared.features, "label", kind, hidden, max_iter, seed=seed)
+    return fitted, model.predict(fitted, test)
+
+
+def evaluate(scored: DataFrame, model_id: str = "model") -> DataFrame:
+    """Metrics of scored rows; the AUC of more than two classes is one-vs-rest."""
+    named = scored.withColumn("model_id", F.lit(model_id))
+    out = metrics.classification_metrics(named, "label", "prediction", ["model_id"])
+    if "probability" not in scored.columns:
+        return out
+    area = roc.macro_auc(roc.roc_curve_ovr(scored, "label", "probability")).scalar()
+    return out.withColumn("roc_auc", F.coalesce("roc_auc", area))
+
+
+def cross_validation(
+    prepared: Prepared, k: int = 5, kind: str = "mlp", seed: int = 42, **options
+) -> tuple[DataFrame, DataFrame]:
+    """(per-fold metrics, their summary) over the training and validation rows."""
+    rows = split.train_full(prepared.df)
+    folds = model.cross_validate(
+        split.kfold_assign(rows, k, seed, KEY), prepared.features, "label",
+        kind=kind, seed=seed, **options)
+    return folds, training.cv_summary(folds)
+
+
+def report(scored: DataFrame, cv: DataFrame, model_id: str = "model") -> DataFrame:
+    """One scorecard row, the input of ``write_metrics``."""
+    return verdict.scorecard(evaluate(scored, model_id),
+                             cv.withColumn("model_id", F.lit(model_id)))

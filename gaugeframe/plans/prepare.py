@@ -1,0 +1,110 @@
+"""From raw rows to model-ready features, labels and splits."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gaugeframe.functions.columns import canonical, ref
+from gaugeframe.functions.hashrank import row_identity
+from gaugeframe.operators import clean, encode, split
+from gaugeframe.sources.scratch import materialize
+from gaugeframe.sources.tables import column_roles
+
+KEY = "__gf_row"
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """Features, ``label``, ``split`` and the row id in one table, with what was learned."""
+
+    df: DataFrame
+    features: list[str]
+    classes: list[str] | None
+    missing: clean.MissingFit
+    caps: dict[str, tuple[float, float]]
+    encoding: encode.EncodingFit
+    scale: dict[str, tuple[float, float]]
+
+
+def prepare(
+    df: DataFrame,
+    target: str,
+    fit_on: str = "all",
+    test: float = 0.15,
+    val: float = 0.15,
+    seed: int = 42,
+    key: str | Sequence[str] | None = None,
+    exclude: Sequence[str] = (),
+    impute_target: bool = True,
+    skip_zero_iqr: bool = False,
+    exact: bool = True,
+) -> Prepared:
+    """Fill gaps, drop duplicates, cap outliers, encode, scale, index the target, split.
+
+    ``fit_on="all"`` learns every parameter from all rows; ``"train"`` splits first and
+    learns from the training rows only, which keeps test rows out of the parameters.
+    ``exclude`` names columns (such as ids) to keep out of the features; ``key`` is a unique
+    id for the split, by default the whole deduplicated row.
+    """
+    if fit_on not in ("all", "train"):
+        raise ValueError("fit_on must be 'all' or 'train'")
+    roles = column_roles(df, target)
+    unusable = [c for c in roles.other if c not in exclude]
+    unusable = [c for c in unusable if df.schema[c].dataType.typeName() != "boolean"]
+    if unusable:
+        raise TypeError(f"columns {unusable} are neither numbers nor text: drop or convert them")
+    if key is not None:
+        named = [key] if isinstance(key, str) else list(key)
+        lost = [c for c in named if c not in df.columns]
+        if lost:
+            raise ValueError(f"key columns {lost} are not in the table")
+
+    df = canonical(df)
+    if fit_on == "all":
+        missing = clean.fit_missing(df, target, impute_target, exact=exact)
+        rows = clean.drop_duplicates(clean.apply_missing(df, missing))
+    else:
+        mode = clean.MissingFit(modes=clean.fit_modes(df, [target])) if impute_target else None
+        rows = clean.drop_duplicates(clean.apply_missing(df, mode) if mode else df)
+    if not impute_target:
+        rows = rows.where(ref(target).isNotNull())
+    # The one wide write: later passes scan it column by column. The split key is stored with
+    # it, because capping may make rows equal that were distinct.
+    rows = materialize(rows.withColumn(KEY, row_identity(rows, key)), "clean-rows")
+
+    classes = encode.fit_target(rows, target)
+    rows = encode.apply_target(rows, target, classes, "label")
+    rows = split.stratified_split(rows, "label", test, val, seed, KEY)
+
+    def learn(table: DataFrame) -> DataFrame:
+        return table if fit_on == "all" else table.where(F.col("split") == "train")
+
+    plain = [KEY, "label", "split", target, *exclude]
+    if fit_on == "train":
+        inputs = [c for c in rows.columns if c not in (KEY, "label", "split", target)]
+        # Rows outside training may have gaps that training rows do not show.
+        missing = clean.fit_missing(
+            learn(rows).select(*[ref(c) for c in inputs]), exact=exact, every_column=True)
+        rows = clean.apply_missing(rows, missing)
+
+    numeric = [c for c in column_roles(rows).numeric if c not in plain]
+    caps = clean.fit_caps(learn(rows), numeric, skip_zero_iqr=skip_zero_iqr, exact=exact)
+    rows = clean.apply_caps(rows, caps)
+
+    text = [c for c in column_roles(rows).categorical if c not in plain]
+    encoding = encode.fit_encoding(learn(rows), text)
+    rows = encode.apply_encoding(rows, encoding)
+    if fit_on == "train":
+        # A value never seen in training has no share.
+        rows = rows.fillna(0.0, list(encoding.shares)) if encoding.shares else rows
+
+    numeric = [c for c in column_roles(rows).numeric if c not in plain]
+    scale = encode.fit_scale(learn(rows), numeric)
+    rows = encode.apply_scale(rows, scale)
+    features = [c for c in rows.columns if c not in plain]
+    out = rows.select(*[ref(c) for c in features], *[ref(c) for c in exclude], "label", "split", KEY)
+    return Prepared(out, features, classes, missing, caps, encoding, scale)
