@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def ref(name: str) -> Column:
@@ -36,6 +38,8 @@ def canonical(df: DataFrame) -> DataFrame:
 
 def doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Only ``cols``, as doubles with NaN as NULL. Prunes the scan to those columns."""
+    if not cols:
+        raise ValueError("no columns to summarise")
     types = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for name in cols:
@@ -57,12 +61,18 @@ def iqr_cap(col: Column, lo: float, hi: float) -> Column:
 
 def tall(wide: DataFrame, rows: Sequence[dict[str, Column]]) -> DataFrame:
     """Reshape a one-row aggregate into one output row per dict, without a shuffle."""
-    if not rows:
-        raise ValueError("no columns to summarise")
     structs = [F.struct(*[c.alias(k) for k, c in row.items()]) for row in rows]
     return wide.select(F.inline(F.array(*structs)))
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few fitted values as a local relation: no job, and a size the planner knows."""
+    fields = to_arrow_schema(T.StructType.fromDDL(schema))
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return spark.createDataFrame(
+        pa.table([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=fields))
+
+
 def chunks(items: Sequence, size: int):
     for start in range(0, len(items), size):
         yield items[start : start + size]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gaugeframe.functions.columns import ref
+from gaugeframe.functions.columns import ref, small_table
 
 KEY, GROUP = "__gf_key", "__gf_group"
 DIGITS = 3
@@ -60,7 +60,7 @@ def cutoffs(
     depth = 0
     while max(row[4] for row in state) > rankable_rows and depth < 30:
         counts = (
-            _inside(keys, spark.createDataFrame(state, schema), depth)
+            _inside(keys, small_table(spark, state, schema), depth)
             .withColumn("bucket", F.substring(F.col(KEY), 1, depth + DIGITS))
             .groupBy("grp", "slot", "rank", "bucket")
             .agg(F.count("*").alias("n"))
@@ -77,7 +77,7 @@ def cutoffs(
 
     w = W.partitionBy("grp", "slot").orderBy(KEY)
     found = (
-        _inside(keys, spark.createDataFrame(state, schema), depth)
+        _inside(keys, small_table(spark, state, schema), depth)
         .select("grp", "slot", "rank", KEY, F.row_number().over(w).alias("at"),
                 F.lead(KEY).over(w).alias("next"))
         .where(F.col("at") == F.col("rank"))

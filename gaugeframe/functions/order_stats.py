@@ -114,6 +114,8 @@ def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], countable: int = COUNTABLE
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of each column over its non-null values."""
+    # A bracket keeps a few values beside the wanted ones, so fewer cannot be reached.
+    countable = max(countable, 8)
     nums = doubles(df, cols)
     result: dict[str, dict[float, float | None]] = {c: dict.fromkeys(probs) for c in cols}
     totals: dict[str, int] = {}

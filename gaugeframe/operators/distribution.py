@@ -5,59 +5,104 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeframe.functions.columns import chunks, doubles, ref, tall
+from gaugeframe.functions.columns import chunks, doubles, ref, small_table, tall
 from gaugeframe.functions.order_stats import quantiles
-from gaugeframe.operators.profile import AGGS_PER_JOB, FENCE
+from gaugeframe.operators.profile import FENCE
 from gaugeframe.sources.tables import column_roles
 
 SNAP = 1e-12
+UNSURE = 1e-8
+PAIRS_PER_JOB = 50
+BIN_SCHEMA = "column_name string, bin int, bin_start double, bin_end double"
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every ordered pair over the rows where both are present.
 
-    Each unordered pair is aggregated once and mirrored. NULL when either side is constant
-    or empty. Values within 1e-12 of +-1 are set to +-1, so that the order in which
-    partial sums arrive cannot decide whether a pair counts as perfect.
+    One pass sizes the columns, a second sums all products of the standardised values, their
+    squares and the presence of each column with gaps; every pair follows from those sums.
+    NULL when either side is constant or empty. Values within 1e-12 of +-1 are set to +-1, so
+    that the order in which partial sums arrive cannot decide whether a pair is perfect.
     """
     cols = list(cols) if cols is not None else column_roles(df).numeric
     nums = doubles(df, cols)
-    count = nums.agg(*[(F.count("*") - F.count(ref(c))).alias(f"m{i}")
-                       for i, c in enumerate(cols)]).first()
-    # Conditional moments are needed only against a column that has nulls.
-    holes = [count[f"m{i}"] > 0 for i in range(len(cols))]
-
-    def side(i: int, j: int):
-        x = ref(cols[i])
-        return F.when(ref(cols[j]).isNotNull(), x) if holes[j] and i != j else x
-
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1)]
-    parts = []
-    for part in chunks(pairs, AGGS_PER_JOB // 3):
-        aggs, rows = [], []
+    row = nums.agg(F.count("*").alias("n"), *[e for i, c in enumerate(cols) for e in (
+        F.count(ref(c)).alias(f"n{i}"), F.avg(ref(c)).alias(f"m{i}"),
+        F.stddev_pop(ref(c)).alias(f"s{i}"))]).first()
+    live = [i for i in range(len(cols)) if row[f"s{i}"]]
+    holes = [i for i in live if row[f"n{i}"] < row["n"]]
+    found = {(i, i): 1.0 for i in live}
+    if len(live) > 1:
+        z = {i: F.coalesce((ref(cols[i]) - row[f"m{i}"]) / row[f"s{i}"], F.lit(0.0))
+             for i in live}
+        parts = [z[i] for i in live] + [z[i] * z[i] for i in live] + [F.lit(1.0)]
+        parts += [ref(cols[i]).isNotNull().cast("double") for i in holes]
+        sums = _product_sums(nums, parts)
+        place = {i: k for k, i in enumerate(live)}
+        width = len(live)
+        present = {i: 2 * width + 1 + holes.index(i) if i in holes else 2 * width for i in live}
+        unsure = []
+        for a, i in enumerate(live):
+            for j in live[:a]:
+                n = sums[present[i], present[j]]
+                if n == 0:
+                    continue
+                mean = sums[place[i], present[j]] / n, sums[place[j], present[i]] / n
+                square = (sums[width + place[i], present[j]] / n,
+                          sums[width + place[j], present[i]] / n)
+                var = square[0] - mean[0] ** 2, square[1] - mean[1] ** 2
+                if min(var[0] / (square[0] or 1.0), var[1] / (square[1] or 1.0)) < UNSURE:
+                    unsure.append((i, j))
+                    continue
+                cov = sums[place[i], place[j]] / n - mean[0] * mean[1]
+                found[i, j] = float(cov / math.sqrt(var[0] * var[1]))
+        found |= _pairs_directly(nums, cols, unsure)
+    rows = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            r = found.get((i, j), found.get((j, i)))
+            if r is not None and abs(r) > 1 - SNAP:
+                r = math.copysign(1.0, r)
+            rows.append((a, b, r, i, j))
+    return small_table(
+        df.sparkSession, rows, "a string, b string, corr double, pos_a int, pos_b int")
+
+
+def _product_sums(nums: DataFrame, parts: Sequence[Column]) -> np.ndarray:
+    """Sums of all pairwise products of the given columns, by a distributed tree aggregate."""
+    names = [f"p{i}" for i in range(len(parts))]
+    wide = nums.select(*[c.alias(n) for c, n in zip(parts, names)])
+    vectors = VectorAssembler(inputCols=names, outputCol="v").transform(wide).select("v")
+    return RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")
+                     ).computeGramianMatrix().toArray()
+
+
+def _pairs_directly(
+    nums: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[int, int]]
+) -> dict[tuple[int, int], float | None]:
+    """Pairs whose common rows hardly vary, where differences of sums would cancel."""
+    found = {}
+    for part in chunks(list(pairs), PAIRS_PER_JOB):
+        aggs = []
         for k, (i, j) in enumerate(part):
-            if i == j:
-                sd = F.stddev_pop(ref(cols[i]))
-                r = F.when(sd > 0, F.lit(1.0))
-                aggs.append(r.alias(f"r{k}"))
-            else:
-                a, b = side(i, j), side(j, i)
-                r = F.try_divide(F.try_divide(F.covar_pop(ref(cols[i]), ref(cols[j])),
-                                              F.stddev_pop(a)), F.stddev_pop(b))
-                r = F.when(F.abs(r) > 1 - SNAP, F.signum(r)).otherwise(r)
-                aggs.append(r.alias(f"r{k}"))
-            for left, right in {(i, j), (j, i)}:
-                rows.append({"a": F.lit(cols[left]), "b": F.lit(cols[right]),
-                             "corr": F.col(f"r{k}"),
-                             "pos_a": F.lit(left), "pos_b": F.lit(right)})
-        parts.append(tall(nums.agg(*aggs), rows))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            x, y = ref(cols[i]), ref(cols[j])
+            aggs += [
+                F.covar_pop(x, y).alias(f"c{k}"),
+                F.stddev_pop(F.when(y.isNotNull(), x)).alias(f"x{k}"),
+                F.stddev_pop(F.when(x.isNotNull(), y)).alias(f"y{k}"),
+            ]
+        row = nums.agg(*aggs).first()
+        for k, pair in enumerate(part):
+            spread = (row[f"x{k}"] or 0.0) * (row[f"y{k}"] or 0.0)
+            found[pair] = row[f"c{k}"] / spread if spread else None
+    return found
 
 
 def top_correlations(corr: DataFrame, k: int = 20, symmetric: bool = True) -> DataFrame:
@@ -99,12 +144,12 @@ def histogram(df: DataFrame, cols: Sequence[str] | None = None, bins: int = 30)
     cols = list(cols) if cols is not None else column_roles(df).numeric
     ranges = {c: r for c, r in _ranges(df, cols).items() if r is not None}
     if not ranges:
-        return df.sparkSession.createDataFrame(
-            [], "column_name string, bin int, bin_start double, bin_end double, count bigint")
+        return small_table(df.sparkSession, [], f"{BIN_SCHEMA}, count bigint")
     binned = []
     for c, (lo, hi) in ranges.items():
         at = F.floor((ref(c) - lo) / F.lit(hi - lo) * bins).cast("int") + 1
-        binned.append(F.least(at, F.lit(bins)).alias(c))
+        # ``least`` skips nulls, so a missing value must be kept out of the last bin.
+        binned.append(F.when(at.isNotNull(), F.least(at, F.lit(bins))).alias(c))
     counts = (
         doubles(df, list(ranges)).select(*binned)
         .unpivot([], [ref(c) for c in ranges], "column_name", "bin")
@@ -112,10 +157,11 @@ def histogram(df: DataFrame, cols: Sequence[str] | None = None, bins: int = 30)
         .groupBy("column_name", "bin")
         .agg(F.count("*").alias("n"))
     )
-    grid = df.sparkSession.createDataFrame(
+    grid = small_table(
+        df.sparkSession,
         [(c, b + 1, lo + (hi - lo) * b / bins, lo + (hi - lo) * (b + 1) / bins)
          for c, (lo, hi) in ranges.items() for b in range(bins)],
-        "column_name string, bin int, bin_start double, bin_end double",
+        BIN_SCHEMA,
     )
     return grid.join(counts, ["column_name", "bin"], "left").select(
         "column_name", "bin", "bin_start", "bin_end",
@@ -134,7 +180,7 @@ def density(df: DataFrame, col: str, points: int = 200, cut: float = 3.0) -> Dat
     stat = nums.agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"),
                     F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     if not stat["n"] or not stat["sd"]:
-        return df.sparkSession.createDataFrame([], "point int, x double, density double")
+        return small_table(df.sparkSession, [], "point int, x double, density double")
     n, width = stat["n"], stat["sd"] * stat["n"] ** -0.2
     lo, hi = stat["lo"] - cut * width, stat["hi"] + cut * width
     step = (hi - lo) / (points - 1)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeframe.functions.columns import canonical, chunks, ref
+from gaugeframe.functions.columns import canonical, chunks, ref, small_table
 from gaugeframe.operators import profile
 from gaugeframe.sources.scratch import materialize
 from gaugeframe.sources.tables import column_roles
@@ -45,7 +45,7 @@ def fit_encoding(
     """Count the values of all columns in one scan and route each column by its cardinality."""
     if not cols:
         return EncodingFit()
-    levels = materialize(profile.level_counts(df, cols), "levels")
+    levels = materialize(profile.level_counts(df, cols), "levels", ["column_name"])
     sizes = {
         r["column_name"]: r
         for r in levels.groupBy("column_name")
@@ -150,7 +150,7 @@ def encode_frequency(
     df: DataFrame, cols: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Replace a value by its share among the column's non-null rows; null stays null."""
-    levels = materialize(profile.level_counts(df, cols), "levels")
+    levels = materialize(profile.level_counts(df, cols), "levels", ["column_name"])
     sizes = levels.groupBy("column_name").agg(
         F.sum("n").alias("total"), F.sum(F.octet_length("value") + 32).alias("bytes")).collect()
     shares = {r["column_name"]: _shares(levels, r["column_name"], r, broadcast_bytes)
@@ -211,8 +211,8 @@ def apply_target(
     """Add the class index; a numeric target passes through."""
     if classes is None:
         return df.withColumn(label, ref(target))
-    mapping = df.sparkSession.createDataFrame(
-        list(enumerate(classes)), f"`{label}` int, __gf_class string")
+    mapping = small_table(
+        df.sparkSession, list(enumerate(classes)), f"`{label}` int, __gf_class string")
     return df.join(
         F.broadcast(mapping), ref(target).cast("string") == F.col("__gf_class"), "left"
     ).select(*[ref(c) for c in df.columns], ref(label))
@@ -229,8 +229,8 @@ def decode_label(
     """Class index back to class name; an unknown index becomes null."""
     if len(classes) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes")
-    mapping = df.sparkSession.createDataFrame(
-        list(enumerate(classes)), f"__gf_index int, `{out}` string")
+    mapping = small_table(
+        df.sparkSession, list(enumerate(classes)), f"__gf_index int, `{out}` string")
     return df.join(
         F.broadcast(mapping), ref(index).cast("int") == F.col("__gf_index"), "left"
     ).drop("__gf_index")

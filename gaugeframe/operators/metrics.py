@@ -81,8 +81,9 @@ def confusion_matrix(
 ) -> DataFrame:
     """(t, p, n) over the sorted union of true and predicted labels, zeros included."""
     cells = _outcome_counts(df, label, prediction)
-    # The zero cells come from the label list itself: one array, expanded on both sides.
-    labels = cells.select(F.explode(F.array("t", "p")).alias("c")).agg(
+    # The zero cells come from the label list itself: one array, expanded on both sides. The
+    # filter keeps the counts in this branch, so that both branches share one exchange.
+    labels = cells.where(F.col("n") > 0).select(F.explode(F.array("t", "p")).alias("c")).agg(
         F.array_sort(F.collect_set("c")).alias("labels"))
     zeros = labels.select("labels", F.explode("labels").alias("t")).select(
         "t", F.explode("labels").alias("p"), F.lit(0).cast("bigint").alias("n"))

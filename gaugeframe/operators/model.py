@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeframe.functions.columns import ref
+from gaugeframe.functions.columns import ref, small_table
 from gaugeframe.operators import metrics
 
 FEATURES, LABEL = "features", "label"
@@ -150,9 +150,10 @@ def fit_early_stopping(
     rows_v, _ = _vectors(val.drop("split", "fold"), features, label)
     model, history = _train_rounds(
         rows_t, rows_v, rounds, iterations, patience, select_by, hidden, solver, step, seed)
-    table = train.sparkSession.createDataFrame(
-        history, "run_id string, epoch int, loss double, val_loss double, accuracy double,"
-                 " val_accuracy double, lr double")
+    table = small_table(
+        train.sparkSession, history,
+        "run_id string, epoch int, loss double, val_loss double, accuracy double,"
+        " val_accuracy double, lr double")
     return PipelineModel(stages=[assembler, model]), table
 
 
@@ -241,6 +242,6 @@ def cross_validate(
             scores = [one(f) for f in folds]
     finally:
         rows.unpersist()
-    return df.sparkSession.createDataFrame(
-        scores, "model_id string, fold int, accuracy double, precision double, recall double,"
-                " f1 double")
+    return small_table(
+        df.sparkSession, scores,
+        "model_id string, fold int, accuracy double, precision double, recall double, f1 double")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeframe.functions.columns import canonical, chunks, doubles, ref, tall
+from gaugeframe.functions.columns import canonical, chunks, doubles, ref, small_table, tall
 from gaugeframe.functions.order_stats import quantiles
 from gaugeframe.sources.scratch import materialize
 from gaugeframe.sources.tables import column_roles
@@ -203,21 +203,23 @@ def level_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def top_levels(levels: DataFrame) -> DataFrame:
-    """Distinct count, most frequent value (smallest on ties) and its count per column."""
-    return levels.groupBy("column_name").agg(
-        F.count("*").alias("unique_count"),
-        F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("best"),
-    ).select(
-        "column_name", "unique_count", F.col("best.value").alias("top_category"),
-        (-F.col("best.n")).alias("top_count"),
-    )
+    """Distinct count, most frequent value (smallest on ties) and its count per column.
+
+    The counts are compared first, so that only the tied values themselves are ordered.
+    """
+    sizes = levels.groupBy("column_name").agg(
+        F.count("value").alias("unique_count"), F.max("n").alias("top_count"))
+    # One row per column.
+    best = levels.join(F.broadcast(sizes), "column_name").where(F.col("n") == F.col("top_count"))
+    return best.groupBy("column_name", "unique_count", "top_count").agg(
+        F.min("value").alias("top_category"))
 
 
 def categorical_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Distinct non-null values, top value and its count; an all-null column shows 0."""
     cols = list(cols) if cols is not None else column_roles(df).categorical
     found = top_levels(level_counts(df, cols))
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    names = small_table(df.sparkSession, [(c,) for c in cols], "column_name string")
     return names.join(found, "column_name", "left").select(
         "column_name",
         F.coalesce("unique_count", F.lit(0)).alias("unique_count"),

@@ -21,47 +21,63 @@ ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 5_000
 
 
-def _bucketed(scored: DataFrame, rows_per_bucket: int) -> DataFrame:
+def _edges(scored: DataFrame, rows_per_bucket: int) -> list[float]:
+    """Increasing score bounds that cut the rows into buckets; none for a small table."""
     size = scored.agg(F.count("*").alias("n")).first()["n"]
     buckets = min(MAX_BUCKETS, math.ceil(size / rows_per_bucket))
     if buckets < 2:
-        return scored.withColumn("bucket", F.lit(0.0))
-    cuts = scored.agg(F.percentile_approx(
-        "score", [i / buckets for i in range(1, buckets)], 2 * MAX_BUCKETS).alias("q")).first()["q"]
-    edges = [-math.inf, *sorted(set(cuts)), math.inf]
-    return Bucketizer(splits=edges, inputCol="score", outputCol="bucket").transform(scored)
+        return []
+    probs = [i / buckets for i in range(1, buckets)]
+    row = scored.agg(F.percentile_approx("score", probs, 2 * MAX_BUCKETS).alias("q")).first()
+    return sorted(set(row["q"]))
 
 
 def _curve(scored: DataFrame, by: Sequence[str], rows_per_bucket: int) -> DataFrame:
     """``scored`` has the columns of ``by``, ``score`` and ``pos`` (0 or 1)."""
     keys = list(by)
-    grouped = _bucketed(scored, rows_per_bucket).groupBy(*keys, "bucket", "score").agg(
+    edges = _edges(scored, rows_per_bucket)
+    if edges:
+        scored = Bucketizer(
+            splits=[-math.inf, *edges, math.inf], inputCol="score", outputCol="bucket"
+        ).transform(scored)
+        keys.append("bucket")
+    grouped = scored.groupBy(*keys, "score").agg(
         F.sum("pos").alias("pos"), F.sum(1 - F.col("pos")).alias("neg"))
-    totals = grouped.groupBy(*keys, "bucket").agg(
+    # At most one bucket of rows per curve without edges, one bucket at a time with them.
+    inside = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
+    running = inside.orderBy(F.desc("score"))
+    points = grouped.select(
+        *keys, "score", "pos", "neg",
+        F.sum("pos").over(running).alias("tp"), F.sum("neg").over(running).alias("fp"),
+        F.sum("pos").over(inside).alias("all_pos"), F.sum("neg").over(inside).alias("all_neg"),
+    )
+    if edges:
+        points = _with_offsets(points, grouped, list(by))
+    return points.select(
+        *by, "score", "pos", "neg", "tp", "fp",
+        F.try_divide(F.col("fp").cast("double"), F.col("all_neg")).alias("fpr"),
+        F.try_divide(F.col("tp").cast("double"), F.col("all_pos")).alias("tpr"),
+    )
+
+
+def _with_offsets(points: DataFrame, grouped: DataFrame, by: list[str]) -> DataFrame:
+    """Add to each bucket's running sums the totals of the buckets above it."""
+    totals = grouped.groupBy(*by, "bucket").agg(
         F.sum("pos").alias("b_pos"), F.sum("neg").alias("b_neg"))
     # ``totals`` has at most MAX_BUCKETS rows per curve.
-    part = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
+    part = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     above = part.orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
     offsets = totals.select(
-        *[F.col(k).alias(f"o_{k}") for k in keys], F.col("bucket").alias("o_bucket"),
+        *by, "bucket",
         F.coalesce(F.sum("b_pos").over(above), zero).alias("o_pos"),
         F.coalesce(F.sum("b_neg").over(above), zero).alias("o_neg"),
-        F.sum("b_pos").over(part).alias("all_pos"),
-        F.sum("b_neg").over(part).alias("all_neg"),
+        F.sum("b_pos").over(part).alias("t_pos"), F.sum("b_neg").over(part).alias("t_neg"),
     )
-    on = F.col("bucket") == F.col("o_bucket")
-    for k in keys:
-        on = on & (F.col(k) == F.col(f"o_{k}"))
-    inside = W.partitionBy(*keys, "bucket").orderBy(F.desc("score"))
-    joined = grouped.join(F.broadcast(offsets), on)
-    tp = F.sum("pos").over(inside) + F.col("o_pos")
-    fp = F.sum("neg").over(inside) + F.col("o_neg")
-    return joined.select(*keys, "score", "pos", "neg", tp.alias("tp"), fp.alias("fp"),
-                         "all_pos", "all_neg").select(
-        *keys, "score", "pos", "neg", "tp", "fp",
-        F.try_divide(F.col("fp").cast("double"), F.col("all_neg")).alias("fpr"),
-        F.try_divide(F.col("tp").cast("double"), F.col("all_pos")).alias("tpr"),
+    return points.join(F.broadcast(offsets), [*by, "bucket"]).select(
+        *by, "score", "pos", "neg",
+        (F.col("tp") + F.col("o_pos")).alias("tp"), (F.col("fp") + F.col("o_neg")).alias("fp"),
+        F.col("t_pos").alias("all_pos"), F.col("t_neg").alias("all_neg"),
     )
 
 
@@ -83,7 +99,7 @@ def roc_curve_ovr(
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """One curve per class against the rest, from an array of class probabilities."""
-    scored = df.select(ref(label).alias("y"), F.posexplode(ref(probs)).alias("class", "p")).select(
+    scored = df.select(ref(label).alias("y"), F.posexplode_outer(ref(probs)).alias("class", "p")).select(
         "class", F.col("p").cast("double").alias("score"),
         (F.col("y") == F.col("class")).cast("int").alias("pos"))
     return _curve(scored.where("score is not null and pos is not null"), ["class"], rows_per_bucket)
@@ -94,7 +110,7 @@ def auc(curve: DataFrame) -> DataFrame:
     by = ["class"] if "class" in curve.columns else []
     below = F.col("tp").cast("double") - F.col("pos") / F.lit(2.0)
     area = F.try_divide(
-        F.sum(F.col("neg") * below), F.sum("pos").cast("double") * F.sum("neg"))
+        F.sum(F.col("neg") * below), F.max("tp").cast("double") * F.max("fp"))
     return curve.groupBy(*by).agg(area.alias("auc"))
 
 

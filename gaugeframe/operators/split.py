@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeframe.functions.columns import ref
+from gaugeframe.functions.columns import ref, small_table
 from gaugeframe.functions.hashrank import (
     GROUP,
     KEY,
@@ -75,7 +75,8 @@ def stratified_split(
                 wanted[(c, slot)] = rank
     at = cutoffs(keys, wanted, sizes, rankable_rows)
     # One row per class; an empty quota has the cutoff '', below every md5.
-    table = df.sparkSession.createDataFrame(
+    table = small_table(
+        df.sparkSession,
         [(c, at.get((c, 0), ""), at.get((c, 1), "")) for c in sizes],
         "__gf_class string, __gf_test string, __gf_val string",
     )

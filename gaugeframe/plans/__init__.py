@@ -1,6 +1,6 @@
-from gaugeframe.plans.assess import cross_validation, evaluate, report, train_and_test
-from gaugeframe.plans.explore import explore
-from gaugeframe.plans.prepare import Prepared, prepare
+from gaugeframe.plans.assessment import cross_validation, evaluate, report, train_and_test
+from gaugeframe.plans.exploration import explore
+from gaugeframe.plans.preparation import Prepared, prepare
 
 __all__ = ["Prepared", "cross_validation", "evaluate", "explore", "prepare", "report",
            "train_and_test"]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeframe.operators import metrics, model, roc, split, training, verdict
-from gaugeframe.plans.prepare import KEY, Prepared
+from gaugeframe.plans.preparation import KEY, Prepared
 
 
 def train_and_test(

@@ -77,33 +77,33 @@ def prepare(
     rows = materialize(rows.withColumn(KEY, row_identity(rows, key)), "clean-rows")
 
     classes = encode.fit_target(rows, target)
-    rows = encode.apply_target(rows, target, classes, "label")
-    rows = split.stratified_split(rows, "label", test, val, seed, KEY)
-
-    def learn(table: DataFrame) -> DataFrame:
-        return table if fit_on == "all" else table.where(F.col("split") == "train")
+    labelled = encode.apply_target(rows, target, classes, "label")
+    labelled = split.stratified_split(labelled, "label", test, val, seed, KEY)
 
+    # ``learn`` is what parameters are learned from; every step is applied to both tables.
+    learn = rows if fit_on == "all" else labelled.where(F.col("split") == "train")
+    rows = labelled
     plain = [KEY, "label", "split", target, *exclude]
     if fit_on == "train":
         inputs = [c for c in rows.columns if c not in (KEY, "label", "split", target)]
         # Rows outside training may have gaps that training rows do not show.
         missing = clean.fit_missing(
-            learn(rows).select(*[ref(c) for c in inputs]), exact=exact, every_column=True)
-        rows = clean.apply_missing(rows, missing)
+            learn.select(*[ref(c) for c in inputs]), exact=exact, every_column=True)
+        learn, rows = (clean.apply_missing(t, missing) for t in (learn, rows))
 
     numeric = [c for c in column_roles(rows).numeric if c not in plain]
-    caps = clean.fit_caps(learn(rows), numeric, skip_zero_iqr=skip_zero_iqr, exact=exact)
-    rows = clean.apply_caps(rows, caps)
+    caps = clean.fit_caps(learn, numeric, skip_zero_iqr=skip_zero_iqr, exact=exact)
+    learn, rows = (clean.apply_caps(t, caps) for t in (learn, rows))
 
     text = [c for c in column_roles(rows).categorical if c not in plain]
-    encoding = encode.fit_encoding(learn(rows), text)
-    rows = encode.apply_encoding(rows, encoding)
-    if fit_on == "train":
+    encoding = encode.fit_encoding(learn, text)
+    learn, rows = (encode.apply_encoding(t, encoding) for t in (learn, rows))
+    if fit_on == "train" and encoding.shares:
         # A value never seen in training has no share.
-        rows = rows.fillna(0.0, list(encoding.shares)) if encoding.shares else rows
+        rows = rows.fillna(0.0, list(encoding.shares))
 
     numeric = [c for c in column_roles(rows).numeric if c not in plain]
-    scale = encode.fit_scale(learn(rows), numeric)
+    scale = encode.fit_scale(learn, numeric)
     rows = encode.apply_scale(rows, scale)
     features = [c for c in rows.columns if c not in plain]
     out = rows.select(*[ref(c) for c in features], *[ref(c) for c in exclude], "label", "split", KEY)
