@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 import gaugeframe as gf
 from catalog.inputs import spark_input, table
-from gaugeframe.functions.columns import iqr_cap, ref, tall
+from gaugeframe.functions.columns import ident, iqr_cap, ref, tall, text
 
 PRICES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 CLASSES = ["click", "error", "purchase", "signup", "view"]
@@ -62,7 +62,7 @@ def _(spark, sf):
     named = [(c, "numeric") for c in roles.numeric] + [(c, "other") for c in roles.other]
     named += [(c, "categorical") for c in roles.categorical] + [(roles.target, "target")]
     counts = df.agg(*[F.count(ref(c)).alias(c) for c, _ in named])
-    return tall(counts, [{"column_name": F.lit(c), "role": F.lit(r), "filled": F.col(c)}
+    return tall(counts, [{"column_name": text(c), "role": text(r), "filled": ident(c)}
                          for c, r in named])
 
 

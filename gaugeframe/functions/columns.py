@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,9 +13,29 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
+# More aggregates than this in one operator outgrow what the JVM compiles to native code.
+AGGS_PER_SCAN = 16
+
+
+def ident(name: str) -> str:
+    """A quoted SQL name; it may hold spaces, dots, quotes or slashes."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ref(name: str) -> Column:
-    """Reference a column whose name may hold spaces, dots, quotes or slashes."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(ident(name))
+
+
+def text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def number(value: float | None) -> str:
+    """A SQL double literal."""
+    if value is None:
+        return "CAST(NULL AS DOUBLE)"
+    return f"{float(value)!r}D" if math.isfinite(value) else f"double('{float(value)}')"
 
 
 def nan_to_null(col: Column, dtype: T.DataType) -> Column:
@@ -23,30 +45,34 @@ def nan_to_null(col: Column, dtype: T.DataType) -> Column:
     return col
 
 
+def _canonical_sql(field: T.StructField) -> str:
+    q = ident(field.name)
+    if isinstance(field.dataType, T.DecimalType):
+        return f"CAST({q} AS DOUBLE)"
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        return f"CASE WHEN NOT isnan({q}) THEN {q} END"
+    return q
+
+
 def canonical(df: DataFrame) -> DataFrame:
     """Cast decimals to double and turn NaN into NULL; other columns pass untouched."""
-    out, changed = [], False
-    for field in df.schema.fields:
-        col, dtype = ref(field.name), field.dataType
-        if isinstance(dtype, T.DecimalType):
-            col, changed = col.cast("double"), True
-        elif isinstance(dtype, (T.FloatType, T.DoubleType)):
-            col, changed = nan_to_null(col, dtype), True
-        out.append(col.alias(field.name))
-    return df.select(*out) if changed else df
+    fields = df.schema.fields
+    if not any(isinstance(f.dataType, (T.DecimalType, T.FloatType, T.DoubleType)) for f in fields):
+        return df
+    return df.selectExpr(*[f"{_canonical_sql(f)} AS {ident(f.name)}" for f in fields])
 
 
 def doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Only ``cols``, as doubles with NaN as NULL. Prunes the scan to those columns."""
     if not cols:
         raise ValueError("no columns to summarise")
-    types = {f.name: f.dataType for f in df.schema.fields}
-    out = []
+    fields = {f.name: f for f in df.schema.fields}
     for name in cols:
-        if not isinstance(types[name], T.NumericType):
-            raise TypeError(f"column {name!r} is {types[name].simpleString()}, not numeric")
-        out.append(nan_to_null(ref(name), types[name]).cast("double").alias(name))
-    return df.select(*out)
+        if not isinstance(fields[name].dataType, T.NumericType):
+            kind = fields[name].dataType.simpleString()
+            raise TypeError(f"column {name!r} is {kind}, not numeric")
+    return df.selectExpr(*[
+        f"CAST({_canonical_sql(fields[c])} AS DOUBLE) AS {ident(c)}" for c in cols])
 
 
 def safe_div(num: Column, den: Column) -> Column:
@@ -59,10 +85,34 @@ def iqr_cap(col: Column, lo: float, hi: float) -> Column:
     return F.when(col.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), col)))
 
 
-def tall(wide: DataFrame, rows: Sequence[dict[str, Column]]) -> DataFrame:
-    """Reshape a one-row aggregate into one output row per dict, without a shuffle."""
-    structs = [F.struct(*[c.alias(k) for k, c in row.items()]) for row in rows]
-    return wide.select(F.inline(F.array(*structs)))
+def tall(wide: DataFrame, rows: Sequence[dict[str, str]]) -> DataFrame:
+    """Reshape a one-row aggregate into one output row per dict of SQL, without a shuffle."""
+    structs = [
+        "named_struct(" + ", ".join(f"'{name}', {sql}" for name, sql in row.items()) + ")"
+        for row in rows]
+    return wide.selectExpr(f"inline(array({', '.join(structs)}))")
+
+
+def stacked(df: DataFrame, items: Sequence[tuple[Sequence[str], dict[str, str]]]) -> DataFrame:
+    """One output row per item: its aggregates ("sql AS name"), and the row made from them.
+
+    Items are grouped into aggregates small enough to be compiled well, each of which scans
+    only its own columns; their union runs as one job. SQL text keeps a wide table from
+    costing thousands of calls to build expressions.
+    """
+    if not items:
+        raise ValueError("no columns to summarise")
+    groups: list[list] = []
+    room = 0
+    for item in items:
+        if len(item[0]) > room:
+            groups.append([])
+            room = AGGS_PER_SCAN
+        groups[-1].append(item)
+        room -= len(item[0])
+    parts = [tall(df.selectExpr(*[a for aggs, _ in g for a in aggs]), [row for _, row in g])
+             for g in groups]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:

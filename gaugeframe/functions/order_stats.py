@@ -14,17 +14,15 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeframe.functions.columns import chunks, doubles, ref
+from gaugeframe.functions.columns import doubles, ident, number, ref, stacked
 
 GRID = 1000
 ACCURACY = 20 * GRID
 COUNTABLE = 50_000
 MAX_PASSES = 24
-BRACKETS_PER_JOB = 24
-COLUMNS_PER_JOB = 100
 
 
 @dataclass
@@ -41,18 +39,16 @@ class _Bracket:
     expected: float = math.inf
     margin: int = 1
 
-    def member(self) -> Column:
-        c = ref(self.column)
-        if self.lo is not None and self.hi is not None:
-            return F.when((c >= F.lit(self.lo)) & (c <= F.lit(self.hi)), c)
-        if self.lo is not None:
-            return F.when(c >= F.lit(self.lo), c)
-        return c if self.hi is None else F.when(c <= F.lit(self.hi), c)
+    def member(self) -> str:
+        q = ident(self.column)
+        bounds = [f"{q} >= {number(self.lo)}"] if self.lo is not None else []
+        bounds += [f"{q} <= {number(self.hi)}"] if self.hi is not None else []
+        return f"CASE WHEN {' AND '.join(bounds)} THEN {q} END" if bounds else q
 
-    def under(self) -> Column:
+    def under(self) -> str:
         if self.lo is None:
-            return F.lit(0).cast("bigint")
-        return F.count(F.when(ref(self.column) < F.lit(self.lo), 1))
+            return "0L"
+        return f"count_if({ident(self.column)} < {number(self.lo)})"
 
     def holds(self, prob: float, total: int) -> tuple[bool, bool]:
         """Whether a rank of the quantile fell out on the (low, high) side."""
@@ -86,28 +82,40 @@ def _ranks(prob: float, n: int) -> tuple[int, int, float]:
     return low, min(low + 1, n - 1), position - low
 
 
-def _grid() -> Column:
-    """0, 1/GRID, ..., 1 as one folded literal instead of a thousand expression nodes."""
-    text = ",".join(str(i / GRID) for i in range(GRID + 1))
-    return F.split(F.lit(text), ",").cast("array<double>")
+# 0, 1/GRID, ..., 1 as one folded literal instead of a thousand expression nodes.
+_GRID_SQL = f"CAST(split('{','.join(str(i / GRID) for i in range(GRID + 1))}', ',') AS array<double>)"
 
+# Output row of one task; what a task does not compute stays null.
+_EMPTY = {"below": "bigint", "inside": "bigint", "distinct": "bigint", "grid": "array<double>",
+          "values": "array<double>"}
 
-def _sizes(b: _Bracket, key: str, sketch: bool) -> list[Column]:
+
+def _task(key: int, **aggs: str):
+    named = [f"{sql} AS {name}{key}" for name, sql in aggs.items()]
+    row = {"task": str(key)}
+    for name, dtype in _EMPTY.items():
+        row[name] = f"{name}{key}" if name in aggs else f"CAST(NULL AS {dtype})"
+    return named, row
+
+
+def _sizes(b: _Bracket, key: int, sketch: bool):
     inner = b.member()
-    found = [b.under().alias(f"{key}_below"), F.count(inner).alias(f"{key}_inside")]
+    aggs = {"below": b.under(), "inside": f"count({inner})"}
     if sketch:
-        found += [
-            F.approx_count_distinct(inner).alias(f"{key}_distinct"),
-            F.percentile_approx(inner, _grid(), ACCURACY).alias(f"{key}_grid"),
-        ]
-    return found
+        aggs["distinct"] = f"approx_count_distinct({inner})"
+        aggs["grid"] = f"percentile_approx({inner}, {_GRID_SQL}, {ACCURACY})"
+    return _task(key, **aggs)
 
 
-def _final(b: _Bracket, total: int, probs: Sequence[float], key: str) -> Column:
+def _final(b: _Bracket, total: int, probs: Sequence[float], key: int):
     """The order statistics on both sides of each quantile, from the values in the bracket."""
     span = max(b.inside - 1, 1)
-    at = [(r - b.below) / span for p in probs for r in _ranks(p, total)[:2]]
-    return F.percentile(b.member(), F.array(*[F.lit(x) for x in at])).alias(f"{key}_values")
+    at = [number((r - b.below) / span) for p in probs for r in _ranks(p, total)[:2]]
+    return _task(key, values=f"percentile({b.member()}, array({', '.join(at)}))")
+
+
+def _run(nums: DataFrame, tasks: Sequence) -> dict:
+    return {r["task"]: r for r in stacked(nums, tasks).collect()}
 
 
 def exact_quantiles(
@@ -122,16 +130,15 @@ def exact_quantiles(
     narrow: list[_Bracket] = []
     ready: list[tuple[list[float], _Bracket]] = []
 
-    for part in chunks(list(cols), COLUMNS_PER_JOB):
-        row = nums.agg(*[e for i, c in enumerate(part) for e in (
-            F.count(ref(c)).alias(f"n{i}"), F.approx_count_distinct(ref(c)).alias(f"d{i}"))
-        ]).first()
-        for i, c in enumerate(part):
-            n = totals[c] = row[f"n{i}"]
-            if n and row[f"d{i}"] <= countable:
-                ready.append((list(probs), _Bracket(c, inside=n)))
-            elif n:
-                narrow.append(_Bracket(c, probs=tuple(probs)))
+    found = _run(nums, [
+        _task(i, inside=f"count({ident(c)})", distinct=f"approx_count_distinct({ident(c)})")
+        for i, c in enumerate(cols)])
+    for i, c in enumerate(cols):
+        n = totals[c] = found[i]["inside"]
+        if n and found[i]["distinct"] <= countable:
+            ready.append((list(probs), _Bracket(c, inside=n)))
+        elif n:
+            narrow.append(_Bracket(c, probs=tuple(probs)))
 
     for _ in range(MAX_PASSES):
         if not narrow and not ready:
@@ -139,36 +146,31 @@ def exact_quantiles(
         again: list[_Bracket] = []
         counted: list[tuple[list[float], _Bracket]] = []
         jobs = [("final", b, ps) for ps, b in ready] + [("size", b, list(b.probs)) for b in narrow]
-        for part in chunks(jobs, BRACKETS_PER_JOB):
-            # A bracket expected to be countable is only counted, which is much cheaper.
-            sketch = [b.expected > countable for _, b, _ in part]
-            row = nums.agg(*[
-                e for i, (kind, b, ps) in enumerate(part)
-                for e in ([_final(b, totals[b.column], ps, f"b{i}")] if kind == "final"
-                          else _sizes(b, f"b{i}", sketch[i]))
-            ]).first()
-            for i, (kind, b, ps) in enumerate(part):
-                n = totals[b.column]
-                if kind == "final":
-                    values = row[f"b{i}_values"]
-                    for k, p in enumerate(ps):
-                        v0, v1 = values[2 * k], values[2 * k + 1]
-                        result[b.column][p] = v0 + (v1 - v0) * _ranks(p, n)[2]
-                    continue
-                b.below, b.inside = row[f"b{i}_below"], row[f"b{i}_inside"]
-                few = b.inside <= countable or (
-                    sketch[i] and row[f"b{i}_distinct"] <= countable)
-                lost = [b.holds(p, n) for p in ps]
-                if any(low or high for low, high in lost):
-                    b.reopen(any(low for low, _ in lost), any(high for _, high in lost))
-                    again.append(b)
-                elif few:
-                    counted.append((ps, b))
-                elif sketch[i]:
-                    again += [b.around(p, n, row[f"b{i}_grid"]) for p in ps]
-                else:
-                    b.expected = math.inf
-                    again.append(b)
+        # A bracket expected to be countable is only counted, which is much cheaper.
+        sketch = [b.expected > countable for _, b, _ in jobs]
+        found = _run(nums, [
+            _final(b, totals[b.column], ps, i) if kind == "final" else _sizes(b, i, sketch[i])
+            for i, (kind, b, ps) in enumerate(jobs)])
+        for i, (kind, b, ps) in enumerate(jobs):
+            row, n = found[i], totals[b.column]
+            if kind == "final":
+                for k, p in enumerate(ps):
+                    v0, v1 = row["values"][2 * k : 2 * k + 2]
+                    result[b.column][p] = v0 + (v1 - v0) * _ranks(p, n)[2]
+                continue
+            b.below, b.inside = row["below"], row["inside"]
+            few = b.inside <= countable or (sketch[i] and row["distinct"] <= countable)
+            lost = [b.holds(p, n) for p in ps]
+            if any(low or high for low, high in lost):
+                b.reopen(any(low for low, _ in lost), any(high for _, high in lost))
+                again.append(b)
+            elif few:
+                counted.append((ps, b))
+            elif sketch[i]:
+                again += [b.around(p, n, row["grid"]) for p in ps]
+            else:
+                b.expected = math.inf
+                again.append(b)
         narrow, ready = again, counted
     if narrow or ready:
         raise RuntimeError(f"quantiles of {sorted({b.column for b in narrow})} did not converge")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeframe.functions.columns import canonical, iqr_cap, ref
+from gaugeframe.functions.columns import canonical, ident, iqr_cap, number, ref, text
 from gaugeframe.functions.order_stats import quantiles
 from gaugeframe.operators import profile
 
@@ -35,13 +35,13 @@ def sparse_columns(
     df: DataFrame, max_missing: float = MAX_MISSING, protect: Sequence[str] = ()
 ) -> tuple[list[str], list[str]]:
     """(columns above the limit, other columns with at least one null), from one scan."""
-    row = profile.missing_counts(df).first()
+    counts = {r["column_name"]: r for r in profile.missing_counts(df).collect()}
     sparse, gaps = [], []
-    for i, c in enumerate(df.columns):
-        missing = row[f"m{i}"]
+    for c in df.columns:
+        missing = counts[c]["missing_count"]
         if not missing:
             continue
-        too_many = missing / row["n"] * 100 > max_missing * 100
+        too_many = missing / counts[c]["n_rows"] * 100 > max_missing * 100
         (sparse if too_many and c not in protect else gaps).append(c)
     return sparse, gaps
 
@@ -71,13 +71,15 @@ def _fill(df: DataFrame, medians: dict[str, float], modes: dict[str, str]) -> Da
     df = canonical(df)
     out = []
     for f in df.schema.fields:
-        col = ref(f.name)
+        q = ident(f.name)
         if f.name in medians:
-            col = F.coalesce(col.cast("double"), F.lit(medians[f.name]))
+            out.append(f"coalesce(CAST({q} AS DOUBLE), {number(medians[f.name])}) AS {q}")
         elif f.name in modes:
-            col = F.coalesce(col, F.lit(modes[f.name]).cast(f.dataType))
-        out.append(col.alias(f.name))
-    return df.select(*out)
+            kind = f.dataType.simpleString()
+            out.append(f"coalesce({q}, CAST({text(modes[f.name])} AS {kind})) AS {q}")
+        else:
+            out.append(q)
+    return df.selectExpr(*out)
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:

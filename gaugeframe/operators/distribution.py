@@ -9,17 +9,24 @@ import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeframe.functions.columns import chunks, doubles, ref, small_table, tall
+from gaugeframe.functions.columns import (
+    doubles,
+    ident,
+    number,
+    ref,
+    small_table,
+    stacked,
+    text,
+)
 from gaugeframe.functions.order_stats import quantiles
 from gaugeframe.operators.profile import FENCE
 from gaugeframe.sources.tables import column_roles
 
 SNAP = 1e-12
 UNSURE = 1e-8
-PAIRS_PER_JOB = 50
 BIN_SCHEMA = "column_name string, bin int, bin_start double, bin_end double"
 
 
@@ -33,17 +40,20 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     """
     cols = list(cols) if cols is not None else column_roles(df).numeric
     nums = doubles(df, cols)
-    row = nums.agg(F.count("*").alias("n"), *[e for i, c in enumerate(cols) for e in (
-        F.count(ref(c)).alias(f"n{i}"), F.avg(ref(c)).alias(f"m{i}"),
-        F.stddev_pop(ref(c)).alias(f"s{i}"))]).first()
-    live = [i for i in range(len(cols)) if row[f"s{i}"]]
-    holes = [i for i in live if row[f"n{i}"] < row["n"]]
+    sizes = stacked(nums, [
+        ([f"count(*) - count({ident(c)}) AS g{i}", f"avg({ident(c)}) AS m{i}",
+          f"stddev_pop({ident(c)}) AS s{i}"],
+         {"i": str(i), "gaps": f"g{i}", "mean": f"m{i}", "sd": f"s{i}"})
+        for i, c in enumerate(cols)])
+    size = {r["i"]: r for r in sizes.collect()}
+    live = [i for i in range(len(cols)) if size[i]["sd"]]
+    holes = [i for i in live if size[i]["gaps"]]
     found = {(i, i): 1.0 for i in live}
     if len(live) > 1:
-        z = {i: F.coalesce((ref(cols[i]) - row[f"m{i}"]) / row[f"s{i}"], F.lit(0.0))
-             for i in live}
-        parts = [z[i] for i in live] + [z[i] * z[i] for i in live] + [F.lit(1.0)]
-        parts += [ref(cols[i]).isNotNull().cast("double") for i in holes]
+        z = {i: f"coalesce(({ident(cols[i])} - {number(size[i]['mean'])})"
+                f" / {number(size[i]['sd'])}, 0D)" for i in live}
+        parts = [z[i] for i in live] + [f"{z[i]} * {z[i]}" for i in live] + ["1D"]
+        parts += [f"CAST({ident(cols[i])} IS NOT NULL AS DOUBLE)" for i in holes]
         sums = _product_sums(nums, parts)
         place = {i: k for k, i in enumerate(live)}
         width = len(live)
@@ -75,10 +85,10 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
         df.sparkSession, rows, "a string, b string, corr double, pos_a int, pos_b int")
 
 
-def _product_sums(nums: DataFrame, parts: Sequence[Column]) -> np.ndarray:
+def _product_sums(nums: DataFrame, parts: Sequence[str]) -> np.ndarray:
     """Sums of all pairwise products of the given columns, by a distributed tree aggregate."""
     names = [f"p{i}" for i in range(len(parts))]
-    wide = nums.select(*[c.alias(n) for c, n in zip(parts, names)])
+    wide = nums.selectExpr(*[f"{p} AS {n}" for p, n in zip(parts, names)])
     vectors = VectorAssembler(inputCols=names, outputCol="v").transform(wide).select("v")
     return RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")
                      ).computeGramianMatrix().toArray()
@@ -88,21 +98,18 @@ def _pairs_directly(
     nums: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[int, int]]
 ) -> dict[tuple[int, int], float | None]:
     """Pairs whose common rows hardly vary, where differences of sums would cancel."""
-    found = {}
-    for part in chunks(list(pairs), PAIRS_PER_JOB):
-        aggs = []
-        for k, (i, j) in enumerate(part):
-            x, y = ref(cols[i]), ref(cols[j])
-            aggs += [
-                F.covar_pop(x, y).alias(f"c{k}"),
-                F.stddev_pop(F.when(y.isNotNull(), x)).alias(f"x{k}"),
-                F.stddev_pop(F.when(x.isNotNull(), y)).alias(f"y{k}"),
-            ]
-        row = nums.agg(*aggs).first()
-        for k, pair in enumerate(part):
-            spread = (row[f"x{k}"] or 0.0) * (row[f"y{k}"] or 0.0)
-            found[pair] = row[f"c{k}"] / spread if spread else None
-    return found
+    if not pairs:
+        return {}
+    items = []
+    for k, (i, j) in enumerate(pairs):
+        x, y = ident(cols[i]), ident(cols[j])
+        items.append((
+            [f"covar_pop({x}, {y}) AS c{k}",
+             f"stddev_pop({x}) FILTER (WHERE {y} IS NOT NULL) AS x{k}",
+             f"stddev_pop({y}) FILTER (WHERE {x} IS NOT NULL) AS y{k}"],
+            {"k": str(k), "corr": f"try_divide(c{k}, x{k} * y{k})"},
+        ))
+    return {pairs[r["k"]]: r["corr"] for r in stacked(nums, items).collect()}
 
 
 def top_correlations(corr: DataFrame, k: int = 20, symmetric: bool = True) -> DataFrame:
@@ -121,13 +128,14 @@ def correlation_lower_triangle(corr: DataFrame) -> DataFrame:
 
 
 def _ranges(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float] | None]:
-    nums = doubles(df, cols)
-    row = nums.agg(*[e for i, c in enumerate(cols)
-                     for e in (F.min(ref(c)).alias(f"lo{i}"), F.max(ref(c)).alias(f"hi{i}"))]
-                   ).first()
+    found = stacked(doubles(df, cols), [
+        ([f"min({ident(c)}) AS lo{i}", f"max({ident(c)}) AS hi{i}"],
+         {"i": str(i), "lo": f"lo{i}", "hi": f"hi{i}"})
+        for i, c in enumerate(cols)])
+    ends = {cols[r["i"]]: (r["lo"], r["hi"]) for r in found.collect()}
     out = {}
-    for i, c in enumerate(cols):
-        lo, hi = row[f"lo{i}"], row[f"hi{i}"]
+    for c in cols:
+        lo, hi = ends[c]
         if lo is None:
             out[c] = None
         else:
@@ -147,12 +155,12 @@ def histogram(df: DataFrame, cols: Sequence[str] | None = None, bins: int = 30)
         return small_table(df.sparkSession, [], f"{BIN_SCHEMA}, count bigint")
     binned = []
     for c, (lo, hi) in ranges.items():
-        at = F.floor((ref(c) - lo) / F.lit(hi - lo) * bins).cast("int") + 1
+        at = f"CAST(floor(({ident(c)} - {number(lo)}) / {number(hi - lo)} * {bins}) AS INT) + 1"
         # ``least`` skips nulls, so a missing value must be kept out of the last bin.
-        binned.append(F.when(at.isNotNull(), F.least(at, F.lit(bins))).alias(c))
+        binned.append(f"CASE WHEN {ident(c)} IS NOT NULL THEN least({at}, {bins}) END AS {ident(c)}")
     counts = (
-        doubles(df, list(ranges)).select(*binned)
-        .unpivot([], [ref(c) for c in ranges], "column_name", "bin")
+        doubles(df, list(ranges)).selectExpr(*binned)
+        .unpivot([], [ident(c) for c in ranges], "column_name", "bin")
         .where(F.col("bin").isNotNull())
         .groupBy("column_name", "bin")
         .agg(F.count("*").alias("n"))
@@ -200,22 +208,20 @@ def box_stats(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tr
     """Quartiles, whiskers (furthest value inside the fences) and outlier count."""
     cols = list(cols) if cols is not None else column_roles(df).numeric
     cuts = quantiles(df, cols, (0.25, 0.5, 0.75), exact)
-    aggs, rows = [], []
+    items = []
     for i, c in enumerate(cols):
-        x = ref(c)
-        q1, q2, q3 = cuts[c]
-        empty = q1 is None
-        span = None if empty else FENCE * (q3 - q1)
-        inside = F.lit(False) if empty else (x >= F.lit(q1 - span)) & (x <= F.lit(q3 + span))
-        aggs += [
-            F.min(F.when(inside, x)).alias(f"lo{i}"), F.max(F.when(inside, x)).alias(f"hi{i}"),
-            F.count_if(~inside & x.isNotNull()).alias(f"o{i}"),
-        ]
-        p25, p50, p75 = (F.lit(v).cast("double") for v in cuts[c])
-        rows.append({
-            "column_name": F.lit(c), "q1": p25, "median": p50, "q3": p75,
-            "whisker_low": F.least(F.col(f"lo{i}"), p25),
-            "whisker_high": F.greatest(F.col(f"hi{i}"), p75),
-            "outlier_count": F.col(f"o{i}"),
-        })
-    return tall(doubles(df, cols).agg(*aggs), rows)
+        q1, _, q3 = cuts[c]
+        span = None if q1 is None else FENCE * (q3 - q1)
+        q = ident(c)
+        inside = "false" if q1 is None else (
+            f"{q} >= {number(q1 - span)} AND {q} <= {number(q3 + span)}")
+        p25, p50, p75 = map(number, cuts[c])
+        items.append((
+            [f"min({q}) FILTER (WHERE {inside}) AS lo{i}",
+             f"max({q}) FILTER (WHERE {inside}) AS hi{i}",
+             f"count_if({q} IS NOT NULL AND NOT ({inside})) AS o{i}"],
+            {"column_name": text(c), "q1": p25, "median": p50, "q3": p75,
+             "whisker_low": f"least(lo{i}, {p25})", "whisker_high": f"greatest(hi{i}, {p75})",
+             "outlier_count": f"o{i}"},
+        ))
+    return stacked(doubles(df, cols), items)

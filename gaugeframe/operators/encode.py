@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeframe.functions.columns import canonical, chunks, ref, small_table
+from gaugeframe.functions.columns import canonical, ident, number, ref, small_table, stacked, text
 from gaugeframe.operators import profile
 from gaugeframe.sources.scratch import materialize
 from gaugeframe.sources.tables import column_roles
@@ -19,7 +19,7 @@ ONE_HOT_MAX = 10
 MAX_CLASSES = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1e-4
-AGGS_PER_JOB = 500
+LOCAL_LEVELS = 100_000
 
 
 @dataclass(frozen=True)
@@ -33,10 +33,15 @@ class EncodingFit:
 
 @dataclass(frozen=True)
 class Shares:
-    """A column's (value, share) table and whether it is small enough to broadcast."""
+    """A column's (value, share) table, whether it may be broadcast, and its moments.
+
+    The mean and population std are those of the coded column over its non-null rows.
+    """
 
     table: DataFrame
     small: bool
+    mean: float
+    std: float
 
 
 def fit_encoding(
@@ -45,35 +50,63 @@ def fit_encoding(
     """Count the values of all columns in one scan and route each column by its cardinality."""
     if not cols:
         return EncodingFit()
+    levels, sizes, known = _levels(df, cols, broadcast_bytes)
+    binary, one_hot = {}, {}
+    for c in cols:
+        n = sizes[c]["levels"] if c in sizes else 0
+        if n <= ONE_HOT_MAX:
+            values = sorted(known.get(c, {}), key=lambda v: v.encode())
+            (binary if n == BINARY else one_hot)[c] = values
+    rest = [c for c in cols if c not in binary and c not in one_hot]
+    return EncodingFit(binary, one_hot, _shares(levels, sizes, known, rest, broadcast_bytes))
+
+
+def _levels(df: DataFrame, cols: Sequence[str], broadcast_bytes: int):
+    """The stored (column, value, n) table, its size per column, and the small columns' rows."""
     levels = materialize(profile.level_counts(df, cols), "levels", ["column_name"])
     sizes = {
         r["column_name"]: r
         for r in levels.groupBy("column_name")
         .agg(F.count("*").alias("levels"), F.sum("n").alias("total"),
-             F.sum(F.octet_length("value") + 32).alias("bytes"))
+             F.sum(F.octet_length("value") + 32).alias("bytes"),
+             F.min("n").alias("least"), F.max("n").alias("most"),
+             F.sum(F.pow("n", F.lit(2))).alias("n2"), F.sum(F.pow("n", F.lit(3))).alias("n3"))
         .collect()
     }
-    few = [c for c in cols if c not in sizes or sizes[c]["levels"] <= ONE_HOT_MAX]
-    values: dict[str, list[str]] = {c: [] for c in few}
-    # At most ten values per column come to the driver.
-    for r in levels.where(F.col("column_name").isin(few)).collect() if few else []:
-        values[r["column_name"]].append(r["value"])
-    binary, one_hot, shares = {}, {}, {}
-    for c in cols:
-        if c in values:
-            (binary if len(values[c]) == BINARY else one_hot)[c] = sorted(
-                values[c], key=lambda v: v.encode())
+    local, room = [], LOCAL_LEVELS
+    for c in sorted(sizes, key=lambda c: sizes[c]["levels"]):
+        if sizes[c]["levels"] <= ONE_HOT_MAX:
+            local.append(c)
+        elif sizes[c]["levels"] <= room and sizes[c]["bytes"] <= broadcast_bytes:
+            local.append(c)
+            room -= sizes[c]["levels"]
+    known: dict[str, dict[str, int]] = {c: {} for c in local}
+    # At most LOCAL_LEVELS values, and ten per column below that, come to the driver.
+    for r in levels.where(F.col("column_name").isin(local)).collect() if local else []:
+        known[r["column_name"]][r["value"]] = r["n"]
+    return levels, sizes, known
+
+
+def _shares(levels, sizes, known, cols: Sequence[str], broadcast_bytes: int) -> dict[str, Shares]:
+    """Value shares per column; the tables broadcast together stay within the byte limit."""
+    out, room = {}, broadcast_bytes
+    for c in sorted(cols, key=lambda c: sizes[c]["bytes"]):
+        total = sizes[c]["total"]
+        if c in known and broadcast_bytes:
+            table = small_table(
+                levels.sparkSession, [(v, n / total) for v, n in known[c].items()],
+                "__gf_value string, __gf_share double")
         else:
-            shares[c] = _shares(levels, c, sizes[c], broadcast_bytes)
-    return EncodingFit(binary, one_hot, shares)
-
-
-def _shares(levels: DataFrame, c: str, size, broadcast_bytes: int) -> Shares:
-    table = levels.where(F.col("column_name") == c).select(
-        F.col("value").alias("__gf_value"),
-        (F.col("n").cast("double") / F.lit(size["total"])).alias("__gf_share"),
-    )
-    return Shares(table, size["bytes"] <= broadcast_bytes)
+            table = levels.where(F.col("column_name") == c).select(
+                F.col("value").alias("__gf_value"),
+                (F.col("n").cast("double") / F.lit(total)).alias("__gf_share"))
+        room -= sizes[c]["bytes"]
+        # The coded column holds n / total in n rows, so its moments follow from the counts.
+        mean = sizes[c]["n2"] / total**2
+        even = sizes[c]["least"] == sizes[c]["most"]
+        spread = 0.0 if even else max(sizes[c]["n3"] / total**3 - mean**2, 0.0)
+        out[c] = Shares(table, room >= 0, mean, spread**0.5)
+    return out
 
 
 def one_hot_names(fit: EncodingFit) -> list[str]:
@@ -82,45 +115,47 @@ def one_hot_names(fit: EncodingFit) -> list[str]:
 
 def apply_encoding(df: DataFrame, fit: EncodingFit) -> DataFrame:
     """Binary and share codes replace their column; indicators are appended at the end."""
-    for c, s in fit.shares.items():
-        df = _replace_by_share(df, c, s)
+    columns, share = df.columns, {}
+    for i, (c, s) in enumerate(fit.shares.items()):
+        df, share[c] = _with_share(df, columns, c, s, i)
     out = []
-    for c in df.columns:
-        if c in fit.one_hot:
-            continue
-        col = ref(c)
-        if c in fit.binary:
-            first, second = fit.binary[c]
+    for c in columns:
+        q = ident(c)
+        if c in share:
+            out.append(f"{share[c]} AS {q}")
+        elif c in fit.binary:
+            first, second = map(text, fit.binary[c])
             # A missing value sorts last and so takes code 2.
-            col = (F.when(col == first, 0).when(col == second, 1)
-                   .when(col.isNull(), 2).cast("int"))
-        out.append(col.alias(c))
+            out.append(f"CASE {q} WHEN {first} THEN 0 WHEN {second} THEN 1 "
+                       f"ELSE CASE WHEN {q} IS NULL THEN 2 END END AS {q}")
+        elif c not in fit.one_hot:
+            out.append(q)
     for c, values in fit.one_hot.items():
-        out += [F.coalesce(ref(c) == v, F.lit(False)).alias(f"{c}_{v}") for v in values[1:]]
-    return df.select(*out)
+        out += [f"{ident(c)} <=> {text(v)} AS {ident(f'{c}_{v}')}" for v in values[1:]]
+    return df.selectExpr(*out)
 
 
-def _replace_by_share(df: DataFrame, c: str, shares: Shares) -> DataFrame:
-    cols = [F.col("__gf_share").alias(c) if x == c else ref(x) for x in df.columns]
+def _with_share(
+    df: DataFrame, columns: Sequence[str], c: str, shares: Shares, i: int
+) -> tuple[DataFrame, str]:
+    """The table with the value's share joined on, and the SQL that reads it."""
+    value, share = f"__gf_value{i}", f"__gf_share{i}"
+    table = shares.table.toDF(value, share)
     key = ref(c).cast("string")
     if shares.small:
-        return df.join(F.broadcast(shares.table), key == F.col("__gf_value"), "left").select(*cols)
+        return df.join(F.broadcast(table), key == F.col(value), "left"), share
     # Too many values to broadcast. Values above HOT_SHARE number at most 1 / HOT_SHARE, so
     # those are broadcast; only the rest is shuffled, and rows already served (or null) are
     # spread over the shuffle by a salt that matches nothing.
-    hot = shares.table.where(F.col("__gf_share") > HOT_SHARE).select(
-        F.col("__gf_value").alias("__gf_hot"), F.col("__gf_share").alias("__gf_hot_share"))
-    cold = shares.table.where(F.col("__gf_share") <= HOT_SHARE)
-    served = df.join(F.broadcast(hot), key == F.col("__gf_hot"), "left")
-    salt = F.xxhash64(*[ref(x) for x in df.columns]).cast("string")
-    need = F.col("__gf_hot").isNull() & ref(c).isNotNull()
-    served = served.withColumn("__gf_need", need).withColumn(
-        "__gf_key", F.when(F.col("__gf_need"), key).otherwise(salt))
-    cold = cold.withColumn("__gf_cold", F.lit(True))
-    on = (F.col("__gf_need") == F.col("__gf_cold")) & (F.col("__gf_key") == F.col("__gf_value"))
-    joined = served.join(cold, on, "left").withColumn(
-        "__gf_share", F.coalesce("__gf_hot_share", "__gf_share"))
-    return joined.select(*cols)
+    hot_value, hot_share, need, cold = (f"__gf_{x}{i}" for x in ("hot", "hots", "need", "cold"))
+    hot = table.where(F.col(share) > HOT_SHARE).toDF(hot_value, hot_share)
+    rest = table.where(F.col(share) <= HOT_SHARE).withColumn(cold, F.lit(True))
+    served = df.join(F.broadcast(hot), key == F.col(hot_value), "left").withColumn(
+        need, F.col(hot_value).isNull() & ref(c).isNotNull())
+    salt = F.xxhash64(*[ref(x) for x in columns]).cast("string")
+    on = (F.col(need) == F.col(cold)) & (
+        F.when(F.col(need), key).otherwise(salt) == F.col(value))
+    return served.join(rest, on, "left"), f"coalesce({hot_share}, {share})"
 
 
 def _only(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
@@ -150,11 +185,8 @@ def encode_frequency(
     df: DataFrame, cols: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Replace a value by its share among the column's non-null rows; null stays null."""
-    levels = materialize(profile.level_counts(df, cols), "levels", ["column_name"])
-    sizes = levels.groupBy("column_name").agg(
-        F.sum("n").alias("total"), F.sum(F.octet_length("value") + 32).alias("bytes")).collect()
-    shares = {r["column_name"]: _shares(levels, r["column_name"], r, broadcast_bytes)
-              for r in sizes}
+    levels, sizes, known = _levels(df, cols, broadcast_bytes)
+    shares = _shares(levels, sizes, known, [c for c in cols if c in sizes], broadcast_bytes)
     empty = [c for c in cols if c not in shares]
     out = apply_encoding(df, EncodingFit(shares=shares))
     return out.select(*[F.lit(None).cast("double").alias(c) if c in empty else ref(c)
@@ -169,23 +201,21 @@ def encode_categoricals(df: DataFrame, cols: Sequence[str] | None = None) -> Dat
 
 def fit_scale(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
     """(mean, divisor) per column; the divisor of a constant column is 1."""
-    df = canonical(df)
-    out: dict[str, tuple[float, float]] = {}
-    for part in chunks(list(cols), AGGS_PER_JOB // 2):
-        row = df.agg(*[e for i, c in enumerate(part) for e in (
-            F.avg(ref(c)).alias(f"m{i}"), F.stddev_pop(ref(c)).alias(f"s{i}"))]).first()
-        for i, c in enumerate(part):
-            if row[f"m{i}"] is not None:
-                out[c] = (row[f"m{i}"], row[f"s{i}"] or 1.0)
-    return out
+    if not cols:
+        return {}
+    found = stacked(canonical(df), [
+        ([f"avg({ident(c)}) AS m{i}", f"stddev_pop({ident(c)}) AS s{i}"],
+         {"column_name": text(c), "mean": f"m{i}", "sd": f"s{i}"})
+        for i, c in enumerate(cols)])
+    return {r["column_name"]: (r["mean"], r["sd"] or 1.0)
+            for r in found.collect() if r["mean"] is not None}
 
 
 def apply_scale(df: DataFrame, fit: dict[str, tuple[float, float]]) -> DataFrame:
     df = canonical(df)
-    return df.select(*[
-        ((ref(c) - F.lit(fit[c][0])) / F.lit(fit[c][1]) if c in fit else ref(c)).alias(c)
-        for c in df.columns
-    ])
+    return df.selectExpr(*[
+        f"({ident(c)} - {number(fit[c][0])}) / {number(fit[c][1])} AS {ident(c)}"
+        if c in fit else ident(c) for c in df.columns])
 
 
 def standard_scale(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

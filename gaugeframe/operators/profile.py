@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeframe.functions.columns import canonical, chunks, doubles, ref, small_table, tall
+from gaugeframe.functions.columns import (
+    canonical,
+    doubles,
+    ident,
+    number,
+    ref,
+    small_table,
+    stacked,
+    tall,
+    text,
+)
 from gaugeframe.functions.order_stats import quantiles
 from gaugeframe.sources.scratch import materialize
 from gaugeframe.sources.tables import column_roles
@@ -16,7 +26,6 @@ from gaugeframe.sources.tables import column_roles
 FENCE = 1.5
 QUARTILES = (0.25, 0.5, 0.75)
 SUSPECT_LIMIT = 1_000_000
-AGGS_PER_JOB = 500
 
 
 def dataset_info(df: DataFrame, target: str | None = None) -> DataFrame:
@@ -27,41 +36,34 @@ def dataset_info(df: DataFrame, target: str | None = None) -> DataFrame:
     role_of |= {c: "other" for c in roles.other}
     rows = [
         {
-            "column_name": F.lit(f.name),
-            "dtype": F.lit(f.dataType.simpleString()),
-            "role": F.lit("target" if f.name == target else role_of[f.name]),
-            "n_rows": F.col("n"),
-            "n_columns": F.lit(len(df.columns)).cast("bigint"),
-            "n_numeric": F.lit(len(roles.numeric)).cast("bigint"),
-            "n_categorical": F.lit(len(roles.categorical)).cast("bigint"),
+            "column_name": text(f.name),
+            "dtype": text(f.dataType.simpleString()),
+            "role": text("target" if f.name == target else role_of[f.name]),
+            "n_rows": "n",
+            "n_columns": f"{len(df.columns)}L",
+            "n_numeric": f"{len(roles.numeric)}L",
+            "n_categorical": f"{len(roles.categorical)}L",
         }
         for f in df.schema.fields
     ]
-    return tall(df.agg(F.count("*").alias("n")), rows)
+    return tall(df.selectExpr("count(*) AS n"), rows)
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
-    """One row ``n, m0, m1, ...``: the row count and the nulls of each column in order."""
-    df = canonical(df)
-    return df.agg(
-        F.count("*").alias("n"),
-        *[(F.count("*") - F.count(ref(c))).alias(f"m{i}") for i, c in enumerate(df.columns)],
-    )
+    """(column_name, n_rows, missing_count) for every column."""
+    return stacked(canonical(df), [
+        ([f"count(*) AS n{i}", f"count({ident(c)}) AS f{i}"],
+         {"column_name": text(c), "n_rows": f"n{i}", "missing_count": f"n{i} - f{i}"})
+        for i, c in enumerate(df.columns)])
 
 
 def missing_profile(df: DataFrame) -> DataFrame:
     """Null count and share of rows for every column that has any, most missing first."""
-    rows = [
-        {
-            "column_name": F.lit(c),
-            "missing_count": F.col(f"m{i}"),
-            "missing_percentage": F.try_divide(F.col(f"m{i}").cast("double"), F.col("n")) * 100,
-        }
-        for i, c in enumerate(df.columns)
-    ]
+    share = F.try_divide(F.col("missing_count").cast("double"), F.col("n_rows")) * 100
     return (
-        tall(missing_counts(df), rows)
+        missing_counts(df)
         .where(F.col("missing_count") > 0)
+        .select("column_name", "missing_count", share.alias("missing_percentage"))
         .orderBy(F.desc("missing_count"), "column_name")
     )
 
@@ -69,16 +71,12 @@ def missing_profile(df: DataFrame) -> DataFrame:
 def missing_totals(before: DataFrame, after: DataFrame) -> DataFrame:
     """All nulls in a table before and after cleaning."""
 
-    def total(df: DataFrame, name: str) -> DataFrame:
-        cells = [F.col(f"m{i}") for i in range(len(df.columns))]
-        stage = missing_counts(df)
-        return stage.select(F.lit(name).alias("stage"), sum(cells[1:], cells[0]).alias("missing"))
-
-    both = total(before, "before").unionByName(total(after, "after"))
-    return both.agg(
-        F.max(F.when(F.col("stage") == "before", F.col("missing"))).alias("missing_before"),
-        F.max(F.when(F.col("stage") == "after", F.col("missing"))).alias("missing_after"),
-    )
+    both = missing_counts(before).withColumn("stage", F.lit("before")).unionByName(
+        missing_counts(after).withColumn("stage", F.lit("after")))
+    return both.agg(*[
+        F.sum(F.when(F.col("stage") == stage, F.col("missing_count"))).alias(f"missing_{stage}")
+        for stage in ("before", "after")
+    ])
 
 
 def row_hash(df: DataFrame):
@@ -130,9 +128,10 @@ def duplicate_profile(df: DataFrame, suspect_limit: int = SUSPECT_LIMIT) -> Data
     )
 
 
-def _moments(c: str, nulls: str):
-    ok = F.lit(True) if nulls == "drop" else F.count(ref(c)) == F.count("*")
-    return F.when(ok, F.skewness(ref(c))), F.when(ok, F.kurtosis(ref(c)))
+def _moments(c: str, nulls: str) -> tuple[str, str]:
+    q = ident(c)
+    ok = "true" if nulls == "drop" else f"count({q}) = count(*)"
+    return f"CASE WHEN {ok} THEN skewness({q}) END", f"CASE WHEN {ok} THEN kurtosis({q}) END"
 
 
 def numeric_summary(
@@ -144,27 +143,20 @@ def numeric_summary(
     """
     cols = list(cols) if cols is not None else column_roles(df).numeric
     cuts = quantiles(df, cols, QUARTILES, exact)
-    nums = doubles(df, cols)
-    parts = []
-    for part in chunks(cols, AGGS_PER_JOB // 7):
-        aggs, rows = [], []
-        for i, c in enumerate(part):
-            x = ref(c)
-            skew, kurt = _moments(c, "propagate")
-            aggs += [
-                F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"),
-                F.stddev_samp(x).alias(f"std{i}"), F.min(x).alias(f"min{i}"),
-                F.max(x).alias(f"max{i}"), skew.alias(f"skew{i}"), kurt.alias(f"kurt{i}"),
-            ]
-            q1, q2, q3 = (F.lit(v).cast("double") for v in cuts[c])
-            rows.append({
-                "column_name": F.lit(c), "count": F.col(f"n{i}"), "mean": F.col(f"mean{i}"),
-                "std": F.col(f"std{i}"), "min": F.col(f"min{i}"), "p25": q1, "p50": q2,
-                "p75": q3, "max": F.col(f"max{i}"), "skewness": F.col(f"skew{i}"),
-                "kurtosis": F.col(f"kurt{i}"),
-            })
-        parts.append(tall(nums.agg(*aggs), rows))
-    return _union(parts)
+    items = []
+    for i, c in enumerate(cols):
+        q = ident(c)
+        skew, kurt = _moments(c, "propagate")
+        p25, p50, p75 = map(number, cuts[c])
+        items.append((
+            [f"count({q}) AS n{i}", f"avg({q}) AS mean{i}", f"stddev_samp({q}) AS std{i}",
+             f"min({q}) AS min{i}", f"max({q}) AS max{i}", f"{skew} AS skew{i}",
+             f"{kurt} AS kurt{i}"],
+            {"column_name": text(c), "count": f"n{i}", "mean": f"mean{i}", "std": f"std{i}",
+             "min": f"min{i}", "p25": p25, "p50": p50, "p75": p75, "max": f"max{i}",
+             "skewness": f"skew{i}", "kurtosis": f"kurt{i}"},
+        ))
+    return stacked(doubles(df, cols), items)
 
 
 def shape_moments(
@@ -177,13 +169,14 @@ def shape_moments(
     if nulls not in ("propagate", "drop"):
         raise ValueError("nulls must be 'propagate' or 'drop'")
     cols = list(cols) if cols is not None else column_roles(df).numeric
-    aggs, rows = [], []
+    items = []
     for i, c in enumerate(cols):
         skew, kurt = _moments(c, nulls)
-        aggs += [skew.alias(f"skew{i}"), kurt.alias(f"kurt{i}")]
-        rows.append({"column_name": F.lit(c), "skewness": F.col(f"skew{i}"),
-                     "kurtosis": F.col(f"kurt{i}")})
-    return tall(doubles(df, cols).agg(*aggs), rows)
+        items.append((
+            [f"{skew} AS skew{i}", f"{kurt} AS kurt{i}"],
+            {"column_name": text(c), "skewness": f"skew{i}", "kurtosis": f"kurt{i}"},
+        ))
+    return stacked(doubles(df, cols), items)
 
 
 def level_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -192,8 +185,8 @@ def level_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     Counts are combined before the shuffle, so a value that holds a third of all rows
     travels once per task.
     """
-    tall_form = df.select(*[ref(c).cast("string").alias(c) for c in cols]).unpivot(
-        [], [ref(c) for c in cols], "column_name", "value"
+    tall_form = df.selectExpr(*[f"CAST({ident(c)} AS STRING) AS {ident(c)}" for c in cols]).unpivot(
+        [], [ident(c) for c in cols], "column_name", "value"
     )
     return (
         tall_form.where(F.col("value").isNotNull())
@@ -255,23 +248,18 @@ def iqr_bounds(
     """Quartiles, fences and outliers per column, most outliers first."""
     cols = list(cols) if cols is not None else column_roles(df).numeric
     fences = iqr_fences(df, cols, k, exact)
-    aggs, rows = [F.count("*").alias("n")], []
+    items = []
     for i, c in enumerate(cols):
         q1, q3, lo, hi = fences[c] or (None,) * 4
-        x = ref(c)
-        out = F.lit(False) if lo is None else (x < F.lit(lo)) | (x > F.lit(hi))
-        aggs.append(F.count_if(out).alias(f"o{i}"))
-        rows.append({
-            "column_name": F.lit(c),
-            "q1": F.lit(q1).cast("double"),
-            "q3": F.lit(q3).cast("double"),
-            "iqr": F.lit(None if q1 is None else q3 - q1).cast("double"),
-            "lower_bound": F.lit(lo).cast("double"),
-            "upper_bound": F.lit(hi).cast("double"),
-            "outlier_count": F.col(f"o{i}"),
-            "outlier_percentage": F.try_divide(F.col(f"o{i}").cast("double"), F.col("n")) * 100,
-        })
-    return tall(doubles(df, cols).agg(*aggs), rows).orderBy(F.desc("outlier_count"), "column_name")
+        q, low, high = ident(c), number(lo), number(hi)
+        items.append((
+            [f"count(*) AS n{i}", f"count_if({q} < {low} OR {q} > {high}) AS o{i}"],
+            {"column_name": text(c), "q1": number(q1), "q3": number(q3),
+             "iqr": number(None if q1 is None else q3 - q1),
+             "lower_bound": low, "upper_bound": high, "outlier_count": f"o{i}",
+             "outlier_percentage": f"try_divide(CAST(o{i} AS DOUBLE), n{i}) * 100"},
+        ))
+    return stacked(doubles(df, cols), items).orderBy(F.desc("outlier_count"), "column_name")
 
 
 def class_distribution(df: DataFrame, target: str) -> DataFrame:
@@ -303,13 +291,15 @@ def scaling_advice(
 ) -> DataFrame:
     """Minimum, maximum and range per column; a range above ``wide`` needs scaling."""
     cols = list(cols) if cols is not None else column_roles(df).numeric
-    aggs, rows = [], []
+    items = []
     for i, c in enumerate(cols):
-        aggs += [F.min(ref(c)).alias(f"lo{i}"), F.max(ref(c)).alias(f"hi{i}")]
-        span = F.col(f"hi{i}") - F.col(f"lo{i}")
-        rows.append({"column_name": F.lit(c), "min": F.col(f"lo{i}"), "max": F.col(f"hi{i}"),
-                     "range": span, "needs_scaling": F.coalesce(span > wide, F.lit(False))})
-    return tall(doubles(df, cols).agg(*aggs), rows)
+        q, span = ident(c), f"hi{i} - lo{i}"
+        items.append((
+            [f"min({q}) AS lo{i}", f"max({q}) AS hi{i}"],
+            {"column_name": text(c), "min": f"lo{i}", "max": f"hi{i}", "range": span,
+             "needs_scaling": f"coalesce({span} > {number(wide)}, false)"},
+        ))
+    return stacked(doubles(df, cols), items)
 
 
 def encoding_advice(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -317,10 +307,3 @@ def encoding_advice(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     n = F.col("unique_count")
     advice = F.when(n > 10, "high").when(n == 2, "binary").otherwise("one-hot")
     return categorical_summary(df, cols).select("column_name", n, advice.alias("advice"))
-
-
-def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

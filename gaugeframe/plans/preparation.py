@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,13 +97,16 @@ def prepare(
 
     text = [c for c in column_roles(rows).categorical if c not in plain]
     encoding = encode.fit_encoding(learn, text)
-    learn, rows = (encode.apply_encoding(t, encoding) for t in (learn, rows))
+    rows = encode.apply_encoding(rows, encoding)
     if fit_on == "train" and encoding.shares:
         # A value never seen in training has no share.
         rows = rows.fillna(0.0, list(encoding.shares))
 
-    numeric = [c for c in column_roles(rows).numeric if c not in plain]
+    # The moments of shares are known from their counts; only the others need a scan.
+    learn = encode.apply_encoding(learn, replace(encoding, shares={}))
+    numeric = [c for c in column_roles(learn).numeric if c not in plain]
     scale = encode.fit_scale(learn, numeric)
+    scale |= {c: (s.mean, s.std or 1.0) for c, s in encoding.shares.items()}
     rows = encode.apply_scale(rows, scale)
     features = [c for c in rows.columns if c not in plain]
     out = rows.select(*[ref(c) for c in features], *[ref(c) for c in exclude], "label", "split", KEY)
