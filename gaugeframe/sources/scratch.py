@@ -13,14 +13,14 @@ SETTING = "spark.checkpoint.dir"
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by the session; a local one only for a local master."""
-    root = spark.conf.get(SETTING, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="gaugeframe-")
-    spark.conf.set(SETTING, root)
-    return root
+    context = spark.sparkContext
+    root = spark.conf.get(SETTING, None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="gaugeframe-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
