@@ -16,10 +16,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugeframe.functions.columns import ref, small_table
+from gaugeframe.sources.scratch import materialize
 
 KEY, GROUP = "__gf_key", "__gf_group"
 DIGITS = 3
-RANKABLE_ROWS = 200_000
+RANKABLE_ROWS = 50_000
+_STATE = "grp string, slot int, prefix string, rank bigint, size bigint"
 
 
 def row_identity(df: DataFrame, key: str | Sequence[str] | None = None) -> Column:
@@ -42,42 +44,54 @@ def group_key(col: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), col.cast("string")), F.lit("missing"))
 
 
+def prefix_counts(keys: DataFrame) -> DataFrame:
+    """Stored (GROUP, bucket, n): rows per first digits of the key, combined before the shuffle.
+
+    Group sizes and the first step of the rank search both read it instead of the rows.
+    """
+    counted = keys.groupBy(GROUP, F.substring(KEY, 1, DIGITS).alias("bucket")).agg(
+        F.count("*").alias("n"))
+    return materialize(counted, "key-prefixes")
+
+
+def group_sizes(counts: DataFrame, max_groups: int) -> dict[str, int]:
+    sizes = counts.groupBy(GROUP).agg(F.sum("n").alias("n")).limit(max_groups + 1).collect()
+    if len(sizes) > max_groups:
+        raise ValueError(f"more than {max_groups} groups: this is not a class label")
+    return {r[GROUP]: r["n"] for r in sizes}
+
+
 def cutoffs(
     keys: DataFrame,
+    counts: DataFrame,
+    sizes: dict[str, int],
     wanted: dict[tuple[str, int], int],
-    group_sizes: dict[str, int],
     rankable_rows: int = RANKABLE_ROWS,
 ) -> dict[tuple[str, int], str]:
     """Key of the given 1-based rank for each (group, slot).
 
-    ``keys`` has the columns KEY and GROUP. Ranks of 0 must not be asked for.
+    ``keys`` has the columns KEY and GROUP, ``counts`` is its ``prefix_counts``.
     """
     if not wanted:
         return {}
     spark = keys.sparkSession
-    state = [(g, s, "", r, group_sizes[g]) for (g, s), r in wanted.items()]
-    schema = "grp string, slot int, prefix string, rank bigint, size bigint"
-    depth = 0
-    while max(row[4] for row in state) > rankable_rows and depth < 30:
+    state, depth = [(g, s, "", r, sizes[g]) for (g, s), r in wanted.items()], 0
+    if max(sizes.values()) > rankable_rows:
+        first = small_table(spark, state, _STATE).drop("size")
+        state = _narrowed(counts.join(F.broadcast(first), F.col(GROUP) == F.col("grp")))
+        depth = DIGITS
+    while depth and max(row[4] for row in state) > rankable_rows and depth < 30:
         counts = (
-            _inside(keys, small_table(spark, state, schema), depth)
-            .withColumn("bucket", F.substring(F.col(KEY), 1, depth + DIGITS))
+            _inside(keys, small_table(spark, state, _STATE), depth)
+            .withColumn("bucket", F.substring(KEY, 1, depth + DIGITS))
             .groupBy("grp", "slot", "rank", "bucket")
             .agg(F.count("*").alias("n"))
         )
-        running = F.sum("n").over(W.partitionBy("grp", "slot").orderBy("bucket"))
-        hit = (
-            counts.withColumn("upto", running)
-            .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
-            .select("grp", "slot", "bucket",
-                    (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "n")
-        )
-        state = [tuple(r) for r in hit.collect()]
-        depth += DIGITS
+        state, depth = _narrowed(counts), depth + DIGITS
 
     w = W.partitionBy("grp", "slot").orderBy(KEY)
     found = (
-        _inside(keys, small_table(spark, state, schema), depth)
+        _inside(keys, small_table(spark, state, _STATE), depth)
         .select("grp", "slot", "rank", KEY, F.row_number().over(w).alias("at"),
                 F.lead(KEY).over(w).alias("next"))
         .where(F.col("at") == F.col("rank"))
@@ -88,9 +102,18 @@ def cutoffs(
     return {(r["grp"], r["slot"]): r[KEY] for r in found}
 
 
+def _narrowed(counts: DataFrame) -> list[tuple]:
+    """The bucket that holds each rank, with the rank inside it and its size."""
+    # At most 16^DIGITS rows per group and slot reach this window.
+    running = F.sum("n").over(W.partitionBy("grp", "slot").orderBy("bucket"))
+    upto, n, rank = F.col("upto"), F.col("n"), F.col("rank")
+    hit = counts.withColumn("upto", running).where((upto >= rank) & (upto - n < rank))
+    return [tuple(r) for r in hit.select(
+        "grp", "slot", "bucket", (rank - upto + n).alias("rank"), "n").collect()]
+
+
 def _inside(keys: DataFrame, state: DataFrame, depth: int) -> DataFrame:
     # The state has one row per (group, slot): the classes times two, or the folds.
-    cond = F.col(GROUP) == F.col("grp")
-    if depth:
-        cond = cond & (F.substring(F.col(KEY), 1, depth) == F.col("prefix"))
-    return keys.join(F.broadcast(state), cond, "inner")
+    prefix = F.substring(KEY, 1, depth)
+    return keys.join(
+        F.broadcast(state), (F.col(GROUP) == F.col("grp")) & (prefix == F.col("prefix")), "inner")

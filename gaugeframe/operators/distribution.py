@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
@@ -27,16 +26,18 @@ from gaugeframe.sources.tables import column_roles
 
 SNAP = 1e-12
 UNSURE = 1e-8
+DIRECT_PAIRS = 45
 BIN_SCHEMA = "column_name string, bin int, bin_start double, bin_end double"
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every ordered pair over the rows where both are present.
 
-    One pass sizes the columns, a second sums all products of the standardised values, their
-    squares and the presence of each column with gaps; every pair follows from those sums.
-    NULL when either side is constant or empty. Values within 1e-12 of +-1 are set to +-1, so
-    that the order in which partial sums arrive cannot decide whether a pair is perfect.
+    One pass sizes the columns. A few pairs are then aggregated one by one; for many, a single
+    pass sums all products of the standardised values, their squares and the presence of each
+    column with gaps, and every pair follows from those sums. NULL when either side is constant
+    or empty. Values within 1e-12 of +-1 are set to +-1, so that the order in which partial sums
+    arrive cannot decide whether a pair is perfect.
     """
     cols = list(cols) if cols is not None else column_roles(df).numeric
     nums = doubles(df, cols)
@@ -49,31 +50,13 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     live = [i for i in range(len(cols)) if size[i]["sd"]]
     holes = [i for i in live if size[i]["gaps"]]
     found = {(i, i): 1.0 for i in live}
-    if len(live) > 1:
-        z = {i: f"coalesce(({ident(cols[i])} - {number(size[i]['mean'])})"
-                f" / {number(size[i]['sd'])}, 0D)" for i in live}
-        parts = [z[i] for i in live] + [f"{z[i]} * {z[i]}" for i in live] + ["1D"]
-        parts += [f"CAST({ident(cols[i])} IS NOT NULL AS DOUBLE)" for i in holes]
-        sums = _product_sums(nums, parts)
-        place = {i: k for k, i in enumerate(live)}
-        width = len(live)
-        present = {i: 2 * width + 1 + holes.index(i) if i in holes else 2 * width for i in live}
-        unsure = []
-        for a, i in enumerate(live):
-            for j in live[:a]:
-                n = sums[present[i], present[j]]
-                if n == 0:
-                    continue
-                mean = sums[place[i], present[j]] / n, sums[place[j], present[i]] / n
-                square = (sums[width + place[i], present[j]] / n,
-                          sums[width + place[j], present[i]] / n)
-                var = square[0] - mean[0] ** 2, square[1] - mean[1] ** 2
-                if min(var[0] / (square[0] or 1.0), var[1] / (square[1] or 1.0)) < UNSURE:
-                    unsure.append((i, j))
-                    continue
-                cov = sums[place[i], place[j]] / n - mean[0] * mean[1]
-                found[i, j] = float(cov / math.sqrt(var[0] * var[1]))
-        found |= _pairs_directly(nums, cols, unsure)
+    pairs = [(i, j) for k, i in enumerate(live) for j in live[:k]]
+    spread = {i: size[i]["sd"] for i in live}
+    if len(pairs) > DIRECT_PAIRS:
+        known, pairs = _pairs_from_sums(
+            nums, cols, live, holes, {i: size[i]["mean"] for i in live}, spread)
+        found |= known
+    found |= _pairs_directly(nums, cols, pairs, holes, spread)
     rows = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
@@ -85,29 +68,68 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
         df.sparkSession, rows, "a string, b string, corr double, pos_a int, pos_b int")
 
 
-def _product_sums(nums: DataFrame, parts: Sequence[str]) -> np.ndarray:
-    """Sums of all pairwise products of the given columns, by a distributed tree aggregate."""
+def _pairs_from_sums(
+    nums: DataFrame, cols: Sequence[str], live: list[int], holes: list[int],
+    mean: dict[int, float], spread: dict[int, float],
+) -> tuple[dict[tuple[int, int], float], list[tuple[int, int]]]:
+    """Correlations from the sums of all pairwise products of standardised values.
+
+    Also returns the pairs whose common rows hardly vary, where the sums would cancel.
+    """
+    z = {i: f"coalesce(({ident(cols[i])} - {number(mean[i])}) / {number(spread[i])}, 0D)"
+         for i in live}
+    parts = [z[i] for i in live] + [f"{z[i]} * {z[i]}" for i in live] + ["1D"]
+    parts += [f"CAST({ident(cols[i])} IS NOT NULL AS DOUBLE)" for i in holes]
     names = [f"p{i}" for i in range(len(parts))]
     wide = nums.selectExpr(*[f"{p} AS {n}" for p, n in zip(parts, names)])
     vectors = VectorAssembler(inputCols=names, outputCol="v").transform(wide).select("v")
-    return RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")
+    # A tree aggregate of one small matrix per task.
+    sums = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")
                      ).computeGramianMatrix().toArray()
+    width = len(live)
+    place = {i: k for k, i in enumerate(live)}
+    present = {i: 2 * width + (1 + holes.index(i) if i in holes else 0) for i in live}
+
+    def moments(i: int, j: int, n: float) -> tuple[float, float]:
+        """Mean and mean square of column i over the rows that also have column j."""
+        return sums[place[i], present[j]] / n, sums[width + place[i], present[j]] / n
+
+    found, unsure = {}, []
+    for k, i in enumerate(live):
+        for j in live[:k]:
+            n = sums[present[i], present[j]]
+            if not n:
+                continue
+            (mean_i, square_i), (mean_j, square_j) = moments(i, j, n), moments(j, i, n)
+            var_i, var_j = square_i - mean_i**2, square_j - mean_j**2
+            if var_i <= UNSURE * square_i or var_j <= UNSURE * square_j:
+                unsure.append((i, j))
+            else:
+                cov = sums[place[i], place[j]] / n - mean_i * mean_j
+                found[i, j] = float(cov / math.sqrt(var_i * var_j))
+    return found, unsure
 
 
 def _pairs_directly(
-    nums: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[int, int]]
+    nums: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[int, int]],
+    holes: Sequence[int], spread: dict[int, float],
 ) -> dict[tuple[int, int], float | None]:
-    """Pairs whose common rows hardly vary, where differences of sums would cancel."""
+    """Correlations by Spark's own moments; conditional ones only against a column with gaps."""
     if not pairs:
         return {}
+
+    def side(i: int, j: int, name: str) -> tuple[list[str], str]:
+        if j not in holes:
+            return [], number(spread[i])
+        x, y = ident(cols[i]), ident(cols[j])
+        return [f"stddev_pop({x}) FILTER (WHERE {y} IS NOT NULL) AS {name}"], name
+
     items = []
     for k, (i, j) in enumerate(pairs):
-        x, y = ident(cols[i]), ident(cols[j])
+        (agg_i, sd_i), (agg_j, sd_j) = side(i, j, f"x{k}"), side(j, i, f"y{k}")
         items.append((
-            [f"covar_pop({x}, {y}) AS c{k}",
-             f"stddev_pop({x}) FILTER (WHERE {y} IS NOT NULL) AS x{k}",
-             f"stddev_pop({y}) FILTER (WHERE {x} IS NOT NULL) AS y{k}"],
-            {"k": str(k), "corr": f"try_divide(c{k}, x{k} * y{k})"},
+            [f"covar_pop({ident(cols[i])}, {ident(cols[j])}) AS c{k}", *agg_i, *agg_j],
+            {"k": str(k), "corr": f"try_divide(try_divide(c{k}, {sd_i}), {sd_j})"},
         ))
     return {pairs[r["k"]]: r["corr"] for r in stacked(nums, items).collect()}
 

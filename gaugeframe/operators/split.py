@@ -15,6 +15,8 @@ from gaugeframe.functions.hashrank import (
     RANKABLE_ROWS,
     cutoffs,
     group_key,
+    group_sizes,
+    prefix_counts,
     row_key,
 )
 from gaugeframe.operators.encode import MAX_CLASSES
@@ -61,19 +63,17 @@ def stratified_split(
     """
     keyed = df.withColumn(KEY, row_key(df, seed, key)).withColumn(GROUP, group_key(ref(label)))
     keys = keyed.select(KEY, GROUP)
-    rows = keys.groupBy(GROUP).agg(F.count("*").alias("n")).take(MAX_CLASSES + 1)
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"label {label!r} has more than {MAX_CLASSES} classes")
-    if not rows:
+    counts = prefix_counts(keys)
+    sizes = group_sizes(counts, MAX_CLASSES)
+    if not sizes:
         return df.withColumn("split", F.lit(None).cast("string"))
-    sizes = {r[GROUP]: r["n"] for r in rows}
     tests, vals = split_quotas(sizes, test, val)
     wanted = {}
     for c in sizes:
         for slot, rank in ((0, tests[c]), (1, tests[c] + vals[c])):
             if rank:
                 wanted[(c, slot)] = rank
-    at = cutoffs(keys, wanted, sizes, rankable_rows)
+    at = cutoffs(keys, counts, sizes, wanted, rankable_rows)
     # One row per class; an empty quota has the cutoff '', below every md5.
     table = small_table(
         df.sparkSession,
@@ -117,11 +117,13 @@ def kfold_assign(
     """Add ``fold`` 0..k-1: shuffled, not stratified, the first n mod k folds one row larger."""
     keyed = df.withColumn(KEY, row_key(df, seed, key))
     keys = keyed.select(KEY, F.lit("all").alias(GROUP))
-    n = keys.count()
+    counts = prefix_counts(keys)
+    n = group_sizes(counts, 1).get("all", 0)
     if n < k:
         raise ValueError(f"cannot make {k} folds of {n} rows")
     ends = [sum(n // k + (f < n % k) for f in range(upto + 1)) for upto in range(k - 1)]
-    at = cutoffs(keys, {("all", i): r for i, r in enumerate(ends)}, {"all": n}, rankable_rows)
+    wanted = {("all", i): r for i, r in enumerate(ends)}
+    at = cutoffs(keys, counts, {"all": n}, wanted, rankable_rows)
     fold = F.lit(0)
     for i in range(k - 1):
         fold = fold + (F.col(KEY) > F.lit(at[("all", i)])).cast("int")

@@ -3,9 +3,12 @@ import pandas as pd
 import pytest
 
 import gaugeframe as gf
+from gaugeframe.operators import distribution
 
 
-def test_pairwise_complete_correlation(spark):
+@pytest.mark.parametrize("direct", [0, 45])
+def test_pairwise_complete_correlation(spark, monkeypatch, direct):
+    monkeypatch.setattr(distribution, "DIRECT_PAIRS", direct)
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame(rng.normal(size=(300, 4)), columns=["a", "b", "c.d", "e"])
     pdf["b"] += pdf["a"]
@@ -35,7 +38,9 @@ def test_perfect_pairs(spark):
     assert sorted(triangle) == [("b", "a"), ("c", "a"), ("c", "b")]
 
 
-def test_common_rows_that_hardly_vary(spark):
+@pytest.mark.parametrize("direct", [0, 45])
+def test_common_rows_that_hardly_vary(spark, monkeypatch, direct):
+    monkeypatch.setattr(distribution, "DIRECT_PAIRS", direct)
     # b is nearly constant where a is present, and constant where c is.
     df = spark.createDataFrame(
         [(1.0, 1e6, 1.0), (2.0, 1e6 + 1e-3, None), (4.0, 1e6, 2.0), (None, -1e6, None),
