@@ -27,6 +27,7 @@ from gaugeframe.sources.tables import column_roles
 SNAP = 1e-12
 UNSURE = 1e-8
 DIRECT_PAIRS = 45
+REACH = 39.0
 BIN_SCHEMA = "column_name string, bin int, bin_start double, bin_end double"
 
 
@@ -203,8 +204,10 @@ def density(df: DataFrame, col: str, points: int = 200, cut: float = 3.0) -> Dat
     """Gaussian kernel density on an even grid, bandwidth n^(-1/5) times the sample std.
 
     The grid spans the data extended by ``cut`` bandwidths (0 stays within the data). Equal
-    values are counted once first, then each adds its kernel to the fixed grid; the sums
-    are combined before the shuffle, so ``points`` rows per task leave the map side.
+    values are counted once first. Each then adds its kernel to the grid points it reaches:
+    beyond REACH bandwidths the kernel is 0 in double precision, and as the bandwidth shrinks
+    with the number of rows, so does the number of points. The sums are combined before the
+    shuffle, so at most ``points`` rows leave a task.
     """
     nums = doubles(df, [col]).where(ref(col).isNotNull()).select(ref(col).alias("x"))
     stat = nums.agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"),
@@ -214,16 +217,22 @@ def density(df: DataFrame, col: str, points: int = 200, cut: float = 3.0) -> Dat
     n, width = stat["n"], stat["sd"] * stat["n"] ** -0.2
     lo, hi = stat["lo"] - cut * width, stat["hi"] + cut * width
     step = (hi - lo) / (points - 1)
-    values = nums.groupBy("x").agg(F.count("*").alias("w"))
-    spread = values.select("x", "w", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    at = F.lit(lo) + F.col("point") * F.lit(step)
-    z = (at - F.col("x")) / F.lit(width)
+
+    def nearest(side: str, reach: float) -> str:
+        return f"CAST({side}((x - {number(lo)} + {number(reach)}) / {number(step)}) AS INT)"
+
+    reached = (f"sequence(greatest(0, {nearest('ceil', -REACH * width)}), "
+               f"least({points - 1}, {nearest('floor', REACH * width)}))")
+    spread = nums.groupBy("x").agg(F.count("*").alias("w")).selectExpr(
+        "x", "w", f"explode({reached}) AS point")
+    z = (F.lit(lo) + F.col("point") * F.lit(step) - F.col("x")) / F.lit(width)
     scale = 1.0 / (n * width * math.sqrt(2 * math.pi))
-    return (
-        spread.groupBy("point")
-        .agg((F.sum(F.col("w") * F.exp(-0.5 * z * z)) * F.lit(scale)).alias("density"))
-        .select("point", at.alias("x"), "density")
-    )
+    sums = spread.groupBy("point").agg(
+        (F.sum(F.col("w") * F.exp(-0.5 * z * z)) * F.lit(scale)).alias("density"))
+    grid = small_table(df.sparkSession, [(i, lo + i * step) for i in range(points)],
+                       "point int, x double")
+    return grid.join(sums, "point", "left").select(
+        "point", "x", F.coalesce("density", F.lit(0.0)).alias("density"))
 
 
 def box_stats(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:

@@ -109,8 +109,20 @@ def _shares(levels, sizes, known, cols: Sequence[str], broadcast_bytes: int) ->
     return out
 
 
-def one_hot_names(fit: EncodingFit) -> list[str]:
-    return [f"{c}_{v}" for c, values in fit.one_hot.items() for v in values[1:]]
+def indicator_names(fit: EncodingFit, columns: Sequence[str]) -> dict[tuple[str, str], str]:
+    """Name per (column, value). Spark matches names without case, so a name that would equal
+    another one that way ("Sex_male" beside "Sex_Male") is numbered."""
+    taken = {c.lower() for c in columns if c not in fit.one_hot}
+    names = {}
+    for c, values in fit.one_hot.items():
+        for v in values[1:]:
+            name, copy = f"{c}_{v}", 1
+            while name.lower() in taken:
+                copy += 1
+                name = f"{c}_{v}_{copy}"
+            taken.add(name.lower())
+            names[c, v] = name
+    return names
 
 
 def apply_encoding(df: DataFrame, fit: EncodingFit) -> DataFrame:
@@ -130,8 +142,8 @@ def apply_encoding(df: DataFrame, fit: EncodingFit) -> DataFrame:
                        f"ELSE CASE WHEN {q} IS NULL THEN 2 END END AS {q}")
         elif c not in fit.one_hot:
             out.append(q)
-    for c, values in fit.one_hot.items():
-        out += [f"{ident(c)} <=> {text(v)} AS {ident(f'{c}_{v}')}" for v in values[1:]]
+    for (c, v), name in indicator_names(fit, columns).items():
+        out.append(f"{ident(c)} <=> {text(v)} AS {ident(name)}")
     return df.selectExpr(*out)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gaugeframe.functions.columns import nan_to_null, ref
+from gaugeframe.functions.columns import nan_to_null, number, ref
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 5_000
@@ -27,8 +27,9 @@ def _edges(scored: DataFrame, rows_per_bucket: int) -> list[float]:
     buckets = min(MAX_BUCKETS, math.ceil(size / rows_per_bucket))
     if buckets < 2:
         return []
-    probs = [i / buckets for i in range(1, buckets)]
-    row = scored.agg(F.percentile_approx("score", probs, 2 * MAX_BUCKETS).alias("q")).first()
+    probs = ", ".join(number(i / buckets) for i in range(1, buckets))
+    row = scored.selectExpr(
+        f"percentile_approx(score, array({probs}), {2 * MAX_BUCKETS}) AS q").first()
     return sorted(set(row["q"]))
 
 

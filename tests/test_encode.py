@@ -24,6 +24,15 @@ def test_onehot_names_order_and_nulls(spark):
         (1, True, False), (2, False, True), (3, False, False), (4, False, False)]
 
 
+def test_values_that_differ_by_case_only(spark):
+    df = spark.createDataFrame([("F",), ("MALE",), ("Male",), ("male",)], "sex string")
+    got = gf.encode_onehot(df, ["sex"])
+    assert got.columns == ["sex_MALE", "sex_Male_2", "sex_male_3"]
+    assert [tuple(map(int, r)) for r in got.collect()] == [
+        (0, 0, 0), (1, 0, 0), (0, 1, 0), (0, 0, 1)]
+    assert gf.standard_scale(got).columns == got.columns
+
+
 def test_single_value_leaves_no_indicator(spark):
     df = spark.createDataFrame([("a", 1)], "k string, n int")
     assert gf.encode_categoricals(df).columns == ["n"]
