@@ -484,7 +484,8 @@ SELECT t, p, round(coalesce(n / nullif(sum(n) OVER (PARTITION BY t), 0), 0), 6)
 FROM e"""
 ORACLES["E8_top_error"] = _GRID + """
 , w AS (SELECT * FROM cm WHERE t <> p ORDER BY n DESC, t, p LIMIT 1)
-SELECT CAST(sum(cm.n) AS BIGINT) AS total, CAST(sum(cm.n) FILTER (cm.t = cm.p) AS BIGINT) AS correct,
+SELECT CAST(sum(cm.n) AS BIGINT) AS total,
+       CAST(sum(cm.n) FILTER (cm.t = cm.p) AS BIGINT) AS correct,
        CAST(sum(cm.n) FILTER (cm.t <> cm.p) AS BIGINT) AS incorrect,
        round(sum(cm.n) FILTER (cm.t = cm.p) / sum(cm.n), 6) AS accuracy,
        any_value(w.t) AS error_true, any_value(w.p) AS error_predicted,

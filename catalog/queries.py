@@ -486,15 +486,20 @@ def _(spark, sf):
     return gf.cross_validate(folds, features, kind="logreg", max_iter=10, parallelism=4)
 
 
-def _folds(spark, sf) -> DataFrame:
-    m = gf.classification_metrics(spark_input(spark, sf, "models"), by=["model_id", "fold"])
+def _model_counts(spark, sf) -> DataFrame:
+    """The outcomes of every model and fold: the one pass over the predictions."""
+    return gf.outcome_counts(spark_input(spark, sf, "models"), by=["model_id", "fold"])
+
+
+def _folds(counts: DataFrame) -> DataFrame:
+    m = gf.classification_metrics(counts, "t", "p", ["model_id", "fold"], count="n")
     return m.select("model_id", "fold", "accuracy", F.col("precision_weighted").alias("precision"),
                     F.col("recall_weighted").alias("recall"), F.col("f1_weighted").alias("f1"))
 
 
 @query("M7_cv_summary")
 def _(spark, sf):
-    return rounded(gf.cv_summary(_folds(spark, sf)))
+    return rounded(gf.cv_summary(_folds(_model_counts(spark, sf))))
 
 
 # --- evaluation
@@ -584,7 +589,11 @@ def _(spark, sf):
 
 
 def _model_metrics(spark, sf) -> DataFrame:
-    return gf.classification_metrics(spark_input(spark, sf, "models"), by=["model_id"])
+    return _per_model(_model_counts(spark, sf))
+
+
+def _per_model(counts: DataFrame) -> DataFrame:
+    return gf.classification_metrics(counts, "t", "p", ["model_id"], count="n")
 
 
 def _joined(df: DataFrame) -> DataFrame:
@@ -604,9 +613,15 @@ def _(spark, sf):
     return _joined(gf.weaknesses(_model_metrics(spark, sf)).select("model_id", "weaknesses"))
 
 
+def _stored_counts(spark, sf) -> DataFrame:
+    """The counts written once: the two sides of the join below would scan twice."""
+    return gf.materialize(_model_counts(spark, sf), "outcomes")
+
+
 def _scored_models(spark, sf) -> DataFrame:
-    cv = gf.cv_summary(_folds(spark, sf)).select("model_id", "std_accuracy")
-    return _model_metrics(spark, sf).join(cv, "model_id", "left")
+    counts = _stored_counts(spark, sf)
+    cv = gf.cv_summary(_folds(counts)).select("model_id", "std_accuracy")
+    return _per_model(counts).join(cv, "model_id", "left")
 
 
 @query("V3_recommendations")
@@ -617,7 +632,7 @@ def _(spark, sf):
 
 @query("V4_stability_band")
 def _(spark, sf):
-    out = gf.stability_band(gf.cv_summary(_folds(spark, sf)))
+    out = gf.stability_band(gf.cv_summary(_folds(_model_counts(spark, sf))))
     return out.select("model_id", "stability")
 
 
@@ -628,7 +643,8 @@ def _(spark, sf):
 
 @query("V6_scorecard")
 def _(spark, sf):
-    card = gf.scorecard(_model_metrics(spark, sf), gf.cv_summary(_folds(spark, sf)))
+    counts = _stored_counts(spark, sf)
+    card = gf.scorecard(_per_model(counts), gf.cv_summary(_folds(counts)))
     return rounded(_joined(card))
 
 

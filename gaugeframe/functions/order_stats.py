@@ -83,7 +83,8 @@ def _ranks(prob: float, n: int) -> tuple[int, int, float]:
 
 
 # 0, 1/GRID, ..., 1 as one folded literal instead of a thousand expression nodes.
-_GRID_SQL = f"CAST(split('{','.join(str(i / GRID) for i in range(GRID + 1))}', ',') AS array<double>)"
+_GRID_TEXT = ",".join(str(i / GRID) for i in range(GRID + 1))
+_GRID_SQL = f"CAST(split('{_GRID_TEXT}', ',') AS array<double>)"
 
 # Output row of one task; what a task does not compute stays null.
 _EMPTY = {"below": "bigint", "inside": "bigint", "distinct": "bigint", "grid": "array<double>",

@@ -33,6 +33,7 @@ from gaugeframe.operators.metrics import (
     confusion_matrix,
     confusion_normalized,
     error_matrix,
+    outcome_counts,
     per_class_metrics,
     prediction_distribution,
     prediction_rows,

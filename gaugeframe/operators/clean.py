@@ -127,7 +127,9 @@ def apply_missing(df: DataFrame, fit: MissingFit) -> DataFrame:
     return _fill(kept, fit.medians, fit.modes)
 
 
-def clean_missing(df: DataFrame, target: str | None = None, impute_target: bool = True) -> DataFrame:
+def clean_missing(
+    df: DataFrame, target: str | None = None, impute_target: bool = True
+) -> DataFrame:
     """Drop sparse columns, then fill numbers with medians and the rest with modes."""
     return apply_missing(df, fit_missing(df, target, impute_target))
 

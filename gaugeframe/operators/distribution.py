@@ -178,9 +178,10 @@ def histogram(df: DataFrame, cols: Sequence[str] | None = None, bins: int = 30)
         return small_table(df.sparkSession, [], f"{BIN_SCHEMA}, count bigint")
     binned = []
     for c, (lo, hi) in ranges.items():
-        at = f"CAST(floor(({ident(c)} - {number(lo)}) / {number(hi - lo)} * {bins}) AS INT) + 1"
+        q = ident(c)
+        at = f"CAST(floor(({q} - {number(lo)}) / {number(hi - lo)} * {bins}) AS INT) + 1"
         # ``least`` skips nulls, so a missing value must be kept out of the last bin.
-        binned.append(f"CASE WHEN {ident(c)} IS NOT NULL THEN least({at}, {bins}) END AS {ident(c)}")
+        binned.append(f"CASE WHEN {q} IS NOT NULL THEN least({at}, {bins}) END AS {q}")
     counts = (
         doubles(df, list(ranges)).selectExpr(*binned)
         .unpivot([], [ident(c) for c in ranges], "column_name", "bin")

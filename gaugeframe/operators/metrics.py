@@ -19,12 +19,20 @@ def _refs(by: Sequence[str]) -> list[Column]:
     return [ref(c) for c in by]
 
 
-def _outcome_counts(
-    df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()
+def outcome_counts(
+    df: DataFrame,
+    label: str = "label",
+    prediction: str = "prediction",
+    by: Sequence[str] = (),
+    count: str | None = None,
 ) -> DataFrame:
-    """(by, t, p, n): at most classes squared rows per group, combined before the shuffle."""
+    """(by, t, p, n): at most classes squared rows per group, combined before the shuffle.
+
+    ``count`` names a column with the number of rows that each input row stands for.
+    """
+    n = F.count("*") if count is None else F.sum(ref(count))
     return df.groupBy(*_refs(by), ref(label).alias("t"), ref(prediction).alias("p")).agg(
-        F.count("*").alias("n"))
+        n.alias("n"))
 
 
 def _class_totals(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -80,7 +88,7 @@ def confusion_matrix(
     df: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
     """(t, p, n) over the sorted union of true and predicted labels, zeros included."""
-    cells = _outcome_counts(df, label, prediction)
+    cells = outcome_counts(df, label, prediction)
     # The zero cells come from the label list itself: one array, expanded on both sides. The
     # filter keeps the counts in this branch, so that both branches share one exchange.
     labels = cells.where(F.col("n") > 0).select(F.explode(F.array("t", "p")).alias("c")).agg(
@@ -102,7 +110,7 @@ def weighted_prf(
     df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:
     """Support-weighted precision, recall and F1; a zero divisor counts as 0."""
-    per_class = _with_prf(_class_totals(_outcome_counts(df, label, prediction, by), by))
+    per_class = _with_prf(_class_totals(outcome_counts(df, label, prediction, by), by))
     return per_class.groupBy(*_refs(by)).agg(
         _weighted("precision").alias("precision"),
         _weighted("recall").alias("recall"),
@@ -117,7 +125,7 @@ def per_class_metrics(
     max_classes: int | None = MAX_LISTED_CLASSES,
 ) -> DataFrame:
     """Precision, recall, F1 and support per class; empty above ``max_classes`` classes."""
-    per_class = _with_prf(_class_totals(_outcome_counts(df, label, prediction)))
+    per_class = _with_prf(_class_totals(outcome_counts(df, label, prediction)))
     out = per_class.select("class", "precision", "recall", "f1_score", "support")
     if max_classes is None:
         return out
@@ -173,7 +181,7 @@ def error_matrix(
 
 def top_error(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Totals, accuracy and the most frequent mistake (lowest true, then predicted, on ties)."""
-    cells = _outcome_counts(df, label, prediction)
+    cells = outcome_counts(df, label, prediction)
     wrong = F.col("t") != F.col("p")
     worst = F.min(F.when(wrong, F.struct((-F.col("n")).alias("n"), "t", "p")))
     return cells.agg(
@@ -206,7 +214,7 @@ def class_accuracy_band(
     df: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
     """Accuracy per class, 0 for a class that never occurs, with its colour band."""
-    totals = _class_totals(_outcome_counts(df, label, prediction))
+    totals = _class_totals(outcome_counts(df, label, prediction))
     acc = F.col("accuracy")
     return totals.select("class", safe_div(F.col("hits"), F.col("support")).alias("accuracy")
                          ).withColumn("band", F.when(acc > 0.7, "green")
@@ -229,13 +237,17 @@ def classification_metrics(
     prediction: str = "prediction",
     by: Sequence[str] = (),
     max_classes: int = MAX_LISTED_CLASSES,
+    count: str | None = None,
 ) -> DataFrame:
     """One row per group: headline metrics, per-class arrays and error counts.
 
     ``roc_auc`` is the hard-label AUC for two true classes and NULL otherwise; join a
-    probability-based AUC for more. ``per_class`` is NULL above ``max_classes`` classes.
+    probability-based AUC for more. ``per_class`` is NULL above ``max_classes`` classes. With
+    ``count``, the input is a table of ``outcome_counts``, possibly of a finer grouping: one
+    scan of the predictions then serves the metrics per fold and per model.
     """
-    per_class = _with_prf(_class_totals(_outcome_counts(df, label, prediction, by), by))
+    cells = outcome_counts(df, label, prediction, by, count)
+    per_class = _with_prf(_class_totals(cells, by))
     seen = F.collect_list(F.struct("class", "precision", "recall", "f1_score", "support"))
     truths = F.count_if(F.col("support") > 0)
     correct, total = F.sum("hits"), F.sum("support")

@@ -45,7 +45,9 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="error")
 
 
-def _vectors(df: DataFrame, features: Sequence[str], label: str) -> tuple[DataFrame, VectorAssembler]:
+def _vectors(
+    df: DataFrame, features: Sequence[str], label: str
+) -> tuple[DataFrame, VectorAssembler]:
     assembler = _assembler(features)
     kept = [c for c in ("split", "fold") if c in df.columns]
     rows = assembler.transform(df).select(
@@ -116,9 +118,10 @@ def _loss_and_accuracy(model, rows: DataFrame) -> dict[str, tuple[float, float]]
     own = F.greatest(F.get(p, F.col(LABEL).cast("int")), F.lit(FLOOR))
     found = (
         model.transform(rows)
-        .select("split", (-F.log(own)).alias("loss"), (F.col(PREDICTION) == F.col(LABEL)).alias("hit"))
+        .select("split", (-F.log(own)).alias("loss"),
+                (F.col(PREDICTION) == F.col(LABEL)).cast("int").alias("hit"))
         .groupBy("split")
-        .agg(F.avg("loss").alias("loss"), F.avg(F.col("hit").cast("int")).alias("accuracy"))
+        .agg(F.avg("loss").alias("loss"), F.avg("hit").alias("accuracy"))
         .collect()
     )
     return {r["split"]: (r["loss"], r["accuracy"]) for r in found}

@@ -100,7 +100,8 @@ def roc_curve_ovr(
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """One curve per class against the rest, from an array of class probabilities."""
-    scored = df.select(ref(label).alias("y"), F.posexplode_outer(ref(probs)).alias("class", "p")).select(
+    pairs = df.select(ref(label).alias("y"), F.posexplode_outer(ref(probs)).alias("class", "p"))
+    scored = pairs.select(
         "class", F.col("p").cast("double").alias("score"),
         (F.col("y") == F.col("class")).cast("int").alias("pos"))
     return _curve(scored.where("score is not null and pos is not null"), ["class"], rows_per_bucket)

@@ -109,5 +109,6 @@ def prepare(
     scale |= {c: (s.mean, s.std or 1.0) for c, s in encoding.shares.items()}
     rows = encode.apply_scale(rows, scale)
     features = [c for c in rows.columns if c not in plain]
-    out = rows.select(*[ref(c) for c in features], *[ref(c) for c in exclude], "label", "split", KEY)
+    kept = [*features, *exclude, "label", "split", KEY]
+    out = rows.select(*[ref(c) for c in kept])
     return Prepared(out, features, classes, missing, caps, encoding, scale)
