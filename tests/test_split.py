@@ -13,13 +13,13 @@ from gaugeframe.operators.split import (
 )
 
 # Class counts of a published table: 38,013 after imputing 23 missing labels with "Minor".
-CRASH = {"Fatal": 1779, "Minor": 38013, "P.D.O": 218, "PDO": 14228, "POD": 119, "Pdo": 422,
+COUNTS = {"Fatal": 1779, "Minor": 38013, "P.D.O": 218, "PDO": 14228, "POD": 119, "Pdo": 422,
          "Serious": 4445, "pdo": 120, "property damage only": 660}
 
 
 def test_published_test_counts():
-    tests, vals = split_quotas(CRASH, 0.15, 0.15)
-    assert [tests[c] for c in sorted(CRASH)] == [267, 5702, 33, 2134, 18, 63, 667, 18, 99]
+    tests, vals = split_quotas(COUNTS, 0.15, 0.15)
+    assert [tests[c] for c in sorted(COUNTS)] == [267, 5702, 33, 2134, 18, 63, 667, 18, 99]
     assert sum(tests.values()) == 9001
     assert sum(vals.values()) == 9001
 
