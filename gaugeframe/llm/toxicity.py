@@ -32,10 +32,10 @@ BAGS = 3
 # Bounds of the training sample, over all bags; drawn by a hash of the document id.
 POSITIVES, UNLABELLED = 6_000, 18_000
 FEATURES = 3_000
-# Log-likelihood ratio from which a feature counts; chance passes it once in about 10^6 features.
-LEAST_GAIN = 12.0
+# Log-likelihood ratio from which a feature counts; chance passes it once in some 10^4 features.
+LEAST_GAIN = 8.0
 # How many times as frequent among positives as among the rest a feature must be.
-LEAST_LIFT = 8.0
+LEAST_LIFT = 25.0
 FOLDS = 5
 PREFIXES = (4, 5, 6)
 
@@ -112,7 +112,7 @@ def choose_features(positive: list[set[bytes]], unlabelled: list[set[bytes]], pr
 
 
 def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float,
-               epochs: int = 300, rate: float = 0.1, decay: float = 1e-5, seed: int = 7):
+               epochs: int = 150, rate: float = 0.1, decay: float = 1e-3, seed: int = 7):
     """Weights and bias of a linear classifier by the non-negative risk, logistic loss, Adam."""
     size = positive.shape[1]
     w = np.zeros(size + 1)
