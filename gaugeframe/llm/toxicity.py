@@ -30,7 +30,7 @@ from gaugeframe.llm.text import letter_words, utf8
 
 BAGS = 3
 # Bounds of the training sample, over all bags; drawn by a hash of the document id.
-POSITIVES, UNLABELLED = 6_000, 18_000
+POSITIVES, UNLABELLED = 4_500, 12_000
 FEATURES = 3_000
 # Log-likelihood ratio from which a feature counts; chance passes it once in some 10^4 features.
 LEAST_GAIN = 8.0
@@ -76,39 +76,38 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(out, -50, 50)))
 
 
-def _matrix(rows: list[set[bytes]], chosen: list[bytes]) -> np.ndarray:
-    number = {f: k for k, f in enumerate(chosen)}
+def _rows(texts, wanted: dict[bytes, int]) -> list[np.ndarray]:
+    """The numbers of the wanted features in each text; nothing else is kept."""
+    return [np.fromiter((wanted[f] for f in features(t) & wanted.keys()), np.int32) for t in texts]
+
+
+def _matrix(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
+    """Presence of the chosen features (sorted numbers) as a dense matrix."""
     x = np.zeros((len(rows), len(chosen)), np.float32)
     for k, row in enumerate(rows):
-        x[k, [number[f] for f in row & number.keys()]] = 1
+        x[k, np.searchsorted(chosen, row[np.isin(row, chosen)])] = 1
     return x
 
 
-def choose_features(positive: list[set[bytes]], unlabelled: list[set[bytes]], prior: float):
-    """Features more frequent among positives than chance would make them.
+def choose_features(seen: np.ndarray, other: np.ndarray, p: int, u: int, prior: float) -> np.ndarray:
+    """Numbers of the features more frequent among positives than chance would make them.
 
+    ``seen`` and ``other`` count each feature among ``p`` positives and ``u`` unlabelled texts.
     The measure is the log-likelihood ratio of the counts in both samples, so a small sample
     teaches only what it shows beyond doubt.
     """
-    seen, other = Counter(), Counter()
-    for row in positive:
-        seen.update(row)
-    for row in unlabelled:
-        other.update(row)
-    p, u = len(positive), len(unlabelled)
-    part = lambda k, n, q: k * np.log(q) + (n - k) * np.log1p(-q) if 0 < q < 1 else 0.0
-    gain = []
-    for f, n in seen.items():
-        m = other[f]
-        # What the positives hidden among the unlabelled explain is not held against a feature.
-        m = max(0.0, m - prior * u * n / p)
-        if n < 3 or n / p < LEAST_LIFT * m / u:
-            continue
-        both = (n + m) / (p + u)
-        ratio = part(n, p, n / p) + part(m, u, m / u) - part(n, p, both) - part(m, u, both)
-        if ratio > LEAST_GAIN:
-            gain.append((-ratio, f))
-    return [f for _, f in sorted(gain)[:FEATURES]]
+    # What the positives hidden among the unlabelled explain is not held against a feature.
+    rest = np.maximum(0.0, other - prior * u * seen / p)
+
+    def part(k, n, q):
+        q = np.clip(q, 1e-12, 1 - 1e-12)
+        return k * np.log(q) + (n - k) * np.log1p(-q)
+
+    both = (seen + rest) / (p + u)
+    ratio = (part(seen, p, seen / p) + part(rest, u, rest / u)
+             - part(seen, p, both) - part(rest, u, both))
+    fit = np.flatnonzero((ratio > LEAST_GAIN) & (seen / p >= LEAST_LIFT * rest / u))
+    return np.sort(fit[np.argsort(-ratio[fit], kind="stable")[:FEATURES]])
 
 
 def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float,
@@ -120,9 +119,10 @@ def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float,
     m, v = np.zeros_like(w), np.zeros_like(w)
     sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -50, 50)))
     loss = lambda z: np.logaddexp(0, z)  # noqa: E731  of the label 0 at margin z
-    gradient = lambda x, g: np.append(x.T @ g, g.sum()) / max(1, len(g))
+    gradient = lambda x, g: np.append(x.T @ g.astype(np.float32), g.sum()) / max(1, len(g))
     for step in range(1, epochs + 1):
-        zp, zu = positive @ w[:-1] + w[-1], unlabelled @ w[:-1] + w[-1]
+        v32 = w[:-1].astype(np.float32)
+        zp, zu = positive @ v32 + w[-1], unlabelled @ v32 + w[-1]
         hidden = loss(zu).mean() - prior * loss(zp).mean()
         g_hidden = gradient(unlabelled, sig(zu)) - prior * gradient(positive, sig(zp))
         g = prior * gradient(positive, sig(zp) - 1) + g_hidden if hidden >= 0 else -g_hidden
@@ -150,21 +150,30 @@ def decision_level(zp: np.ndarray, zu: np.ndarray) -> float:
 def _train(prior: float):
     def run(bag: pd.DataFrame) -> pd.DataFrame:
         bag = bag.sort_values(["doc_id", "toxic"])
-        rows = [features(t) for t in bag["data"]]
-        toxic = bag["toxic"].to_numpy()
-        positive = [r for r, y in zip(rows, toxic) if y]
-        unlabelled = [r for r, y in zip(rows, toxic) if not y]
+        toxic = bag["toxic"].to_numpy() > 0
         empty = pd.DataFrame({"feature": [b""], "weight": [np.log(prior / (1 - prior))]})
-        if not positive or not unlabelled:
+        if not toxic.any() or toxic.all():
+            return empty
+        seen = Counter()
+        for data in bag["data"][toxic]:
+            seen.update(features(data))
+        # Only features of at least three positives are looked for from here on.
+        names = sorted(f for f, n in seen.items() if n > 2)
+        wanted = {f: k for k, f in enumerate(names)}
+        positive, unlabelled = (_rows(bag["data"][m], wanted) for m in (toxic, ~toxic))
+        count = lambda rows: np.bincount(np.concatenate(rows), minlength=len(names))
+        if not names:
             return empty
-        chosen = choose_features(positive, unlabelled, prior)
-        if not chosen:
+        chosen = choose_features(count(positive), count(unlabelled), len(positive),
+                                 len(unlabelled), prior)
+        if not len(chosen):
             return empty
         x, z = _matrix(positive, chosen), _matrix(unlabelled, chosen)
         # A prior above the sample's own share would stop the training early.
         w, _ = train_nnpu(x, z, 0.9 * prior)
-        bias = -decision_level(x @ w, z @ w)
-        return pd.DataFrame({"feature": [b"", *chosen], "weight": [bias, *w]})
+        v32 = w.astype(np.float32)
+        bias = -decision_level(x @ v32, z @ v32)
+        return pd.DataFrame({"feature": [b"", *(names[k] for k in chosen)], "weight": [bias, *w]})
 
     return run
 
@@ -195,6 +204,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, prior: float | None = None,
                         F.col("text").cast("binary").alias("data")).where(
         (crc32_fold("doc_id", FOLDS) != 0) & F.col("data").isNotNull())
     share = UNLABELLED / max(1, docs.count())
+    bags = min(bags, max(1, toxic // 1_000))  # a bag needs enough positives
     bag = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(bags)).cast("int").alias("bag")
     sample = texts.join(known, "doc_id", "left").select(
         "doc_id", "data", F.coalesce("toxic", F.lit(0)).alias("toxic"), bag).where(
