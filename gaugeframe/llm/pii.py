@@ -17,6 +17,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KINDS = ("email", "ip", "card", "phone", "address", "account")
 BASE = 4
@@ -166,7 +167,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 def mask_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by ``[KIND]``; null texts and other columns stay."""
     out = "__gf_masked"
-    schema = docs.select(*docs.columns, F.lit("").alias(out)).schema
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.StringType())])
 
     def run(batches):
         automaton = _automaton()

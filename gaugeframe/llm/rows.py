@@ -22,9 +22,10 @@ def sized(ids: DataFrame) -> DataFrame:
 
 
 def with_row_id(docs: DataFrame, name: str) -> DataFrame:
-    """Adds an id that is never null: the doc_id, or for rows without one a negative number made
-    of the text, so that rows without id and with equal texts count as one document."""
-    made = -1 - F.pmod(F.xxhash64("text"), F.lit(1 << 62))
+    """Adds an id that is never null: the doc_id, or for rows without one a number from 2^62 on,
+    made of the text. Rows without id and with equal texts so count as one document, and a
+    document with an id goes before them."""
+    made = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
     return docs.withColumn(name, F.coalesce(F.col("doc_id").cast("long"), made))
 
 

@@ -24,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeframe.llm.rows import crc32_fold
 from gaugeframe.llm.text import letter_words, utf8
@@ -219,7 +220,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, prior: float | None = None,
 
 def with_toxicity(docs: DataFrame, model: Classifier, score: str = "score") -> DataFrame:
     """``docs`` with a column of scores from 0 to 1; null and empty texts get a score too."""
-    schema = docs.select(*docs.columns, F.lit(0.0).alias(score)).schema
+    schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
     at = docs.columns.index("text")
 
     def run(batches):
