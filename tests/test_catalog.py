@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog.oracles import ORACLES
+from catalog.queries import QUERIES
 from check import TABLES, compare
 
 SF = "/root/testdata/sf0.001"
@@ -21,13 +23,13 @@ def duck():
 
 
 def test_only_fitted_models_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == FITTED
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLES) == FITTED
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
-    result, _ = compare(spark, duck, name, queries()[name], oracle_sql()[name], SF)
+    result, _ = compare(spark, duck, name, QUERIES[name], ORACLES[name], SF)
     assert result.startswith("ok"), result
 
 
