@@ -122,7 +122,3 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     return spark.createDataFrame(
         pa.table([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=fields))
 
-
-def chunks(items: Sequence, size: int):
-    for start in range(0, len(items), size):
-        yield items[start : start + size]

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeframe.functions.columns import ref, small_table
 from gaugeframe.sources.scratch import materialize
@@ -31,7 +32,21 @@ def row_identity(df: DataFrame, key: str | Sequence[str] | None = None) -> Colum
     if key is not None and len(key) == 1:
         return ref(key[0]).cast("string")
     names = list(key) if key is not None else df.columns
-    return F.md5(F.to_json(F.struct(*[ref(c) for c in names])))
+    return F.md5(F.concat(*[_exact_text(ref(c), df.schema[c].dataType) for c in names]))
+
+
+def _exact_text(col: Column, dtype: T.DataType) -> Column:
+    """Text that differs whenever the values do, with its length in front; nulls are marked."""
+    if isinstance(dtype, T.TimestampType):
+        value = F.unix_micros(col).cast("string")
+    elif isinstance(dtype, T.BinaryType):
+        value = F.hex(col)
+    elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+        value = F.to_json(F.struct(col), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                                          "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    else:
+        value = col.cast("string")
+    return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
 
 
 def row_key(df: DataFrame, seed: int, key: str | Sequence[str] | None = None) -> Column:

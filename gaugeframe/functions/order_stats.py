@@ -157,7 +157,9 @@ def exact_quantiles(
             if kind == "final":
                 for k, p in enumerate(ps):
                     v0, v1 = row["values"][2 * k : 2 * k + 2]
-                    result[b.column][p] = v0 + (v1 - v0) * _ranks(p, n)[2]
+                    part = _ranks(p, n)[2]
+                    # Between equal or infinite values nothing is interpolated.
+                    result[b.column][p] = v0 if not part or v0 == v1 else v0 + (v1 - v0) * part
                 continue
             b.below, b.inside = row["below"], row["inside"]
             few = b.inside <= countable or (sketch[i] and row["distinct"] <= countable)

@@ -106,11 +106,14 @@ def fit_missing(
     max_missing: float = MAX_MISSING,
     exact: bool = True,
     every_column: bool = False,
+    untouched: Sequence[str] = (),
 ) -> MissingFit:
     """Which columns to drop and what to fill; the target is never dropped.
 
-    ``every_column`` also learns a fill for columns without gaps.
+    ``every_column`` also learns a fill for columns without gaps; ``untouched`` columns are
+    neither looked at nor dropped nor filled.
     """
+    df = df.select(*[ref(c) for c in df.columns if c not in untouched])
     sparse, gaps = sparse_columns(df, max_missing, [target] if target else [])
     if every_column:
         gaps = [c for c in df.columns if c not in sparse]

@@ -137,9 +137,8 @@ def apply_encoding(df: DataFrame, fit: EncodingFit) -> DataFrame:
             out.append(f"{share[c]} AS {q}")
         elif c in fit.binary:
             first, second = map(text, fit.binary[c])
-            # A missing value sorts last and so takes code 2.
-            out.append(f"CASE {q} WHEN {first} THEN 0 WHEN {second} THEN 1 "
-                       f"ELSE CASE WHEN {q} IS NULL THEN 2 END END AS {q}")
+            # A missing value sorts last and so takes code 2, as does one that was not learned.
+            out.append(f"CASE {q} WHEN {first} THEN 0 WHEN {second} THEN 1 ELSE 2 END AS {q}")
         elif c not in fit.one_hot:
             out.append(q)
     for (c, v), name in indicator_names(fit, columns).items():
@@ -158,15 +157,16 @@ def _with_share(
         return df.join(F.broadcast(table), key == F.col(value), "left"), share
     # Too many values to broadcast. Values above HOT_SHARE number at most 1 / HOT_SHARE, so
     # those are broadcast; only the rest is shuffled, and rows already served (or null) are
-    # spread over the shuffle by a salt that matches nothing.
-    hot_value, hot_share, need, cold = (f"__gf_{x}{i}" for x in ("hot", "hots", "need", "cold"))
+    # spread over the shuffle by a salt of their own.
+    hot_value, hot_share, need, cold, salt = (
+        f"__gf_{x}{i}" for x in ("hot", "hots", "need", "cold", "salt"))
     hot = table.where(F.col(share) > HOT_SHARE).toDF(hot_value, hot_share)
     rest = table.where(F.col(share) <= HOT_SHARE).withColumn(cold, F.lit(True))
     served = df.join(F.broadcast(hot), key == F.col(hot_value), "left").withColumn(
-        need, F.col(hot_value).isNull() & ref(c).isNotNull())
-    salt = F.xxhash64(*[ref(x) for x in columns]).cast("string")
+        need, F.col(hot_value).isNull() & ref(c).isNotNull()).withColumn(
+            salt, F.monotonically_increasing_id().cast("string"))
     on = (F.col(need) == F.col(cold)) & (
-        F.when(F.col(need), key).otherwise(salt) == F.col(value))
+        F.when(F.col(need), key).otherwise(F.col(salt)) == F.col(value))
     return served.join(rest, on, "left"), f"coalesce({hot_share}, {share})"
 
 

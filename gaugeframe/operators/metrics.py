@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from gaugeframe.functions.columns import ref, safe_div
 
-MAX_LISTED_CLASSES = 10
-
 
 def _refs(by: Sequence[str]) -> list[Column]:
     return [ref(c) for c in by]
@@ -122,15 +120,14 @@ def per_class_metrics(
     df: DataFrame,
     label: str = "label",
     prediction: str = "prediction",
-    max_classes: int | None = MAX_LISTED_CLASSES,
+    max_classes: int | None = None,
 ) -> DataFrame:
-    """Precision, recall, F1 and support per class; empty above ``max_classes`` classes."""
+    """Precision, recall, F1 and support per class; with ``max_classes``, empty above it."""
     per_class = _with_prf(_class_totals(outcome_counts(df, label, prediction)))
     out = per_class.select("class", "precision", "recall", "f1_score", "support")
-    if max_classes is None:
-        return out
-    listed = out.agg(F.collect_list(F.struct(*out.columns)).alias("rows"))
-    return listed.where(F.size("rows") <= max_classes).select(F.inline("rows"))
+    if max_classes is not None and out.limit(max_classes + 1).count() > max_classes:
+        return out.limit(0)
+    return out
 
 
 def classification_report(
@@ -236,19 +233,22 @@ def classification_metrics(
     label: str = "label",
     prediction: str = "prediction",
     by: Sequence[str] = (),
-    max_classes: int = MAX_LISTED_CLASSES,
+    max_classes: int | None = None,
     count: str | None = None,
 ) -> DataFrame:
     """One row per group: headline metrics, per-class arrays and error counts.
 
     ``roc_auc`` is the hard-label AUC for two true classes and NULL otherwise; join a
-    probability-based AUC for more. ``per_class`` is NULL above ``max_classes`` classes. With
+    probability-based AUC for more. With ``max_classes``, ``per_class`` is NULL above it. With
     ``count``, the input is a table of ``outcome_counts``, possibly of a finer grouping: one
     scan of the predictions then serves the metrics per fold and per model.
     """
     cells = outcome_counts(df, label, prediction, by, count)
     per_class = _with_prf(_class_totals(cells, by))
     seen = F.collect_list(F.struct("class", "precision", "recall", "f1_score", "support"))
+    listed = F.array_sort(seen)
+    if max_classes is not None:
+        listed = F.when(F.count("*") <= max_classes, listed)
     truths = F.count_if(F.col("support") > 0)
     correct, total = F.sum("hits"), F.sum("support")
     mean_recall = safe_div(F.sum(F.when(F.col("support") > 0, F.col("recall"))), truths)
@@ -258,7 +258,7 @@ def classification_metrics(
         _weighted("recall").alias("recall_weighted"),
         _weighted("f1_score").alias("f1_weighted"),
         F.when(truths == 2, mean_recall).alias("roc_auc"),
-        F.when(F.count("*") <= max_classes, F.array_sort(seen)).alias("per_class"),
+        listed.alias("per_class"),
         correct.alias("correct"),
         (total - correct).alias("incorrect"),
     )

@@ -47,7 +47,8 @@ def prepare(
 
     ``fit_on="all"`` learns every parameter from all rows; ``"train"`` splits first and
     learns from the training rows only, which keeps test rows out of the parameters.
-    ``exclude`` names columns (such as ids) to keep out of the features; ``key`` is a unique
+    A value not seen there takes code 2 in a binary column, no indicator, and the share 0.
+    ``exclude`` names columns (such as ids) to keep out of the features, as they are; ``key`` is a unique
     id for the split, by default the whole deduplicated row.
     """
     if fit_on not in ("all", "train"):
@@ -64,8 +65,11 @@ def prepare(
             raise ValueError(f"key columns {lost} are not in the table")
 
     df = canonical(df)
+    # Ids are never fitted, dropped or filled.
+    untouched = {*exclude, *([key] if isinstance(key, str) else key or ())}
     if fit_on == "all":
-        missing = clean.fit_missing(df, target, impute_target, exact=exact)
+        missing = clean.fit_missing(
+            df, target, impute_target, exact=exact, untouched=[c for c in untouched if c != target])
         rows = clean.drop_duplicates(clean.apply_missing(df, missing))
     else:
         mode = clean.MissingFit(modes=clean.fit_modes(df, [target])) if impute_target else None
@@ -85,7 +89,8 @@ def prepare(
     rows = labelled
     plain = [KEY, "label", "split", target, *exclude]
     if fit_on == "train":
-        inputs = [c for c in rows.columns if c not in (KEY, "label", "split", target)]
+        inputs = [c for c in rows.columns
+                  if c not in (KEY, "label", "split", target) and c not in untouched]
         # Rows outside training may have gaps that training rows do not show.
         missing = clean.fit_missing(
             learn.select(*[ref(c) for c in inputs]), exact=exact, every_column=True)
