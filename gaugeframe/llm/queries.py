@@ -9,7 +9,9 @@ from gaugeframe.llm.decontaminate import contamination
 from gaugeframe.llm.language import identify_language
 from gaugeframe.llm.mixing import mix_sources
 from gaugeframe.llm.near_copies import near_copies
+from gaugeframe.llm.paragraphs import repeated_paragraphs
 from gaugeframe.llm.pii import find_personal_data
+from gaugeframe.llm.quality import resample
 from gaugeframe.llm.toxicity import toxicity
 from gaugeframe.llm.vectors import link_vectors
 from gaugeframe.llm.warc import as_records, read_warc, write_warc
@@ -36,6 +38,14 @@ def op3_near_copies(spark, sf_dir) -> DataFrame:
     return near_copies(_table(spark, sf_dir, "documents"), size=2)
 
 
+def op4_resample(spark, sf_dir) -> DataFrame:
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op5_paragraphs(spark, sf_dir) -> DataFrame:
+    return repeated_paragraphs(_table(spark, sf_dir, "documents"))
+
+
 def op6_language(spark, sf_dir) -> DataFrame:
     return identify_language(_table(spark, sf_dir, "documents"))
 
@@ -129,7 +139,7 @@ SELECT vec_id, coalesce(n.n, 0) AS n_links, c AS component_id, vec_id = c AS kep
 FROM v JOIN least_id ON id = vec_id LEFT JOIN n ON a = vec_id"""
 
 QUERIES = {f.__name__: f for f in (
-    op1_warc, op2_mix_sources, op3_near_copies, op6_language, op7_toxicity, op8_decontaminate,
+    op1_warc, op2_mix_sources, op3_near_copies, op4_resample, op5_paragraphs, op6_language, op7_toxicity, op8_decontaminate,
     op9_link_vectors, op10_personal_data)}
 
 ORACLES = {"op1_warc": _OP1, "op3_near_copies": _OP3, "op8_decontaminate": _OP8,
