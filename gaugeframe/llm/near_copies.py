@@ -14,6 +14,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -61,7 +63,13 @@ def bit_sketch(minima: np.ndarray) -> np.ndarray:
     return np.packbits((mix(minima ^ _SALT) & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
-def _signatures(size: int):
+def bands_for(percent: int, recall: float) -> int:
+    """The fewest bands that bring two sets at the threshold together with this probability."""
+    miss = 1 - (percent / 100) ** BAND_ROWS
+    return min(BINS // BAND_ROWS, math.ceil(math.log(1 - recall) / math.log(miss)))
+
+
+def _signatures(size: int, n_bands: int):
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()),
         ("bands", pa.list_(pa.int64())), ("s1", pa.int64()), ("s2", pa.int64())])
@@ -78,7 +86,7 @@ def _signatures(size: int):
                 minima = one_permutation(codes)
                 sketch = bit_sketch(minima)
                 keys.append(xxhash.xxh128_digest(codes.tobytes()))
-                bands.append(band_keys(minima))
+                bands.append(band_keys(minima)[:n_bands])
                 s1.append(int(sketch[0])), s2.append(int(sketch[1]))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()),
@@ -122,7 +130,9 @@ def _candidates(reps: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(apart <= MAX_BITS_APART)
 
 
-def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+def near_copies(
+    docs: DataFrame, size: int = 5, percent: int = 80, n_bands: int = BINS // BAND_ROWS
+) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for each row of ``docs (doc_id, text)``.
 
     Documents are linked when 100 * intersection >= percent * union of their sets of ``size``
@@ -132,11 +142,12 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     ``component_id`` is the smallest doc_id that links lead to. Rows that share a doc_id count
     as one document. A row without an id belongs to the class of equal texts that has one and
     is then not kept; otherwise its component is null and it is kept. An empty table gives an
-    empty result. Other columns of ``docs`` are not looked at.
+    empty result. Other columns of ``docs`` are not looked at. Fewer than all 32 bands trade
+    recall for work (``bands_for``).
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     signed = materialize(docs.mapInArrow(
-        _signatures(size), "doc_id long, n_shingles long, set_key binary, bands array<bigint>, "
+        _signatures(size, n_bands), "doc_id long, n_shingles long, set_key binary, bands array<bigint>, "
         "s1 long, s2 long"), "signatures")
     classes = materialize(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(

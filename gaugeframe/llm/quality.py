@@ -8,12 +8,16 @@ proportion to the ratios.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from gaugeframe.functions.order_stats import exact_quantiles
+from gaugeframe.llm.rows import sized
 from gaugeframe.llm.text import letter_words, mix, utf8
 from gaugeframe.sources.scratch import materialize
 
@@ -43,12 +47,16 @@ def resample(docs: DataFrame, labels: DataFrame, share: float = 0.5, seed: int =
     """``(doc_id, log_ratio, noisy, selected)`` per row of ``docs (doc_id, text)``.
 
     Target texts are those with ``quality`` 1 in ``labels``; counts cover all documents. The
-    ``share`` of rows with the largest ``noisy`` value is selected (ties at the cut all stay).
-    Null and blank texts have ratio 0. An empty table gives an empty result.
+    ``share`` of rows with the largest ``noisy`` value is selected: ceil(share * rows) of them, and
+    more only where values tie at the cut. Rows that share a doc_id get the same Gumbel number, so
+    equal copies stand or fall together. Null and blank texts have ratio 0. Other columns of
+    ``docs`` are not looked at. Without rows or without labelled texts nothing fails: an empty
+    table gives an empty result, and no target texts leave both models with the add-one counts.
     """
-    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("good")).distinct()
+    good = materialize(labels.where("quality = 1 AND doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("good")).distinct(), "good")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    marked = rows.join(good, rows["doc_id"] == F.col("good"), "left").select(
+    marked = rows.join(sized(good), rows["doc_id"] == F.col("good"), "left").select(
         "text", F.col("good").isNotNull().alias("target"))
     found = marked.mapInArrow(_counts, "bucket long, raw long, target long").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()  # a row per bucket
@@ -68,5 +76,11 @@ def resample(docs: DataFrame, labels: DataFrame, share: float = 0.5, seed: int =
     scored = rows.mapInArrow(run, "doc_id long, log_ratio double").withColumn(
         "noisy", F.col("log_ratio") - F.log(-F.log(unit)))
     scored = materialize(scored, "scored")
-    cut = scored.agg(F.percentile_approx("noisy", 1 - share, 100_000)).head()[0]
+    total = scored.count()
+    k = min(total, math.ceil(share * total))
+    if not k:
+        return scored.withColumn("selected", F.lit(False))
+    # Half way between the k-th largest value and the next below it, so rounding moves no row.
+    rank = max(total - k - 0.5, 0) / max(total - 1, 1)
+    cut = exact_quantiles(scored, ["noisy"], [rank])["noisy"][0]
     return scored.withColumn("selected", F.col("noisy") >= F.lit(cut))
