@@ -24,74 +24,106 @@ from pyspark.sql import functions as F
 
 from gaugeframe.llm.components import components
 from gaugeframe.llm.rows import sized
-from gaugeframe.llm.text import mix, shingles, space_words, utf8
+from gaugeframe.llm.text import mix, shingles, shingles_of, space_words, utf8
 from gaugeframe.sources.scratch import materialize
 
 BINS, BAND_ROWS = 128, 4
+# Text that is hashed at once inside a task; a longer document is a part of its own.
+PART_BYTES = 1 << 20
+# Copies, as (id, set) pairs, that are sent to every executor (about 64 MB).
+BROADCAST_COPIES = 1_000_000
 # Of 128 sketch bits; two sets at 0.8 differ in 13 (standard deviation 3.4), strangers in 61.
 MAX_BITS_APART = 34
 
 _rng = np.random.default_rng(20240229)
-_EDGES = np.arange(BINS, dtype=np.uint64) << np.uint64(57)
 _ORDER = np.stack([_rng.permutation(BINS) for _ in range(BINS)])
 _SALT = _rng.integers(0, 2**63, BINS, dtype=np.uint64)
 
 
-def one_permutation(codes: np.ndarray) -> np.ndarray:
-    """The 128 densified minima of a sorted, non-empty set of hashes."""
-    at = np.searchsorted(codes, _EDGES)
-    found = codes[np.minimum(at, len(codes) - 1)]
-    filled = (at < len(codes)) & (found >> np.uint64(57) == _EDGES >> np.uint64(57))
-    if not filled.all():
-        empty = np.flatnonzero(~filled)
-        order = _ORDER[empty]
-        found[empty] = found[order[np.arange(len(empty)), filled[order].argmax(1)]]
-    return found
-
-
-def band_keys(minima: np.ndarray) -> np.ndarray:
-    """One bucket key per band of four minima."""
-    rows = minima.reshape(-1, BAND_ROWS)
-    keys = np.arange(len(rows), dtype=np.uint64)
-    for k in range(BAND_ROWS):
-        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + rows[:, k])
+def one_permutation(codes: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
+    """The 128 densified minima of ``count`` non-empty sets, a row each.
+
+    ``codes`` holds the hashes of all sets, sorted within each; ``owner`` their set, ascending.
+    """
+    place = (codes >> np.uint64(57)).astype(np.int64)
+    first = np.ones(len(codes), bool)
+    first[1:] = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1])
+    minima, filled = np.zeros((count, BINS), np.uint64), np.zeros((count, BINS), bool)
+    minima[owner[first], place[first]] = codes[first]
+    filled[owner[first], place[first]] = True
+    row, empty = np.nonzero(~filled)
+    for step in range(BINS):
+        if not len(row):
+            break
+        donor = _ORDER[empty, step]
+        found = filled[row, donor]
+        minima[row[found], empty[found]] = minima[row[found], donor[found]]
+        row, empty = row[~found], empty[~found]
+    return minima
+
+
+def band_keys(minima: np.ndarray, n_bands: int, rows: int) -> np.ndarray:
+    """One bucket key per set and band."""
+    part = minima[:, : n_bands * rows].reshape(-1, n_bands, rows)
+    keys = np.broadcast_to(np.arange(n_bands, dtype=np.uint64), part.shape[:2])
+    for k in range(rows):
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + part[:, :, k])
     return keys.view(np.int64)
 
 
 def bit_sketch(minima: np.ndarray) -> np.ndarray:
-    """One bit per bin, as two longs."""
-    return np.packbits((mix(minima ^ _SALT) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+    """One bit per bin, as two longs per set."""
+    bits = (mix(minima ^ _SALT) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits, axis=1).view(np.int64)
 
 
-def bands_for(percent: int, recall: float) -> int:
+def bands_for(percent: int, recall: float, rows: int = BAND_ROWS) -> int:
     """The fewest bands that bring two sets at the threshold together with this probability."""
-    miss = 1 - (percent / 100) ** BAND_ROWS
-    return min(BINS // BAND_ROWS, math.ceil(math.log(1 - recall) / math.log(miss)))
-
-
-def _signatures(size: int, n_bands: int):
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()),
-        ("bands", pa.list_(pa.int64())), ("s1", pa.int64()), ("s2", pa.int64())])
+    miss = 1 - (percent / 100) ** rows
+    return min(BINS // rows, math.ceil(math.log(1 - recall) / math.log(miss)))
+
+
+def _parts(texts: list[bytes | None]):
+    """Slices of a batch of about ``PART_BYTES`` of text."""
+    start = held = 0
+    for i, data in enumerate(texts):
+        held += len(data or b"")
+        if held >= PART_BYTES:
+            yield texts[start : i + 1]
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield texts[start:]
+
+
+_SIGNED = ("doc_id long, n_shingles long, set_key binary, bands array<bigint>, s1 long, s2 long")
+
+
+def _signatures(size: int, n_bands: int, rows: int):
+    def part(texts: list[bytes | None]) -> list[pa.Array]:
+        codes, owner, counts = shingles_of([space_words(t) for t in texts], size)
+        full = np.flatnonzero(counts)
+        minima = one_permutation(codes, np.repeat(np.arange(len(full)), counts[full]), len(full))
+        ends = np.cumsum(counts)
+        keys = [xxhash.xxh128_digest(codes[e - n : e].tobytes()) if n else None
+                for e, n in zip(ends, counts)]
+        at = np.full(len(texts), -1)
+        at[full] = np.arange(len(full))
+        at = pa.array(at, mask=at < 0)
+        bands = pa.ListArray.from_arrays(
+            pa.array(np.arange(len(full) + 1, dtype=np.int32) * n_bands),
+            pa.array(band_keys(minima, n_bands, rows).ravel()))
+        sketch = bit_sketch(minima)
+        return [pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), bands.take(at),
+                pa.array(sketch[:, 0]).take(at), pa.array(sketch[:, 1]).take(at)]
 
     def run(batches):
+        names = ["doc_id", "n_shingles", "set_key", "bands", "s1", "s2"]
         for batch in batches:
-            counts, keys, bands, s1, s2 = [], [], [], [], []
-            for data in utf8(batch.column(1)):
-                codes = shingles(space_words(data), size)
-                counts.append(len(codes))
-                if not len(codes):
-                    keys.append(None), bands.append(None), s1.append(None), s2.append(None)
-                    continue
-                minima = one_permutation(codes)
-                sketch = bit_sketch(minima)
-                keys.append(xxhash.xxh128_digest(codes.tobytes()))
-                bands.append(band_keys(minima)[:n_bands])
-                s1.append(int(sketch[0])), s2.append(int(sketch[1]))
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()),
-                pa.array(bands, pa.list_(pa.int64())), pa.array(s1, pa.int64()),
-                pa.array(s2, pa.int64())], schema=schema)
+            start = 0
+            for texts in _parts(utf8(batch.column(1))):
+                ids = batch.column(0).slice(start, len(texts))
+                start += len(texts)
+                yield pa.RecordBatch.from_arrays([ids, *part(texts)], names=names)
 
     return run
 
@@ -112,10 +144,11 @@ def _sets(size: int):
 def _candidates(reps: DataFrame) -> DataFrame:
     """Distinct ``(a, b)`` with a > b that meet in a bucket and have similar sketches."""
     band = reps.select("id", F.explode("bands").alias("key"))
-    chosen = F.min(F.struct(F.xxhash64("id", "key"), "id"))["id"]
+    # The key is a hash: the smallest of id XOR key is a hashed choice that one long can hold.
+    other = F.min(F.col("id").bitwiseXOR(F.col("key"))).bitwiseXOR(F.col("key"))
     buckets = materialize(
         band.groupBy("key").agg(
-            F.min("id").alias("low"), F.max("id").alias("high"), chosen.alias("other"))
+            F.min("id").alias("low"), F.max("id").alias("high"), other.alias("other"))
         .where("low < high"), "buckets")
     met = band.join(buckets, "key").select(
         "id", F.explode(F.array("low", "high", "other")).alias("centre"))
@@ -130,8 +163,24 @@ def _candidates(reps: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(apart <= MAX_BITS_APART)
 
 
+def _representatives(filled: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``filled`` that carry the id of their class, found without moving their bands
+    unless there are very many copies."""
+    several = classes.where("id < last").select(F.col("set_key").alias("key"), "id")
+    copies = materialize(
+        filled.select("doc_id", "set_key").join(several, F.col("set_key") == F.col("key"))
+        .where("doc_id <> id").select(F.col("doc_id").alias("copy"), "key").distinct(), "copies")
+    few = copies.count() <= BROADCAST_COPIES
+    reps = filled.join(
+        F.broadcast(copies) if few else copies,
+        (filled["doc_id"] == F.col("copy")) & (filled["set_key"] == F.col("key")), "left_anti")
+    reps = reps.select(F.col("doc_id").alias("id"), "n_shingles", "bands", "s1", "s2")
+    return reps if few else materialize(reps, "representatives")
+
+
 def near_copies(
-    docs: DataFrame, size: int = 5, percent: int = 80, n_bands: int = BINS // BAND_ROWS
+    docs: DataFrame, size: int = 5, percent: int = 80, n_bands: int = BINS // BAND_ROWS,
+    band_rows: int = BAND_ROWS,
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for each row of ``docs (doc_id, text)``.
 
@@ -142,22 +191,20 @@ def near_copies(
     ``component_id`` is the smallest doc_id that links lead to. Rows that share a doc_id count
     as one document. A row without an id belongs to the class of equal texts that has one and
     is then not kept; otherwise its component is null and it is kept. An empty table gives an
-    empty result. Other columns of ``docs`` are not looked at. Fewer than all 32 bands trade
-    recall for work (``bands_for``).
+    empty result. Other columns of ``docs`` are not looked at. Fewer bands than all trade recall
+    for work (``bands_for``).
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    signed = materialize(docs.mapInArrow(
-        _signatures(size, n_bands), "doc_id long, n_shingles long, set_key binary, bands array<bigint>, "
-        "s1 long, s2 long"), "signatures")
+    signed = materialize(docs.mapInArrow(_signatures(size, n_bands, band_rows), _SIGNED),
+                         "signatures")
+    filled = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = materialize(
-        signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(
-            F.min(F.struct("doc_id", "n_shingles", "bands", "s1", "s2")).alias("r"),
-            F.max("doc_id").alias("last"))
-        .select("set_key", F.col("r.doc_id").alias("id"), "r.n_shingles", "r.bands", "r.s1",
-                "r.s2", "last"), "classes")
+        filled.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("last")),
+        "classes")
+    reps = _representatives(filled, classes)
 
     fits = F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")
-    pairs = materialize(_candidates(classes).where(fits).select("a", "b").distinct(), "pairs")
+    pairs = materialize(_candidates(reps).where(fits).select("a", "b").distinct(), "pairs")
     wanted = materialize(
         pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
     texts = docs.join(sized(wanted), docs["doc_id"] == wanted["id"], "left_semi")

@@ -17,6 +17,8 @@ from gaugeframe.llm.rows import sized
 from gaugeframe.sources.scratch import materialize
 
 SIZE, PERCENT, RECALL = 5, 80, 0.9999
+# Two minima a band: lines have few shingles, and strangers hardly share one of five words.
+BAND_ROWS = 2
 ROW = "__gf_row"
 _SPACE = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]"
@@ -37,7 +39,7 @@ def _removed(lines: DataFrame) -> DataFrame:
     """Per row with lines that go: their ``places`` and the doc_ids that keep them, by place."""
     found = materialize(near_copies(
         lines.where(F.col("text").rlike(LONG)).select(F.col("line").alias("doc_id"), "text"),
-        SIZE, PERCENT, bands_for(PERCENT, RECALL)), "found")
+        SIZE, PERCENT, bands_for(PERCENT, RECALL, BAND_ROWS), BAND_ROWS), "found")
     shared = materialize(
         found.where(~F.col("kept")).select(F.col("component_id").alias("shared")).distinct(),
         "shared")

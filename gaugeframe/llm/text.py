@@ -53,3 +53,28 @@ def shingles(words: list[bytes], size: int) -> np.ndarray:
     for k in range(size):
         out = mix(out * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + count])
     return np.unique(out)
+
+
+def shingles_of(texts: list[list[bytes]], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``shingles`` of many word lists at once: all hashes, the list of each, counts by list."""
+    n_words = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(n_words)
+    codes = np.fromiter(
+        (xxh64_intdigest(w) for words in texts for w in words), np.uint64, int(n_words.sum()))
+    width = np.minimum(n_words, size)
+    count = np.where(n_words > 0, n_words - width + 1, 0)
+    owner = np.repeat(np.arange(len(texts)), count)
+    start = (ends - n_words)[owner] + np.arange(len(owner)) - (np.cumsum(count) - count)[owner]
+    out = width[owner].astype(np.uint64)
+    for k in range(size):
+        more = width[owner] > k
+        if not more.any():
+            break
+        next_word = codes[np.minimum(start + k, len(codes) - 1)]
+        out = np.where(more, mix(out * np.uint64(0x9E3779B97F4A7C15) + next_word), out)
+    order = np.lexsort((out, owner))
+    out, owner = out[order], owner[order]
+    new = np.ones(len(out), bool)
+    new[1:] = (out[1:] != out[:-1]) | (owner[1:] != owner[:-1])
+    out, owner = out[new], owner[new]
+    return out, owner, np.bincount(owner, minlength=len(texts))

@@ -11,6 +11,7 @@ import pytest
 from gaugeframe.llm.near_copies import bands_for
 from gaugeframe.llm.paragraphs import drop_repeated_paragraphs, repeated_paragraphs
 from gaugeframe.llm.quality import BUCKETS, _buckets, resample
+from gaugeframe.llm.text import shingles, shingles_of
 
 DOCS = "doc_id long, text string, row string, line string, place int, good string"
 
@@ -150,3 +151,15 @@ def test_texts_lose_the_removed_lines(spark):
 
 def test_bands_follow_the_recall():
     assert bands_for(80, 0.9999) == 18 and bands_for(80, 1 - 1e-12) == 32
+    assert bands_for(80, 0.9999, 2) == 10
+
+
+@pytest.mark.parametrize("size", [1, 2, 5])
+def test_hashes_of_many_texts_equal_those_of_each(size):
+    rng = random.Random(size)
+    texts = [[b"w%d" % rng.randrange(6) for _ in range(rng.randrange(12))] for _ in range(80)]
+    for some in (texts, [], [[]], [[], [b"a"]], [[b"a"] * 9, []]):
+        codes, owner, counts = shingles_of(some, size)
+        for i, words in enumerate(some):
+            want = shingles(words, size)
+            assert counts[i] == len(want) and (codes[owner == i] == want).all()
