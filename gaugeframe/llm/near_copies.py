@@ -169,7 +169,8 @@ def _representatives(filled: DataFrame, classes: DataFrame) -> DataFrame:
     several = classes.where("id < last").select(F.col("set_key").alias("key"), "id")
     copies = materialize(
         filled.select("doc_id", "set_key").join(several, F.col("set_key") == F.col("key"))
-        .where("doc_id <> id").select(F.col("doc_id").alias("copy"), "key").distinct(), "copies")
+        # Not made distinct here: that would keep a set with very many copies in one task.
+        .where("doc_id <> id").select(F.col("doc_id").alias("copy"), "key"), "copies")
     few = copies.count() <= BROADCAST_COPIES
     reps = filled.join(
         F.broadcast(copies) if few else copies,
