@@ -10,6 +10,9 @@
    bucket of m members makes at most 3m candidates. A 128-bit sketch drops chance meetings.
 5. Candidates are confirmed on the full sets: first one per document, then every candidate that
    still lies between different components. The rest could not change the components.
+6. Two members of a bucket that are no centres may still be partners. Those of different
+   components are compared block by block: first their counts and sketches, whose links group
+   them, then the full sets of each group. So each pair that meets in a bucket is decided.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeframe.llm.blocks import (
+    BLOCK, BLOCK_SETS, BLOCK_SHINGLES, alike, compare, linked, meetings)
 from gaugeframe.llm.components import components
 from gaugeframe.llm.rows import sized
 from gaugeframe.llm.text import mix, shingles, shingles_of, space_words, utf8
@@ -141,15 +146,22 @@ def _sets(size: int):
     return run
 
 
-def _candidates(reps: DataFrame) -> DataFrame:
-    """Distinct ``(a, b)`` with a > b that meet in a bucket and have similar sketches."""
+def _buckets(reps: DataFrame) -> DataFrame:
+    """Buckets of several documents, with their centres."""
     band = reps.select("id", F.explode("bands").alias("key"))
     # The key is a hash: the smallest of id XOR key is a hashed choice that one long can hold.
     other = F.min(F.col("id").bitwiseXOR(F.col("key"))).bitwiseXOR(F.col("key"))
-    buckets = materialize(
+    return materialize(
         band.groupBy("key").agg(
-            F.min("id").alias("low"), F.max("id").alias("high"), other.alias("other"))
+            F.min("id").alias("low"), F.max("id").alias("high"), other.alias("other"),
+            F.count("*").alias("members"))
         .where("low < high"), "buckets")
+
+
+def _candidates(reps: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Distinct ``(a, b)`` with a > b, a bucket's member and centre that have similar sketches."""
+    band = reps.select("id", F.explode("bands").alias("key"))
+    buckets = buckets.drop("members")
     met = band.join(buckets, "key").select(
         "id", F.explode(F.array("low", "high", "other")).alias("centre"))
     pairs = materialize(
@@ -163,6 +175,48 @@ def _candidates(reps: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(apart <= MAX_BITS_APART)
 
 
+def _open_groups(reps: DataFrame, buckets: DataFrame, found: DataFrame,
+                 percent: int) -> DataFrame | None:
+    """``(spot, id, root)`` of members that could still be linked, by groups of similar ones.
+
+    Centres were compared with all of their bucket, so at least two others must be left.
+    """
+    wide = materialize(buckets.where("members > 3").drop("members"), "wide")
+    band = reps.select("id", F.explode("bands").alias("key"))
+    rest = band.join(wide, "key").where("id <> low AND id <> high AND id <> other")
+    root = found.select("id", F.col("component").alias("root"))
+    rest = materialize(rest.select("key", "id").join(root, "id", "left").select(
+        F.col("key").alias("spot"), "id", F.coalesce("root", "id").alias("root"),
+        F.lit(1.0 / BLOCK).alias("load")), "rest")
+    met = meetings(rest)
+    if met is None:
+        return None
+    sketch = reps.select("id", F.col("n_shingles").alias("n"), "s1", "s2")
+    near = materialize(compare(met.join(sketch, "id"), alike(percent, MAX_BITS_APART),
+                               ["n", "s1", "s2"]), "near")
+    if not near.head(1):
+        return None
+    groups = materialize(components(near), "groups")
+    return materialize(groups.select(F.col("component").alias("spot"), "id").join(
+        root, "id", "left").withColumn("root", F.coalesce("root", "id")), "open")
+
+
+def _late_links(docs: DataFrame, groups: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """Edges of the links between different roots of a group, decided on the full sets."""
+    ids = groups.select(F.col("id").alias("open"))
+    texts = docs.join(sized(ids), docs["doc_id"] == F.col("open"), "left_semi")
+    sets = materialize(texts.mapInArrow(_sets(size), "id long, codes array<bigint>")
+                       .where(F.size("codes") > 0), "open-sets")
+    load = F.greatest(F.size("codes") / BLOCK_SHINGLES, F.lit(1.0 / BLOCK_SETS))
+    members = materialize(groups.join(sets.select("id", load.alias("load")), "id"), "members")
+    met = meetings(members)
+    if met is None:
+        return None
+    # A doc_id that repeats is compared with each of its sets.
+    return materialize(
+        compare(met.drop("load").distinct().join(sets, "id"), linked(percent), ["codes"]), "links")
+
+
 def _representatives(filled: DataFrame, classes: DataFrame) -> DataFrame:
     """The rows of ``filled`` that carry the id of their class, found without moving their bands
     unless there are very many copies."""
@@ -205,7 +259,8 @@ def near_copies(
     reps = _representatives(filled, classes)
 
     fits = F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")
-    pairs = materialize(_candidates(reps).where(fits).select("a", "b").distinct(), "pairs")
+    buckets = _buckets(reps)
+    pairs = materialize(_candidates(reps, buckets).where(fits).select("a", "b").distinct(), "pairs")
     wanted = materialize(
         pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
     texts = docs.join(sized(wanted), docs["doc_id"] == wanted["id"], "left_semi")
@@ -225,8 +280,13 @@ def near_copies(
     open_pairs = pairs.join(root_a, "a", "left").join(root_b, "b", "left").where(
         F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
     second = materialize(confirmed(open_pairs), "links")
+    links = first.unionByName(second)
     if second.head(1):
-        found = materialize(components(first.unionByName(second)), "components")
+        found = materialize(components(links), "components")
+    groups = _open_groups(reps, buckets, found, percent)
+    third = _late_links(docs, groups, size, percent) if groups is not None else None
+    if third is not None and third.head(1):
+        found = materialize(components(links.unionByName(third)), "components")
 
     # Classes that stand for several documents or were linked; all others are their own.
     moved = materialize(
