@@ -1,8 +1,8 @@
 """Repeated paragraphs: MinHash bands with high recall, exact Jaccard, removals by components.
 
 Paragraphs are lines. Every line of at least five words goes through the bands of the near-copy
-operator; as many bands are used as bring two lines at the threshold together with a probability
-of 0.9999. Colliding lines are confirmed on their full shingle sets, and of each component only
+operator; as many bands are used as bring two lines at the threshold into one bucket with a
+probability of 0.9999, and all that share one are decided. Colliding lines are confirmed on their full shingle sets, and of each component only
 the line of the smallest (doc_id, place) stays. Equal lines are one class before the bands, so a
 line in a third of all documents costs no more than a rare one.
 """
