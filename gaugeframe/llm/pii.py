@@ -5,7 +5,8 @@ identifier cues. From an anchor a local parser reads outwards, forwards only pas
 already read, so the work is linear in the text. The parsers of the four base kinds give the
 leftmost non-overlapping matches of their patterns and then validate them; a match that fails
 is dropped and not retried. Two kinds are added: ``address`` (a URL with a valid host) and
-``account`` (an identifier with a digit that follows a cue such as ``token =``).
+``account`` (an identifier with a digit that follows a cue such as ``token =``; after a blank only
+it must have four digits; after ``iban`` and ``account`` it may stand in groups).
 """
 
 from __future__ import annotations
@@ -27,7 +28,10 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _GROUPED = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]{1,5})?(?:[/?#][^\s\"'<>]*)?")
-_VALUE = re.compile(r"[ \t]{0,3}(?:[=:#][ \t]{0,3})[\"']?([A-Za-z0-9_-]{6,64})(?![A-Za-z0-9_-])")
+_SIGN = re.compile(r"[ \t]{0,3}[=:#][ \t]{0,3}[\"']?|[ \t]{1,3}[\"']?")
+_VALUE = re.compile(r"[A-Za-z0-9_-]{6,}(?:\.[A-Za-z0-9_-]+)*")
+_IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[ -]?[A-Za-z0-9]){11,30}")
+_GROUPS = re.compile(r"[0-9]{2,}(?:[ -][0-9]{2,})+(?![A-Za-z0-9_])")
 _SCHEMES = ("http://", "https://", "ftp://")
 _CUES = ("account", "iban", "passport", "password", "secret", "ssn", "token", "api_key")
 
@@ -64,6 +68,41 @@ def _small(part: str) -> bool:
     return len(part) < 3 or len(part) == 3 and part <= "255"
 
 
+def _iban_end(text: str, at: int) -> int:
+    """Where the longest IBAN from ``at`` on ends that passes its check; ``at`` if none does."""
+    m = _IBAN.match(text, at)
+    end = m.end() if m else at
+    while end > at:
+        code = text[at:end].replace(" ", "").replace("-", "")
+        if len(code) < 15:
+            break
+        whole = end == len(text) or not (text[end].isascii() and text[end].isalnum())
+        if whole and int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1:
+            return end
+        end -= 1
+        while text[end - 1] in " -":
+            end -= 1
+    return at
+
+
+def _value_span(text: str, cue: str, at: int) -> tuple[int, int] | None:
+    """The identifier that follows a cue which ends at ``at``."""
+    sign = _SIGN.match(text, at)
+    if not sign:
+        return None
+    begin = sign.end()
+    end = _iban_end(text, begin) if cue == "iban" else begin
+    if end > begin:
+        return begin, end
+    for pattern in (_GROUPS, _VALUE) if cue in ("iban", "account") else (_VALUE,):
+        m = pattern.match(text, begin)
+        digits = sum(c in "0123456789" for c in m[0]) if m else 0
+        least = 6 if pattern is _GROUPS else 1 if sign[0].strip(" \t\"'") else 4
+        if digits >= least:
+            return begin, m.end()
+    return None
+
+
 def find_spans(text: str, automaton) -> list[tuple[int, int, int]]:
     """``(start, kind number, end)`` in code points, sorted; ends are exclusive."""
     out = []
@@ -112,9 +151,9 @@ def find_spans(text: str, automaton) -> list[tuple[int, int, int]]:
                 url = m.end()
                 out.append((at, 4, end))
         elif at == 0 or not text[at - 1].isalnum():
-            m = _VALUE.match(text, last + 1)
-            if m and any(c in "0123456789" for c in m[1]):
-                out.append((m.start(1), 5, m.end(1)))
+            found = _value_span(text, text[at : last + 1].lower(), last + 1)
+            if found:
+                out.append((found[0], 5, found[1]))
     out.sort()
     return out
 

@@ -219,6 +219,18 @@ def test_personal_data_query_columns_and_added_spans(spark):
     assert masked[1]["text"] is None and masked[0]["kept"] == "x"
 
 
+@pytest.mark.parametrize("before, value, after", [
+    ("token = ", "0123456789abcdef" * 5, " end"), ("token: ", "eyJhbGci0.eyJzdWIi.c2lnbmF0", ". End"),
+    ("account ", "12345678", "."), ("Account: ", "1234 5678 9012", " is"),
+    ("IBAN ", "DE89 3704 0044 0532 0130 00", " is mine"), ("iban: ", "DE89370400440532013000", ","),
+    ("token = ", "0123456789" * 20_000, ""), ("the account is ", "", "closed since 2024"),
+    ("account ", "", "covid-19"), ("password ", "", "strength")])
+def test_account_values_are_read_to_their_end(before, value, after):
+    text = before + value + after
+    spans = [s for s in pii.find_spans(text, pii._automaton()) if s[1] == 5]
+    assert [text[a:b] for a, _, b in spans] == ([value] if value else [])
+
+
 # --- mixing
 
 
