@@ -13,7 +13,7 @@ from gaugeframe.llm.decontaminate import (
     build_postings, contamination, phrase_matches, phrase_table, proximity_matches)
 from gaugeframe.llm.language import identify_language
 from gaugeframe.llm.mixing import mix_sources
-from gaugeframe.llm.toxicity import toxicity
+from gaugeframe.llm.toxicity import POSITIVES, UNLABELLED, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, size string"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -313,6 +313,10 @@ def test_toxicity_on_held_out_documents(spark):
     assert [r["predicted"] for r in none] == [0, 0, 0]
 
 
+def test_training_sample_has_its_full_bounds():
+    assert (POSITIVES, UNLABELLED) == (6_000, 18_000)
+
+
 # --- empty tables
 
 
