@@ -12,9 +12,12 @@ from gaugeframe.llm.near_copies import near_copies
 from gaugeframe.llm.paragraphs import repeated_paragraphs
 from gaugeframe.llm.pii import find_personal_data
 from gaugeframe.llm.quality import resample
+from gaugeframe.llm.sentencepiece_bpe import Pieces, decode, encode
+from gaugeframe.llm.spelling import count_words, spelling_variants
 from gaugeframe.llm.toxicity import toxicity
 from gaugeframe.llm.vectors import link_vectors
 from gaugeframe.llm.warc import as_records, read_warc, write_warc
+from gaugeframe.llm.whitening import whitened_components
 from gaugeframe.sources.scratch import scratch_path
 
 
@@ -66,6 +69,29 @@ def op10_personal_data(spark, sf_dir) -> DataFrame:
     return find_personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op11_sentencepiece(spark, sf_dir, model: str | None = None) -> DataFrame:
+    if model is None:
+        import public_tokenizers
+
+        model = public_tokenizers.path("piece_bpe_32k.model")
+    pieces = Pieces.read(model)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decode(encode(docs, pieces).select("doc_id", "ids"), pieces)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_spelling(spark, sf_dir) -> DataFrame:
+    return spelling_variants(count_words(_table(spark, sf_dir, "documents"), misspell=97))
+
+
+def op13_whitening(spark, sf_dir) -> DataFrame:
+    found = whitened_components(_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _OP1 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
@@ -140,7 +166,7 @@ FROM v JOIN least_id ON id = vec_id LEFT JOIN n ON a = vec_id"""
 
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_mix_sources, op3_near_copies, op4_resample, op5_paragraphs, op6_language, op7_toxicity, op8_decontaminate,
-    op9_link_vectors, op10_personal_data)}
+    op9_link_vectors, op10_personal_data, op11_sentencepiece, op12_spelling, op13_whitening)}
 
 ORACLES = {"op1_warc": _OP1, "op3_near_copies": _OP3, "op8_decontaminate": _OP8,
            "op9_link_vectors": _OP9}
