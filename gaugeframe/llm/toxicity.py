@@ -8,10 +8,11 @@ With class prior p the risk of a classifier is
 where the second term, the risk of the negatives that cannot be seen, is kept from falling below
 zero: when it does, the step goes against its gradient, which undoes the overfitting.
 
-Features are the words of a document and their beginnings of 4 to 6 characters, present or not;
-kept are those much more frequent among positives. The level of decision is then set by a
-criterion that needs no negatives either. Several classifiers are trained in numpy, each
-in a task of its own on a bounded sample; their weights are averaged.
+Features are the words of a document and their beginnings of 4 to 6 characters, present or not.
+Spark counts them over the training sample; kept are those much more frequent among positives. The
+risk is minimised in numpy by one task, which gets the numbers of the kept features of each
+document and no text. The level of decision is then set by a criterion that needs no negatives
+either: the largest recall squared over the share called toxic (``decision_level``).
 """
 
 from __future__ import annotations
@@ -22,15 +23,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeframe.llm.rows import crc32_fold
 from gaugeframe.llm.text import letter_words, utf8
+from gaugeframe.sources.scratch import materialize
 
-BAGS = 3
-# Bounds of the training sample, over all bags; drawn by a hash of the document id.
+# Bounds of the training sample; drawn by a hash of the document id.
 POSITIVES, UNLABELLED = 6_000, 18_000
 FEATURES = 3_000
 # Log-likelihood ratio from which a feature counts; chance passes it once in some 10^4 features.
@@ -38,6 +39,8 @@ LEAST_GAIN = 8.0
 # How many times as frequent among positives as among the rest a feature must be.
 LEAST_LIFT = 25.0
 FOLDS = 5
+# Features that a task counts before it passes the counts on.
+HELD = 200_000
 PREFIXES = (4, 5, 6)
 
 
@@ -77,56 +80,95 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(out, -50, 50)))
 
 
-def _rows(texts, wanted: dict[bytes, int]) -> list[np.ndarray]:
-    """The numbers of the wanted features in each text; nothing else is kept."""
-    return [np.fromiter((wanted[f] for f in features(t) & wanted.keys()), np.int32) for t in texts]
+def _counts(batches):
+    """``(feature, seen, other)``: in how many positive and other texts; parts of the sums."""
+    names = ["feature", "seen", "other"]
+    seen, other = Counter(), Counter()
 
+    def parts():
+        found = list(seen.keys() | other.keys())
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(found, pa.binary()), pa.array([seen[f] for f in found], pa.int64()),
+             pa.array([other[f] for f in found], pa.int64())], names=names)
+        seen.clear()
+        other.clear()
+        return out
 
-def _matrix(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
-    """Presence of the chosen features (sorted numbers) as a dense matrix."""
-    x = np.zeros((len(rows), len(chosen)), np.float32)
-    for k, row in enumerate(rows):
-        x[k, np.searchsorted(chosen, row[np.isin(row, chosen)])] = 1
-    return x
+    for batch in batches:
+        for data, toxic in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
+            (seen if toxic else other).update(features(data))
+            if len(seen) + len(other) > HELD:
+                yield parts()
+    yield parts()
 
 
-def choose_features(seen: np.ndarray, other: np.ndarray, p: int, u: int, prior: float) -> np.ndarray:
-    """Numbers of the features more frequent among positives than chance would make them.
+def _ratio(p: int, u: int, prior: float) -> tuple[Column, Column]:
+    """The log-likelihood ratio and the lift of a feature, from its counts among ``p`` positives
+    (``seen``) and ``u`` unlabelled texts (``other``).
 
-    ``seen`` and ``other`` count each feature among ``p`` positives and ``u`` unlabelled texts.
-    The measure is the log-likelihood ratio of the counts in both samples, so a small sample
-    teaches only what it shows beyond doubt.
+    The ratio compares one common frequency with a frequency for each sample, so a small sample
+    teaches only what it shows beyond doubt. What the positives hidden among the unlabelled
+    explain is not held against a feature.
     """
-    # What the positives hidden among the unlabelled explain is not held against a feature.
-    rest = np.maximum(0.0, other - prior * u * seen / p)
+    seen = F.col("seen").cast("double")
+    rest = F.greatest(F.lit(0.0), F.col("other") - F.lit(prior * u / p) * seen)
 
     def part(k, n, q):
-        q = np.clip(q, 1e-12, 1 - 1e-12)
-        return k * np.log(q) + (n - k) * np.log1p(-q)
+        q = F.least(F.greatest(q, F.lit(1e-12)), F.lit(1 - 1e-12))
+        return k * F.log(q) + (F.lit(float(n)) - k) * F.log1p(-q)
 
     both = (seen + rest) / (p + u)
-    ratio = (part(seen, p, seen / p) + part(rest, u, rest / u)
-             - part(seen, p, both) - part(rest, u, both))
-    fit = np.flatnonzero((ratio > LEAST_GAIN) & (seen / p >= LEAST_LIFT * rest / u))
-    return np.sort(fit[np.argsort(-ratio[fit], kind="stable")[:FEATURES]])
+    ratio = part(seen, p, seen / p) + part(rest, u, rest / u) - part(seen, p, both) - part(rest, u, both)
+    return ratio, (seen / p) >= LEAST_LIFT * (rest / u)
 
 
-def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float,
-               epochs: int = 150, rate: float = 0.1, decay: float = 1e-3, seed: int = 7):
+def choose_features(counts: DataFrame, p: int, u: int, prior: float) -> list[bytes]:
+    """The features of ``counts (feature, seen, other)`` that are more frequent among positives
+    than chance would make them: at most ``FEATURES``, the surest first."""
+    ratio, lifted = _ratio(p, u, prior)
+    fit = counts.where("seen > 2").withColumn("ratio", ratio).where(
+        (F.col("ratio") > LEAST_GAIN) & lifted)
+    best = fit.orderBy(F.desc("ratio"), "feature").limit(FEATURES).select("feature")
+    return [bytes(r[0]) for r in best.collect()]
+
+
+@dataclass(frozen=True)
+class Presence:
+    """Which features each document of a sample has: flat feature numbers and their documents."""
+
+    feature: np.ndarray
+    owner: np.ndarray
+    documents: int
+    features: int
+
+    @classmethod
+    def of(cls, rows: list, features: int) -> Presence:
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        flat = np.concatenate([np.empty(0, np.int32), *rows]).astype(np.int32)
+        return cls(flat, np.repeat(np.arange(len(rows), dtype=np.int32), sizes), len(rows), features)
+
+    def margins(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.owner, weights[self.feature], self.documents)
+
+    def gradient(self, slopes: np.ndarray) -> np.ndarray:
+        """The mean over documents of slope times presence, the bias last."""
+        sums = np.bincount(self.feature, slopes[self.owner], self.features)
+        return np.append(sums, slopes.sum()) / max(1, self.documents)
+
+
+def train_nnpu(positive: Presence, unlabelled: Presence, prior: float,
+               epochs: int = 150, rate: float = 0.1, decay: float = 1e-3):
     """Weights and bias of a linear classifier by the non-negative risk, logistic loss, Adam."""
-    size = positive.shape[1]
-    w = np.zeros(size + 1)
+    w = np.zeros(positive.features + 1)
     w[-1] = np.log(prior / (1 - prior))
     m, v = np.zeros_like(w), np.zeros_like(w)
     sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -50, 50)))
     loss = lambda z: np.logaddexp(0, z)  # noqa: E731  of the label 0 at margin z
-    gradient = lambda x, g: np.append(x.T @ g.astype(np.float32), g.sum()) / max(1, len(g))
     for step in range(1, epochs + 1):
-        v32 = w[:-1].astype(np.float32)
-        zp, zu = positive @ v32 + w[-1], unlabelled @ v32 + w[-1]
+        zp, zu = positive.margins(w[:-1]) + w[-1], unlabelled.margins(w[:-1]) + w[-1]
         hidden = loss(zu).mean() - prior * loss(zp).mean()
-        g_hidden = gradient(unlabelled, sig(zu)) - prior * gradient(positive, sig(zp))
-        g = prior * gradient(positive, sig(zp) - 1) + g_hidden if hidden >= 0 else -g_hidden
+        g_hidden = unlabelled.gradient(sig(zu)) - prior * positive.gradient(sig(zp))
+        g = prior * positive.gradient(sig(zp) - 1) + g_hidden if hidden >= 0 else -g_hidden
         g[:-1] += decay * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -148,45 +190,40 @@ def decision_level(zp: np.ndarray, zu: np.ndarray) -> float:
     return float(cuts[np.argmax(recall**2 / called)])
 
 
-def _train(prior: float):
-    def run(bag: pd.DataFrame) -> pd.DataFrame:
-        bag = bag.sort_values(["doc_id", "toxic"])
-        toxic = bag["toxic"].to_numpy() > 0
-        empty = pd.DataFrame({"feature": [b""], "weight": [np.log(prior / (1 - prior))]})
-        if not toxic.any() or toxic.all():
-            return empty
-        seen = Counter()
-        for data in bag["data"][toxic]:
-            seen.update(features(data))
-        # Only features of at least three positives are looked for from here on.
-        names = sorted(f for f, n in seen.items() if n > 2)
-        wanted = {f: k for k, f in enumerate(names)}
-        positive, unlabelled = (_rows(bag["data"][m], wanted) for m in (toxic, ~toxic))
-        count = lambda rows: np.bincount(np.concatenate(rows), minlength=len(names))
-        if not names:
-            return empty
-        chosen = choose_features(count(positive), count(unlabelled), len(positive),
-                                 len(unlabelled), prior)
-        if not len(chosen):
-            return empty
-        x, z = _matrix(positive, chosen), _matrix(unlabelled, chosen)
-        # A prior above the sample's own share would stop the training early.
-        w, _ = train_nnpu(x, z, 0.9 * prior)
-        v32 = w.astype(np.float32)
-        bias = -decision_level(x @ v32, z @ v32)
-        return pd.DataFrame({"feature": [b"", *(names[k] for k in chosen)], "weight": [bias, *w]})
+def _numbers(chosen: list[bytes]):
+    """``(doc_id, toxic, found)``: the numbers of the chosen features in each text."""
+    wanted = {f: k for k, f in enumerate(chosen)}
+
+    def run(batches):
+        for batch in batches:
+            found = [sorted(wanted[f] for f in features(data) & wanted.keys())
+                     for data in utf8(batch.column(0))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(2), batch.column(1), pa.array(found, pa.list_(pa.int32()))],
+                names=["doc_id", "toxic", "found"])
+
+    return run
+
+
+def _trained(prior: float, count: int):
+    def run(sample: pd.DataFrame) -> pd.DataFrame:
+        sample = sample.sort_values(["doc_id", "toxic"], kind="stable")
+        toxic = sample["toxic"].to_numpy() > 0
+        positive, unlabelled = (Presence.of(list(sample["found"][m]), count) for m in (toxic, ~toxic))
+        w, _ = train_nnpu(positive, unlabelled, prior)
+        level = decision_level(positive.margins(w), unlabelled.margins(w))
+        return pd.DataFrame({"feature": np.arange(-1, count), "weight": [-level, *w]})
 
     return run
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, prior: float | None = None,
-                 bags: int = BAGS) -> Classifier:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Classifier:
     """Learn from ``docs (doc_id, text)`` and ``labels (doc_id, toxic)`` outside fold 0.
 
     The prior is given, or the share of toxic rows among those labelled (0.01 to 0.5). At most
-    about ``POSITIVES`` toxic and ``UNLABELLED`` other documents are used. Of repeated labels
-    the largest counts; rows without id, label or text teach nothing. Without positives every
-    text scores the prior.
+    about ``POSITIVES`` toxic and ``UNLABELLED`` other documents are used, at every size of table.
+    Of repeated labels the largest counts; rows without id, label or text teach nothing. Without
+    positives, other documents or telling features every text scores the prior.
     """
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"),
                           F.col("toxic").cast("int").alias("toxic")).where(
@@ -195,8 +232,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, prior: float | None = None,
     total, toxic = marks.agg(F.count("*"), F.coalesce(F.sum(
         (F.col("toxic") > 0).cast("long")), F.lit(0))).head()
     prior = prior or min(0.5, max(0.01, toxic / total if total else 0.1))
+    untaught = Classifier(float(np.log(prior / (1 - prior))), {})
     if not toxic:
-        return Classifier(float(np.log(prior / (1 - prior))), {})
+        return untaught
     draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
     # The bounded sample of positives' ids is what is broadcast.
     known = F.broadcast(marks.where((F.col("toxic") > 0) & (draw < POSITIVES / toxic)).select(
@@ -205,17 +243,24 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, prior: float | None = None,
                         F.col("text").cast("binary").alias("data")).where(
         (crc32_fold("doc_id", FOLDS) != 0) & F.col("data").isNotNull())
     share = UNLABELLED / max(1, docs.count())
-    bags = min(bags, max(1, toxic // 1_000))  # a bag needs enough positives
-    bag = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(bags)).cast("int").alias("bag")
-    sample = texts.join(known, "doc_id", "left").select(
-        "doc_id", "data", F.coalesce("toxic", F.lit(0)).alias("toxic"), bag).where(
-            (F.col("toxic") == 1) | (draw < share))
-    found = sample.groupBy("bag").applyInPandas(
-        _train(prior), "feature binary, weight double")
-    weights: dict[bytes, float] = Counter()
-    for r in found.collect():  # at most bags * (FEATURES + 1) rows
-        weights[bytes(r["feature"])] += r["weight"] / bags
-    return Classifier(weights.pop(b"", 0.0), dict(weights))
+    sample = materialize(texts.join(known, "doc_id", "left").select(
+        "data", F.coalesce("toxic", F.lit(0)).alias("toxic"), "doc_id").where(
+            (F.col("toxic") == 1) | (draw < share)), "sample")
+    p, n = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).head()
+    if not p or p == n:
+        return untaught
+    counts = sample.select("data", "toxic").mapInArrow(
+        _counts, "feature binary, seen long, other long").groupBy("feature").agg(
+            F.sum("seen").alias("seen"), F.sum("other").alias("other"))
+    chosen = choose_features(counts, p, n - p, prior)
+    if not chosen:
+        return untaught
+    rows = sample.mapInArrow(_numbers(chosen), "doc_id long, toxic int, found array<int>")
+    # One task: at most the sample's rows, each with numbers of chosen features only.
+    found = rows.groupBy().applyInPandas(
+        _trained(prior, len(chosen)), "feature int, weight double").collect()
+    weights = {r["feature"]: r["weight"] for r in found}
+    return Classifier(weights[-1], {f: weights[k] for k, f in enumerate(chosen)})
 
 
 def with_toxicity(docs: DataFrame, model: Classifier, score: str = "score") -> DataFrame:
