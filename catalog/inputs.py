@@ -33,6 +33,23 @@ INPUTS = {
     "lineitem_const": """
         SELECT l_quantity, l_extendedprice, l_discount, l_tax, CAST(5 AS DOUBLE) AS k
         FROM {lineitem}""",
+    # Twenty-two numeric columns: few and many values, large and small, gaps, infinities.
+    "lineitem_wide": """
+        SELECT CAST(l_orderkey AS DOUBLE) AS x1, l_partkey AS x2, l_suppkey AS x3,
+               l_linenumber AS x4, l_quantity AS x5, l_extendedprice AS x6, l_discount AS x7,
+               l_tax AS x8, -l_extendedprice AS x9, l_extendedprice - 50000 AS x10,
+               l_extendedprice * 1e6 AS x11, l_extendedprice / 1024 AS x12,
+               CASE WHEN l_linenumber > 5 THEN NULL ELSE l_extendedprice END AS x13,
+               CASE WHEN l_linenumber > 1 THEN NULL ELSE l_quantity END AS x14,
+               CASE WHEN l_quantity > 17 THEN CAST(0 AS DOUBLE) ELSE l_extendedprice END AS x15,
+               CASE WHEN l_quantity > 49 THEN CAST('Infinity' AS DOUBLE)
+                    ELSE l_extendedprice END AS x16,
+               CASE WHEN l_quantity < 40 THEN CAST('-Infinity' AS DOUBLE)
+                    ELSE l_extendedprice END AS x17,
+               l_quantity * l_discount AS x18, l_partkey * 4096 + l_suppkey AS x19,
+               CAST(5 AS DOUBLE) AS x20, CAST(NULL AS DOUBLE) AS x21,
+               CASE WHEN l_linenumber = 1 THEN -l_tax ELSE l_tax END AS x22
+        FROM {lineitem}""",
     "part_codes": """
         SELECT p_partkey, p_retailprice,
                CASE WHEN p_type = 'PROMO' THEN 'n/a' ELSE CAST(p_size AS VARCHAR(10)) END AS code

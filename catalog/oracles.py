@@ -163,6 +163,8 @@ SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_count,
 FROM (SELECT count(*) AS n FROM {src('orders_dups')}
       GROUP BY o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority) g"""
 
+ORACLES["A3_duplicate_profile_filtered"] = ORACLES["A3_duplicate_profile"]
+
 
 def describe(table: str, col: str, digits: int) -> str:
     x = f"CAST({col} AS DOUBLE)"
@@ -177,6 +179,13 @@ def describe(table: str, col: str, digits: int) -> str:
 ORACLES["A4_numeric_summary"] = union(
     describe("lineitem", c, 5) for c in [*PRICES, "l_linenumber"])
 
+ORACLES["A4_quartiles_wide"] = union(
+    f"SELECT '{c}' AS column_name, count({c}) AS count, round(min(CAST({c} AS DOUBLE)), 5) AS min, "
+    + ", ".join(f"round(quantile_cont(CAST({c} AS DOUBLE), {q}), 5) AS {n}"
+                for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")))
+    + f", round(max(CAST({c} AS DOUBLE)), 5) AS max FROM {src('lineitem_wide')}"
+    for c in [f"x{i}" for i in range(1, 23)])
+
 
 def shape(col: str, drop: bool) -> str:
     x, ok = f"CAST({col} AS DOUBLE)", "TRUE" if drop else f"count({col}) = count(*)"
@@ -329,6 +338,7 @@ ORACLES["T3_clean_missing"] = f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice,
        o_orderpriority FROM ({_CLEAN}) c"""
 ORACLES["T4_drop_duplicates"] = f"SELECT DISTINCT * FROM {src('orders_dups')}"
+ORACLES["T4_drop_duplicates_filtered"] = ORACLES["T4_drop_duplicates"]
 ORACLES["T5_cap_outliers"] = f"""
 SELECT event_id, round(greatest(lo, least(hi, x)), 6) AS value
 FROM {fences('events', 'value', 'event_id,')}"""
@@ -381,6 +391,34 @@ SELECT k AS o_orderkey, {scaled('o_custkey')}, {scaled('o_totalprice')},
        CAST(o_orderstatus = 'P' AS INT) AS "o_orderstatus_P",
        CAST(c AS INT) AS label, split FROM done"""
 
+ORACLES["T12_transform_stored"] = ORACLES["T12_prepare"].replace(", split FROM done", " FROM done")
+
+
+def scaled_on_train(col: str) -> str:
+    return (f"round(({col} - avg({col}) FILTER (WHERE split = 'train') OVER ()) / "
+            f"stddev_pop({col}) FILTER (WHERE split = 'train') OVER (), 6) AS {col}")
+
+
+_LABELLED = f"""(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       coalesce(o_orderpriority, {_MODE}) AS o_orderpriority FROM {src('orders_nulls')}) s"""
+ORACLES["T12_prepare_on_train"] = split_sql(
+    _LABELLED, "o_orderkey", "dense_rank() OVER (ORDER BY o_orderpriority) - 1",
+    ", o_custkey, o_totalprice, o_orderstatus") + f"""
+, filled AS (SELECT k, c, split, o_orderstatus, CAST(o_custkey AS DOUBLE) AS o_custkey,
+       coalesce(o_totalprice, (SELECT median(o_totalprice) FROM done WHERE split = 'train'))
+           AS o_totalprice FROM done),
+cuts AS (SELECT quantile_cont(o_custkey, 0.25) AS c1, quantile_cont(o_custkey, 0.75) AS c3,
+                quantile_cont(o_totalprice, 0.25) AS t1, quantile_cont(o_totalprice, 0.75) AS t3
+         FROM filled WHERE split = 'train'),
+capped AS (SELECT k, c, split, o_orderstatus,
+       greatest(c1 - 15e-1 * (c3 - c1), least(c3 + 15e-1 * (c3 - c1), o_custkey)) AS o_custkey,
+       greatest(t1 - 15e-1 * (t3 - t1), least(t3 + 15e-1 * (t3 - t1), o_totalprice))
+           AS o_totalprice FROM filled, cuts)
+SELECT k AS o_orderkey, {scaled_on_train('o_custkey')}, {scaled_on_train('o_totalprice')},
+       CAST(o_orderstatus = 'O' AS INT) AS "o_orderstatus_O",
+       CAST(o_orderstatus = 'P' AS INT) AS "o_orderstatus_P",
+       CAST(c AS INT) AS label, split FROM capped"""
+
 # --- splits
 
 ORACLES["D1_stratified_split"] = ORACLES["S3_write_splits"]
@@ -525,6 +563,8 @@ _CURVE_COLS = ("round(score, 9) AS score, pos, neg, tp, fp, round(fpr, 9) AS fpr
 _AREA = "sum(neg * (tp - pos / 2e0)) / (sum(pos) * sum(neg))"
 ORACLES["E11_roc_curve"] = _BINARY + f"SELECT {_CURVE_COLS}"
 ORACLES["E12_roc_curve_ovr"] = _OVR + f"SELECT class, {_CURVE_COLS}"
+ORACLES["E11_roc_curve_ranges"] = ORACLES["E11_roc_curve"]
+ORACLES["E12_roc_curve_ovr_ranges"] = ORACLES["E12_roc_curve_ovr"]
 ORACLES["E13_auc"] = _BINARY + f"SELECT round({_AREA}, 6) AS auc FROM curve"
 ORACLES["E13_auc_ovr"] = _OVR + (
     f"SELECT class, round({_AREA}, 6) AS auc FROM curve GROUP BY class")

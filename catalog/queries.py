@@ -193,6 +193,17 @@ def _(spark, sf):
     return rounded(gf.duplicate_profile(spark_input(spark, sf, "orders_dups")))
 
 
+@query("A3_duplicate_profile_filtered")
+def _(spark, sf):
+    return rounded(gf.duplicate_profile(spark_input(spark, sf, "orders_dups"), suspect_limit=0))
+
+
+@query("A4_quartiles_wide")
+def _(spark, sf):
+    out = gf.numeric_summary(spark_input(spark, sf, "lineitem_wide"))
+    return rounded(out.select("column_name", "count", "min", "p25", "p50", "p75", "max"), 5)
+
+
 @query("A4_numeric_summary")
 def _(spark, sf):
     out = gf.numeric_summary(lineitem(spark, sf), [*PRICES, "l_linenumber"])
@@ -326,6 +337,11 @@ def _(spark, sf):
     return gf.drop_duplicates(spark_input(spark, sf, "orders_dups"))
 
 
+@query("T4_drop_duplicates_filtered")
+def _(spark, sf):
+    return gf.drop_duplicates(spark_input(spark, sf, "orders_dups"), suspect_limit=0)
+
+
 @query("T5_cap_outliers")
 def _(spark, sf):
     events = table(spark, sf, "events").select("event_id", "value")
@@ -394,6 +410,23 @@ def _(spark, sf):
     return rounded(_as_int(ready.df.drop("__gf_row")))
 
 
+@query("T12_prepare_on_train")
+def _(spark, sf):
+    gaps = spark_input(spark, sf, "orders_nulls")
+    ready = gf.prepare(gaps, "o_orderpriority", fit_on="train", key="o_orderkey",
+                       exclude=["o_orderkey"])
+    return rounded(_as_int(ready.df.drop("__gf_row")))
+
+
+@query("T12_transform_stored")
+def _(spark, sf):
+    gaps = spark_input(spark, sf, "orders_nulls")
+    ready = gf.prepare(gaps, "o_orderpriority", key="o_orderkey", exclude=["o_orderkey"])
+    path = gf.scratch_path(spark, "preparation")
+    gf.save_preparation(ready, path)
+    return rounded(_as_int(gf.transform(gaps, gf.load_preparation(spark, path))))
+
+
 # --- splits
 
 
@@ -565,6 +598,17 @@ def _(spark, sf):
     return rounded(gf.roc_curve_ovr(_probabilities(spark, sf)), 9)
 
 
+@query("E11_roc_curve_ranges")
+def _(spark, sf):
+    scored = spark_input(spark, sf, "predictions_binary")
+    return rounded(gf.roc_curve(scored, rows_per_bucket=20), 9)
+
+
+@query("E12_roc_curve_ovr_ranges")
+def _(spark, sf):
+    return rounded(gf.roc_curve_ovr(_probabilities(spark, sf), rows_per_bucket=1_000), 9)
+
+
 @query("E13_auc")
 def _(spark, sf):
     return rounded(gf.auc(gf.roc_curve(spark_input(spark, sf, "predictions_binary"))))

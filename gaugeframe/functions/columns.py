@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from types import MappingProxyType
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,6 +76,34 @@ def doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         f"CAST({_canonical_sql(fields[c])} AS DOUBLE) AS {ident(c)}" for c in cols])
 
 
+def unpivoted(df: DataFrame, rows: Sequence[Sequence[str]], names: Sequence[str]) -> DataFrame:
+    """Every row of ``df`` once per item of ``rows``, which holds SQL for each of ``names``."""
+    cells = ", ".join(sql for row in rows for sql in row)
+    return df.selectExpr(f"stack({len(rows)}, {cells}) AS ({', '.join(names)})")
+
+
+def column_stats(
+    df: DataFrame, cols: Sequence[str], aggs: Mapping[str, str],
+    params: Mapping[str, Sequence[float | None]] = MappingProxyType({}),
+) -> DataFrame:
+    """One row per column: ``column_name``, its ``params`` and ``aggs`` (SQL) over its ``value``.
+
+    All columns are read in one scan, unpivoted, and aggregated by column with one buffer per
+    column and task before the shuffle. ``params`` are doubles per column that ``aggs`` may use.
+    Without rows every aggregate is null.
+    """
+    names = ["column_no", "value", *params]
+    cells = [[str(i), ident(c), *(number(v[i]) for v in params.values())]
+             for i, c in enumerate(cols)]
+    found = unpivoted(doubles(df, cols), cells, names).groupBy("column_no").agg(
+        *[F.expr(sql).alias(name) for name, sql in aggs.items()])
+    schema = "column_no int, column_name string" + "".join(f", {p} double" for p in params)
+    known = small_table(df.sparkSession, [
+        (i, c, *(v[i] for v in params.values())) for i, c in enumerate(cols)], schema)
+    # One row per column.
+    return known.join(F.broadcast(found), "column_no", "left").drop("column_no")
+
+
 def safe_div(num: Column, den: Column) -> Column:
     """Division that yields 0 where the divisor is zero or missing."""
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))

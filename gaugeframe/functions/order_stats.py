@@ -1,79 +1,68 @@
-"""Exact quantiles that stay within bounded memory at any table size.
-
-``percentile`` keeps one map entry per distinct value, which is fine for a column of small
-cardinality and impossible for a continuous column of 10^12 rows. So every column is sized
-first. Columns with few distinct values go to ``percentile`` whole; for the others a bracket
-of values around the wanted rank is narrowed, each pass by a factor of several hundred, until
-few enough values are left in it. Every pass is one map-side-combined aggregate over the
-pruned columns; nothing is shuffled but the aggregate buffers.
+"""Exact quantiles that stay within bounded memory at any table size, by radix selection.
+
+A double has an order-preserving image among the 64-bit integers: the bits of its magnitude, with
+its sign. Columns are unpivoted, and each pass counts the values of every column by the next bits of
+their images, with a map-side-combined ``groupBy(slot, digit)``. A slot is a range of images that
+holds the rank of a quantile; the digit that holds it is the slot of the next pass. A slot is
+done when its smallest and largest value are equal. The first pass looks at 16 bits, each further
+one at 12, so there are at most five; a slot with few values left is listed by value at once.
+
+Nothing is sketched, and no task holds more than the counts of one slot: 65,536 in the first pass,
+4,096 or ``countable`` later. The driver gets one row per column and rank.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeframe.functions.columns import doubles, ident, number, ref, stacked
-
-GRID = 1000
-ACCURACY = 20 * GRID
-COUNTABLE = 50_000
-MAX_PASSES = 24
-
-
-@dataclass
-class _Bracket:
-    """Values between lo and hi (None is open) that hold the ranks of some quantiles."""
-
-    column: str
-    probs: tuple[float, ...] = ()
-    lo: float | None = None
-    hi: float | None = None
-    outer: tuple[float | None, float | None] = (None, None)
-    below: int = 0
-    inside: int = 0
-    expected: float = math.inf
-    margin: int = 1
-
-    def member(self) -> str:
-        q = ident(self.column)
-        bounds = [f"{q} >= {number(self.lo)}"] if self.lo is not None else []
-        bounds += [f"{q} <= {number(self.hi)}"] if self.hi is not None else []
-        return f"CASE WHEN {' AND '.join(bounds)} THEN {q} END" if bounds else q
-
-    def under(self) -> str:
-        if self.lo is None:
-            return "0L"
-        return f"count_if({ident(self.column)} < {number(self.lo)})"
-
-    def holds(self, prob: float, total: int) -> tuple[bool, bool]:
-        """Whether a rank of the quantile fell out on the (low, high) side."""
-        low, high, _ = _ranks(prob, total)
-        return low < self.below, high >= self.below + self.inside
-
-    def reopen(self, low_lost: bool, high_lost: bool) -> None:
-        """The sketch missed its error bound: go back on the side that lost the rank."""
-        self.lo = self.outer[0] if low_lost else self.lo
-        self.hi = self.outer[1] if high_lost else self.hi
-        self.margin, self.expected = 2 * self.margin, math.inf
-
-    def around(self, prob: float, total: int, grid: list[float]) -> "_Bracket":
-        """A narrower bracket around one quantile, from the sketched grid of this one."""
-        low, high, _ = _ranks(prob, total)
-        first = math.floor((low - self.below) / self.inside * GRID) - self.margin
-        last = math.ceil((high - self.below + 1) / self.inside * GRID) + self.margin
-        return _Bracket(
-            self.column, (prob,),
-            self.lo if first <= 0 else grid[first],
-            self.hi if last >= GRID else grid[last],
-            outer=(self.lo, self.hi),
-            expected=self.inside * (last - first + 1) / GRID,
-            margin=self.margin,
-        )
+from gaugeframe.functions.columns import doubles, ident, ref, small_table, unpivoted
+
+COUNTABLE = 10_000
+FIRST_BITS, BITS = 16, 12
+_SIGN, _MANTISSA, _BIAS = 63, 52, 1023
+_IMAGES = (-(1 << _SIGN), (1 << _SIGN) - 1)
+# Magnitudes outside of 2^-500 to 2^500 are brought there by this power of two first.
+_FAR, _SCALE = 500, 600
+
+
+def image(value: Column) -> Column:
+    """The order-preserving 64-bit image of a double that is not NaN; both zeros give 0.
+
+    Powers of two and the scaling by them are exact, so the logarithm only has to be right to
+    the nearest power, and its neighbours are tried.
+    """
+    size = F.abs(value)
+    moved = F.when(size < 2.0**-_FAR, _SCALE).when(size > 2.0**_FAR, -_SCALE).otherwise(0)
+    near = size * F.when(size < 2.0**-_FAR, 2.0**_SCALE).when(
+        size > 2.0**_FAR, 2.0**-_SCALE).otherwise(1.0)
+    guess = F.floor(F.log2(near)).cast("int")
+    power = F.pow(F.lit(2.0), guess)
+    step = F.when(near < power, -1).when(near >= 2 * power, 1).otherwise(0)
+    fraction = near / (power * F.when(step == -1, 0.5).when(step == 1, 2.0).otherwise(1.0)) - 1
+    exponent = (guess + step - moved + _BIAS).cast("long")
+    bits = exponent * F.lit(1 << _MANTISSA) + (fraction * float(1 << _MANTISSA)).cast("long")
+    # Below the smallest normal double the magnitude is a multiple of 2^-1074.
+    small = (size * 2.0**537 * 2.0**537).cast("long")
+    bits = (F.when(size == math.inf, F.lit(2047 << _MANTISSA)).when(size == 0, F.lit(0))
+            .when(size < 2.0**-1022, small).otherwise(bits))
+    return F.when(value < 0, -bits).otherwise(bits)
+
+
+def _counted(values: DataFrame, slots: DataFrame) -> DataFrame:
+    """``(slot, digit, n, low, high, upto)``: counts by digit, and counts up to each digit.
+
+    ``values`` holds ``(column_no, value, image)``, ``slots`` a few rows of
+    ``(slot, column_no, first, last, shift)``.
+    """
+    inside = values.join(F.broadcast(slots), "column_no").where("image BETWEEN first AND last")
+    counts = inside.groupBy("slot", F.expr("shiftright(image, shift)").alias("digit")).agg(
+        F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    order = Window.partitionBy("slot").orderBy("digit")
+    return counts.withColumn("upto", F.sum("n").over(order))
 
 
 def _ranks(prob: float, n: int) -> tuple[int, int, float]:
@@ -82,102 +71,84 @@ def _ranks(prob: float, n: int) -> tuple[int, int, float]:
     return low, min(low + 1, n - 1), position - low
 
 
-# 0, 1/GRID, ..., 1 as one folded literal instead of a thousand expression nodes.
-_GRID_TEXT = ",".join(str(i / GRID) for i in range(GRID + 1))
-_GRID_SQL = f"CAST(split('{_GRID_TEXT}', ',') AS array<double>)"
-
-# Output row of one task; what a task does not compute stays null.
-_EMPTY = {"below": "bigint", "inside": "bigint", "distinct": "bigint", "grid": "array<double>",
-          "values": "array<double>"}
-
-
-def _task(key: int, **aggs: str):
-    named = [f"{sql} AS {name}{key}" for name, sql in aggs.items()]
-    row = {"task": str(key)}
-    for name, dtype in _EMPTY.items():
-        row[name] = f"{name}{key}" if name in aggs else f"CAST(NULL AS {dtype})"
-    return named, row
-
+def _between(low: float, high: float, part: float) -> float:
+    # Between equal or infinite values nothing is interpolated.
+    return low if not part or low == high else low + (high - low) * part
 
-def _sizes(b: _Bracket, key: int, sketch: bool):
-    inner = b.member()
-    aggs = {"below": b.under(), "inside": f"count({inner})"}
-    if sketch:
-        aggs["distinct"] = f"approx_count_distinct({inner})"
-        aggs["grid"] = f"percentile_approx({inner}, {_GRID_SQL}, {ACCURACY})"
-    return _task(key, **aggs)
 
-
-def _final(b: _Bracket, total: int, probs: Sequence[float], key: int):
-    """The order statistics on both sides of each quantile, from the values in the bracket."""
-    span = max(b.inside - 1, 1)
-    at = [number((r - b.below) / span) for p in probs for r in _ranks(p, total)[:2]]
-    return _task(key, values=f"percentile({b.member()}, array({', '.join(at)}))")
-
-
-def _run(nums: DataFrame, tasks: Sequence) -> dict:
-    return {r["task"]: r for r in stacked(nums, tasks).collect()}
+_SLOTS = "slot int, column_no int, first long, last long, shift int"
 
 
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], countable: int = COUNTABLE
 ) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles of each column over its non-null values."""
-    # A bracket keeps a few values beside the wanted ones, so fewer cannot be reached.
-    countable = max(countable, 8)
-    nums = doubles(df, cols)
-    result: dict[str, dict[float, float | None]] = {c: dict.fromkeys(probs) for c in cols}
-    totals: dict[str, int] = {}
-    narrow: list[_Bracket] = []
-    ready: list[tuple[list[float], _Bracket]] = []
-
-    found = _run(nums, [
-        _task(i, inside=f"count({ident(c)})", distinct=f"approx_count_distinct({ident(c)})")
-        for i, c in enumerate(cols)])
-    for i, c in enumerate(cols):
-        n = totals[c] = found[i]["inside"]
-        if n and found[i]["distinct"] <= countable:
-            ready.append((list(probs), _Bracket(c, inside=n)))
-        elif n:
-            narrow.append(_Bracket(c, probs=tuple(probs)))
-
-    for _ in range(MAX_PASSES):
-        if not narrow and not ready:
+    """Linear-interpolated quantiles of each column over its non-null values.
+
+    Infinite values count like others. A column without values has null quantiles. A slot of at
+    most ``countable`` values is listed by value.
+    """
+    spark = df.sparkSession
+    values = unpivoted(doubles(df, cols), [[str(i), ident(c)] for i, c in enumerate(cols)],
+                       ["column_no", "value"]).where("value IS NOT NULL")
+    values = values.withColumn("image", image(F.col("value")))
+    at = 64 - FIRST_BITS
+    slots = [(i, i, *_IMAGES, at) for i in range(len(cols))]
+    counts = _counted(values, small_table(spark, slots, _SLOTS))
+    # The first pass also tells the number of values, from which the ranks follow.
+    rows = counts.withColumn("total", F.sum("n").over(Window.partitionBy("slot")))
+    place = [F.floor(p * (F.col("total") - 1)).cast("long") for p in map(float, probs)]
+    rows = rows.select("*", F.explode(F.array(*place)).alias("at"))
+    rows = rows.select("*", F.explode(F.array(
+        "at", F.least(F.col("at") + 1, F.col("total") - 1))).alias("rank")).drop("at")
+    found = rows.where("upto - n <= rank AND rank < upto").distinct().collect()
+
+    totals: dict[int, int] = {}
+    known: dict[tuple[int, int], float] = {}  # of column and rank
+    # Open slots by their range of images: column, rank inside it, rank in the column.
+    open_slots: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
+    home = {i: (i, 0) for i in range(len(cols))}  # of a slot: column, and values before it
+    shift = dict.fromkeys(home, at)
+    asked: dict[int, list[tuple[int, int]]] = {}
+    for r in found:
+        totals[r["slot"]] = r["total"]
+        asked.setdefault(r["slot"], []).append((r["rank"], r["rank"]))
+    while True:
+        open_slots.clear()
+        sizes = {}
+        for r in found:
+            column, before = home[r["slot"]]
+            for inner, rank in asked[r["slot"]]:
+                if not r["upto"] - r["n"] <= inner < r["upto"]:
+                    continue
+                if r["low"] == r["high"]:
+                    known[column, rank] = r["low"]
+                    continue
+                bits = shift[r["slot"]]
+                key = (column, r["digit"] << bits, bits)
+                sizes[key] = r["n"]
+                ranks = open_slots.setdefault(key, [])
+                if (inner - (r["upto"] - r["n"]), rank) not in ranks:
+                    ranks.append((inner - (r["upto"] - r["n"]), rank))
+        if not open_slots:
             break
-        again: list[_Bracket] = []
-        counted: list[tuple[list[float], _Bracket]] = []
-        jobs = [("final", b, ps) for ps, b in ready] + [("size", b, list(b.probs)) for b in narrow]
-        # A bracket expected to be countable is only counted, which is much cheaper.
-        sketch = [b.expected > countable for _, b, _ in jobs]
-        found = _run(nums, [
-            _final(b, totals[b.column], ps, i) if kind == "final" else _sizes(b, i, sketch[i])
-            for i, (kind, b, ps) in enumerate(jobs)])
-        for i, (kind, b, ps) in enumerate(jobs):
-            row, n = found[i], totals[b.column]
-            if kind == "final":
-                for k, p in enumerate(ps):
-                    v0, v1 = row["values"][2 * k : 2 * k + 2]
-                    part = _ranks(p, n)[2]
-                    # Between equal or infinite values nothing is interpolated.
-                    result[b.column][p] = v0 if not part or v0 == v1 else v0 + (v1 - v0) * part
-                continue
-            b.below, b.inside = row["below"], row["inside"]
-            few = b.inside <= countable or (sketch[i] and row["distinct"] <= countable)
-            lost = [b.holds(p, n) for p in ps]
-            if any(low or high for low, high in lost):
-                b.reopen(any(low for low, _ in lost), any(high for _, high in lost))
-                again.append(b)
-            elif few:
-                counted.append((ps, b))
-            elif sketch[i]:
-                again += [b.around(p, n, row["grid"]) for p in ps]
-            else:
-                b.expected = math.inf
-                again.append(b)
-        narrow, ready = again, counted
-    if narrow or ready:
-        raise RuntimeError(f"quantiles of {sorted({b.column for b in narrow})} did not converge")
-    return {c: [result[c][p] for p in probs] for c in cols}
+        slots, home, shift, asked, wanted = [], {}, {}, {}, []
+        for i, ((column, first, bits), ranks) in enumerate(open_slots.items()):
+            few = sizes[column, first, bits] <= countable
+            shift[i] = 0 if few else max(0, bits - BITS)
+            slots.append((i, column, first, first + (1 << bits) - 1, shift[i]))
+            home[i], asked[i] = (column, 0), ranks
+            wanted += [(i, inner) for inner, _ in ranks]
+        counts = _counted(values, small_table(spark, slots, _SLOTS))
+        wanted = small_table(spark, sorted(set(wanted)), "slot int, inner long")
+        found = counts.join(F.broadcast(wanted), "slot").where(
+            "upto - n <= inner AND inner < upto").drop("inner").distinct().collect()
+
+    out = {}
+    for i, c in enumerate(cols):
+        ranks = [_ranks(p, totals[i]) if i in totals else None for p in probs]
+        out[c] = [None if r is None else _between(known[i, r[0]], known[i, r[1]], r[2])
+                  for r in ranks]
+    return out
 
 
 def sketch_quantiles(

@@ -140,17 +140,10 @@ def clean_missing(
 def drop_duplicates(df: DataFrame, suspect_limit: int = profile.SUSPECT_LIMIT) -> DataFrame:
     """One copy of each full row (null equals null).
 
-    Rows whose 64-bit hash is unique cannot have a copy and pass through unshuffled; only
-    rows under a repeated hash are grouped. With too many repeated hashes to broadcast,
-    all rows are grouped.
+    Rows whose 64-bit hash is unique cannot have a copy and pass through unshuffled; only rows
+    under a repeated hash are grouped (``profile.split_by_copies``).
     """
-    df = canonical(df)
-    suspects = profile.repeated_hashes(df, suspect_limit)
-    if suspects is None:
-        return df.dropDuplicates()
-    same = profile.row_hash(df) == F.col("__gf_hash")
-    alone = df.join(F.broadcast(suspects), same, "left_anti")
-    copied = df.join(F.broadcast(suspects), same, "left_semi")
+    alone, copied = profile.split_by_copies(canonical(df), suspect_limit)
     return alone.unionByName(copied.dropDuplicates())
 
 

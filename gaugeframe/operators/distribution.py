@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeframe.functions.columns import (
+    column_stats,
     doubles,
     ident,
     number,
     ref,
     small_table,
     stacked,
-    text,
+    unpivoted,
 )
 from gaugeframe.functions.order_stats import quantiles
 from gaugeframe.operators.profile import FENCE
@@ -42,12 +43,10 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     """
     cols = list(cols) if cols is not None else column_roles(df).numeric
     nums = doubles(df, cols)
-    sizes = stacked(nums, [
-        ([f"count(*) - count({ident(c)}) AS g{i}", f"avg({ident(c)}) AS m{i}",
-          f"stddev_pop({ident(c)}) AS s{i}"],
-         {"i": str(i), "gaps": f"g{i}", "mean": f"m{i}", "sd": f"s{i}"})
-        for i, c in enumerate(cols)])
-    size = {r["i"]: r for r in sizes.collect()}
+    sizes = column_stats(df, cols, {
+        "gaps": "count(*) - count(value)", "mean": "avg(value)", "sd": "stddev_pop(value)"})
+    place = {c: i for i, c in enumerate(cols)}
+    size = {place[r["column_name"]]: r for r in sizes.collect()}
     live = [i for i in range(len(cols)) if size[i]["sd"]]
     holes = [i for i in live if size[i]["gaps"]]
     found = {(i, i): 1.0 for i in live}
@@ -151,11 +150,9 @@ def correlation_lower_triangle(corr: DataFrame) -> DataFrame:
 
 
 def _ranges(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float] | None]:
-    found = stacked(doubles(df, cols), [
-        ([f"min({ident(c)}) AS lo{i}", f"max({ident(c)}) AS hi{i}"],
-         {"i": str(i), "lo": f"lo{i}", "hi": f"hi{i}"})
-        for i, c in enumerate(cols)])
-    ends = {cols[r["i"]]: (r["lo"], r["hi"]) for r in found.collect()}
+    finite = "FILTER (WHERE abs(value) < double('Infinity'))"
+    found = column_stats(df, cols, {"lo": f"min(value) {finite}", "hi": f"max(value) {finite}"})
+    ends = {r["column_name"]: (r["lo"], r["hi"]) for r in found.collect()}
     out = {}
     for c in cols:
         lo, hi = ends[c]
@@ -168,37 +165,36 @@ def _ranges(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]
 
 
 def histogram(df: DataFrame, cols: Sequence[str] | None = None, bins: int = 30) -> DataFrame:
-    """Equal-width bins between the column's minimum and maximum, the last bin closed.
+    """Equal-width bins between the column's smallest and largest finite value, the last closed.
 
-    Every bin is listed, empty ones with 0. A column without values has no bins.
+    Every bin is listed, empty ones with 0. Infinite values, if any, are counted in a bin 0 before
+    the first or a bin after the last. A column without finite values has no other bins.
     """
     cols = list(cols) if cols is not None else column_roles(df).numeric
-    ranges = {c: r for c, r in _ranges(df, cols).items() if r is not None}
-    if not ranges:
-        return small_table(df.sparkSession, [], f"{BIN_SCHEMA}, count bigint")
-    binned = []
-    for c, (lo, hi) in ranges.items():
-        q = ident(c)
-        at = f"CAST(floor(({q} - {number(lo)}) / {number(hi - lo)} * {bins}) AS INT) + 1"
-        # ``least`` skips nulls, so a missing value must be kept out of the last bin.
-        binned.append(f"CASE WHEN {q} IS NOT NULL THEN least({at}, {bins}) END AS {q}")
-    counts = (
-        doubles(df, list(ranges)).selectExpr(*binned)
-        .unpivot([], [ident(c) for c in ranges], "column_name", "bin")
-        .where(F.col("bin").isNotNull())
-        .groupBy("column_name", "bin")
-        .agg(F.count("*").alias("n"))
-    )
-    grid = small_table(
-        df.sparkSession,
-        [(c, b + 1, lo + (hi - lo) * b / bins, lo + (hi - lo) * (b + 1) / bins)
-         for c, (lo, hi) in ranges.items() for b in range(bins)],
-        BIN_SCHEMA,
-    )
-    return grid.join(counts, ["column_name", "bin"], "left").select(
-        "column_name", "bin", "bin_start", "bin_end",
-        F.coalesce("n", F.lit(0)).alias("count"),
-    )
+    ranges = _ranges(df, cols)
+    known = [ranges[c] or (0.0, 1.0) for c in cols]
+    cells = [[str(i), ident(c), number(lo), number(hi - lo)]
+             for i, (c, (lo, hi)) in enumerate(zip(cols, known))]
+    values = unpivoted(doubles(df, cols), cells, ["column_no", "value", "lo", "width"]).where(
+        "value IS NOT NULL")
+    inner = f"least(CAST(floor((value - lo) / width * {bins}) AS INT) + 1, {bins})"
+    counts = values.selectExpr(
+        "column_no",
+        f"CASE WHEN value = double('Infinity') THEN {bins + 1} "
+        f"WHEN value = double('-Infinity') THEN 0 ELSE {inner} END AS bin",
+    ).groupBy("column_no", "bin").agg(F.count("*").alias("n"))
+    grid = []
+    for i, c in enumerate(cols):
+        lo, hi = known[i]
+        if ranges[c] is not None:
+            grid += [(i, c, b + 1, lo + (hi - lo) * b / bins, lo + (hi - lo) * (b + 1) / bins)
+                     for b in range(bins)]
+        grid += [(i, c, 0, -math.inf, lo), (i, c, bins + 1, hi, math.inf)]
+    grid = small_table(df.sparkSession, grid, f"column_no int, {BIN_SCHEMA}")
+    # At most one row per bin.
+    return grid.join(F.broadcast(counts), ["column_no", "bin"], "left").where(
+        f"n IS NOT NULL OR bin BETWEEN 1 AND {bins}").select(
+        "column_name", "bin", "bin_start", "bin_end", F.coalesce("n", F.lit(0)).alias("count"))
 
 
 def density(df: DataFrame, col: str, points: int = 200, cut: float = 3.0) -> DataFrame:
@@ -240,20 +236,15 @@ def box_stats(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tr
     """Quartiles, whiskers (furthest value inside the fences) and outlier count."""
     cols = list(cols) if cols is not None else column_roles(df).numeric
     cuts = quantiles(df, cols, (0.25, 0.5, 0.75), exact)
-    items = []
-    for i, c in enumerate(cols):
-        q1, _, q3 = cuts[c]
-        span = None if q1 is None else FENCE * (q3 - q1)
-        q = ident(c)
-        inside = "false" if q1 is None else (
-            f"{q} >= {number(q1 - span)} AND {q} <= {number(q3 + span)}")
-        p25, p50, p75 = map(number, cuts[c])
-        items.append((
-            [f"min({q}) FILTER (WHERE {inside}) AS lo{i}",
-             f"max({q}) FILTER (WHERE {inside}) AS hi{i}",
-             f"count_if({q} IS NOT NULL AND NOT ({inside})) AS o{i}"],
-            {"column_name": text(c), "q1": p25, "median": p50, "q3": p75,
-             "whisker_low": f"least(lo{i}, {p25})", "whisker_high": f"greatest(hi{i}, {p75})",
-             "outlier_count": f"o{i}"},
-        ))
-    return stacked(doubles(df, cols), items)
+    spans = [None if q[0] is None else FENCE * (q[2] - q[0]) for q in map(cuts.get, cols)]
+    params = {name: [cuts[c][k] for c in cols] for k, name in enumerate(("q1", "median", "q3"))}
+    params["low"] = [None if s is None else cuts[c][0] - s for c, s in zip(cols, spans)]
+    params["high"] = [None if s is None else cuts[c][2] + s for c, s in zip(cols, spans)]
+    found = column_stats(df, cols, {
+        "whisker_low": "min(value) FILTER (WHERE value >= low AND value <= high)",
+        "whisker_high": "max(value) FILTER (WHERE value >= low AND value <= high)",
+        "outliers": "count_if(value < low OR value > high)"}, params)
+    return found.select(
+        "column_name", "q1", "median", "q3", F.least("whisker_low", "q1").alias("whisker_low"),
+        F.greatest("whisker_high", "q3").alias("whisker_high"),
+        F.coalesce("outliers", F.lit(0)).alias("outlier_count"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeframe.functions.columns import canonical, ident, number, ref, small_table, stacked, text
+from gaugeframe.functions.columns import canonical, column_stats, ident, number, ref, small_table, text
 from gaugeframe.operators import profile
 from gaugeframe.sources.scratch import materialize
 from gaugeframe.sources.tables import column_roles
@@ -215,10 +215,7 @@ def fit_scale(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, floa
     """(mean, divisor) per column; the divisor of a constant column is 1."""
     if not cols:
         return {}
-    found = stacked(canonical(df), [
-        ([f"avg({ident(c)}) AS m{i}", f"stddev_pop({ident(c)}) AS s{i}"],
-         {"column_name": text(c), "mean": f"m{i}", "sd": f"s{i}"})
-        for i, c in enumerate(cols)])
+    found = column_stats(df, cols, {"mean": "avg(value)", "sd": "stddev_pop(value)"})
     return {r["column_name"]: (r["mean"], r["sd"] or 1.0)
             for r in found.collect() if r["mean"] is not None}
 

@@ -10,14 +10,13 @@ from pyspark.sql import types as T
 
 from gaugeframe.functions.columns import (
     canonical,
-    doubles,
+    column_stats,
     ident,
-    number,
     ref,
     small_table,
-    stacked,
     tall,
     text,
+    unpivoted,
 )
 from gaugeframe.functions.order_stats import quantiles
 from gaugeframe.sources.scratch import materialize
@@ -26,6 +25,7 @@ from gaugeframe.sources.tables import column_roles
 FENCE = 1.5
 QUARTILES = (0.25, 0.5, 0.75)
 SUSPECT_LIMIT = 1_000_000
+FILTER_BITS, FILTER_WORDS = 16, 1 << 22
 
 
 def dataset_info(df: DataFrame, target: str | None = None) -> DataFrame:
@@ -50,11 +50,16 @@ def dataset_info(df: DataFrame, target: str | None = None) -> DataFrame:
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
-    """(column_name, n_rows, missing_count) for every column."""
-    return stacked(canonical(df), [
-        ([f"count(*) AS n{i}", f"count({ident(c)}) AS f{i}"],
-         {"column_name": text(c), "n_rows": f"n{i}", "missing_count": f"n{i} - f{i}"})
-        for i, c in enumerate(df.columns)])
+    """(column_name, n_rows, missing_count) for every column, from one scan."""
+    cells = [[str(i), f"{ident(c)} IS NULL"] for i, c in enumerate(df.columns)]
+    found = unpivoted(canonical(df), cells, ["column_no", "missing"]).groupBy("column_no").agg(
+        F.count("*").alias("n"), F.count_if("missing").alias("gaps"))
+    names = small_table(df.sparkSession, list(enumerate(df.columns)),
+                        "column_no int, column_name string")
+    # One row per column.
+    return names.join(F.broadcast(found), "column_no", "left").select(
+        "column_name", F.coalesce("n", F.lit(0)).alias("n_rows"),
+        F.coalesce("gaps", F.lit(0)).alias("missing_count"))
 
 
 def missing_profile(df: DataFrame) -> DataFrame:
@@ -84,30 +89,57 @@ def row_hash(df: DataFrame):
     return F.xxhash64(*[ref(c) for c in df.columns])
 
 
-def repeated_hashes(df: DataFrame, limit: int = SUSPECT_LIMIT) -> DataFrame | None:
-    """Row hashes that occur more than once, or None when there are too many to broadcast.
+def _filter_mask(hashed: str) -> str:
+    """Three of the 64 bits of a word, chosen by the upper bits of a hash."""
+    bits = (f"shiftleft(1L, CAST(shiftrightunsigned({hashed}, {at}) & 63 AS INT))"
+            for at in (40, 46, 52))
+    return " | ".join(bits)
+
+
+def _repeated_filter(hashes: DataFrame, count: int) -> DataFrame:
+    """A Bloom filter of ``hashes``, stored as ``(__gf_word, __gf_bits)``.
 
-    Only an 8-byte hash per row is shuffled, instead of whole rows, and copies are
-    collapsed before the shuffle.
+    The word is chosen by the lower bits of a hash; there are ``FILTER_BITS`` bits per hash, but
+    never more than ``FILTER_WORDS`` words, which is what bounds the broadcast.
     """
-    hashes = (
-        df.select(row_hash(df).alias("__gf_hash"))
-        .groupBy("__gf_hash")
-        .agg(F.count("*").alias("__gf_n"))
-        .where(F.col("__gf_n") > 1)
-        .select("__gf_hash")
-    )
-    hashes = materialize(hashes, "repeated-rows")
-    return hashes if hashes.count() <= limit else None
+    wanted = max(1, count * FILTER_BITS // 64)
+    words = min(FILTER_WORDS, 1 << (wanted - 1).bit_length())
+    table = hashes.selectExpr(
+        f"pmod(__gf_hash, {words}L) AS __gf_word", f"{_filter_mask('__gf_hash')} AS mask"
+    ).groupBy("__gf_word").agg(F.bit_or("mask").alias("__gf_bits"))
+    return materialize(table.withColumn("__gf_words", F.lit(words).cast("long")), "row-filter")
+
+
+def split_by_copies(
+    df: DataFrame, suspect_limit: int = SUSPECT_LIMIT
+) -> tuple[DataFrame, DataFrame]:
+    """(rows that surely have no copy, rows that may have one), without moving a row.
+
+    Only an 8-byte hash per row is shuffled, copies collapsed before. Up to ``suspect_limit``
+    repeated hashes are broadcast themselves, more as a Bloom filter of bounded size, which lets
+    a few rows without a copy pass as suspects.
+    """
+    hashes = materialize(
+        df.select(row_hash(df).alias("__gf_hash")).groupBy("__gf_hash")
+        .agg(F.count("*").alias("n")).where("n > 1").select("__gf_hash"), "repeated-rows")
+    count = hashes.count()
+    if count <= suspect_limit:
+        same = row_hash(df) == F.col("__gf_hash")
+        return (df.join(F.broadcast(hashes), same, how) for how in ("left_anti", "left_semi"))
+    table = _repeated_filter(hashes, count)
+    words = table.select("__gf_words").head()[0]
+    keys = ", ".join(ident(c) for c in df.columns)
+    same = F.expr(f"pmod(xxhash64({keys}), {words}L) = __gf_word AND "
+                  f"(__gf_bits & ({_filter_mask(f'xxhash64({keys})')})) = "
+                  f"({_filter_mask(f'xxhash64({keys})')})")
+    table = table.drop("__gf_words")
+    return (df.join(F.broadcast(table), same, how) for how in ("left_anti", "left_semi"))
 
 
 def duplicate_profile(df: DataFrame, suspect_limit: int = SUSPECT_LIMIT) -> DataFrame:
     """Rows that repeat an earlier identical row (null equals null), with their share."""
     df = canonical(df)
-    suspects = repeated_hashes(df, suspect_limit)
-    rows = df
-    if suspects is not None:
-        rows = df.join(F.broadcast(suspects), row_hash(df) == F.col("__gf_hash"), "left_semi")
+    _, rows = split_by_copies(df, suspect_limit)
     extra = (
         rows.groupBy(*[ref(c) for c in df.columns])
         .agg(F.count("*").alias("__gf_n"))
@@ -128,10 +160,10 @@ def duplicate_profile(df: DataFrame, suspect_limit: int = SUSPECT_LIMIT) -> Data
     )
 
 
-def _moments(c: str, nulls: str) -> tuple[str, str]:
-    q = ident(c)
-    ok = "true" if nulls == "drop" else f"count({q}) = count(*)"
-    return f"CASE WHEN {ok} THEN skewness({q}) END", f"CASE WHEN {ok} THEN kurtosis({q}) END"
+def _moments(nulls: str) -> dict[str, str]:
+    ok = "true" if nulls == "drop" else "count(value) = count(*)"
+    return {"skewness": f"CASE WHEN {ok} THEN skewness(value) END",
+            "kurtosis": f"CASE WHEN {ok} THEN kurtosis(value) END"}
 
 
 def numeric_summary(
@@ -143,20 +175,14 @@ def numeric_summary(
     """
     cols = list(cols) if cols is not None else column_roles(df).numeric
     cuts = quantiles(df, cols, QUARTILES, exact)
-    items = []
-    for i, c in enumerate(cols):
-        q = ident(c)
-        skew, kurt = _moments(c, "propagate")
-        p25, p50, p75 = map(number, cuts[c])
-        items.append((
-            [f"count({q}) AS n{i}", f"avg({q}) AS mean{i}", f"stddev_samp({q}) AS std{i}",
-             f"min({q}) AS min{i}", f"max({q}) AS max{i}", f"{skew} AS skew{i}",
-             f"{kurt} AS kurt{i}"],
-            {"column_name": text(c), "count": f"n{i}", "mean": f"mean{i}", "std": f"std{i}",
-             "min": f"min{i}", "p25": p25, "p50": p50, "p75": p75, "max": f"max{i}",
-             "skewness": f"skew{i}", "kurtosis": f"kurt{i}"},
-        ))
-    return stacked(doubles(df, cols), items)
+    found = column_stats(
+        df, cols,
+        {"count": "count(value)", "mean": "avg(value)", "std": "stddev_samp(value)",
+         "min": "min(value)", "max": "max(value)", **_moments("propagate")},
+        {name: [cuts[c][k] for c in cols] for k, name in enumerate(("p25", "p50", "p75"))})
+    return found.select(
+        "column_name", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min",
+        "p25", "p50", "p75", "max", "skewness", "kurtosis")
 
 
 def shape_moments(
@@ -169,14 +195,7 @@ def shape_moments(
     if nulls not in ("propagate", "drop"):
         raise ValueError("nulls must be 'propagate' or 'drop'")
     cols = list(cols) if cols is not None else column_roles(df).numeric
-    items = []
-    for i, c in enumerate(cols):
-        skew, kurt = _moments(c, nulls)
-        items.append((
-            [f"{skew} AS skew{i}", f"{kurt} AS kurt{i}"],
-            {"column_name": text(c), "skewness": f"skew{i}", "kurtosis": f"kurt{i}"},
-        ))
-    return stacked(doubles(df, cols), items)
+    return column_stats(df, cols, _moments(nulls))
 
 
 def level_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -248,18 +267,18 @@ def iqr_bounds(
     """Quartiles, fences and outliers per column, most outliers first."""
     cols = list(cols) if cols is not None else column_roles(df).numeric
     fences = iqr_fences(df, cols, k, exact)
-    items = []
-    for i, c in enumerate(cols):
-        q1, q3, lo, hi = fences[c] or (None,) * 4
-        q, low, high = ident(c), number(lo), number(hi)
-        items.append((
-            [f"count(*) AS n{i}", f"count_if({q} < {low} OR {q} > {high}) AS o{i}"],
-            {"column_name": text(c), "q1": number(q1), "q3": number(q3),
-             "iqr": number(None if q1 is None else q3 - q1),
-             "lower_bound": low, "upper_bound": high, "outlier_count": f"o{i}",
-             "outlier_percentage": f"try_divide(CAST(o{i} AS DOUBLE), n{i}) * 100"},
-        ))
-    return stacked(doubles(df, cols), items).orderBy(F.desc("outlier_count"), "column_name")
+    known = [fences[c] or (None,) * 4 for c in cols]
+    found = column_stats(
+        df, cols,
+        {"n": "count(*)", "outliers": "count_if(value < lower_bound OR value > upper_bound)"},
+        {name: [f[at] for f in known] for at, name in enumerate(
+            ("q1", "q3", "lower_bound", "upper_bound"))})
+    outliers = F.coalesce("outliers", F.lit(0))
+    return found.select(
+        "column_name", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"), "lower_bound",
+        "upper_bound", outliers.alias("outlier_count"),
+        (F.try_divide(outliers.cast("double"), F.col("n")) * 100).alias("outlier_percentage"),
+    ).orderBy(F.desc("outlier_count"), "column_name")
 
 
 def class_distribution(df: DataFrame, target: str) -> DataFrame:
@@ -291,15 +310,10 @@ def scaling_advice(
 ) -> DataFrame:
     """Minimum, maximum and range per column; a range above ``wide`` needs scaling."""
     cols = list(cols) if cols is not None else column_roles(df).numeric
-    items = []
-    for i, c in enumerate(cols):
-        q, span = ident(c), f"hi{i} - lo{i}"
-        items.append((
-            [f"min({q}) AS lo{i}", f"max({q}) AS hi{i}"],
-            {"column_name": text(c), "min": f"lo{i}", "max": f"hi{i}", "range": span,
-             "needs_scaling": f"coalesce({span} > {number(wide)}, false)"},
-        ))
-    return stacked(doubles(df, cols), items)
+    span = F.col("max") - F.col("min")
+    return column_stats(df, cols, {"min": "min(value)", "max": "max(value)"}).select(
+        "column_name", "min", "max", span.alias("range"),
+        F.coalesce(span > wide, F.lit(False)).alias("needs_scaling"))
 
 
 def encoding_advice(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -1,8 +1,9 @@
 """ROC curves and areas over any number of rows.
 
-A running sum over all scores in one window would be one task. Scores are counted per
-distinct value first, put into buckets cut at sketched quantiles, and summed inside each
-bucket; the sums of the buckets above are added from a small broadcast table.
+A running sum over all scores in one window would be one task. Scores are counted per distinct
+value first. The counts are then cut into ranges of scores and stored; the totals of each range
+are summed up in order, and each range adds the total of those before it to its own running sums.
+Equal scores are one row by then, so no score can make a range large.
 """
 
 from __future__ import annotations
@@ -10,76 +11,52 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gaugeframe.functions.columns import nan_to_null, number, ref
+from gaugeframe.functions.columns import nan_to_null, ref
+from gaugeframe.sources.scratch import materialize
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 5_000
-
-
-def _edges(scored: DataFrame, rows_per_bucket: int) -> list[float]:
-    """Increasing score bounds that cut the rows into buckets; none for a small table."""
-    size = scored.agg(F.count("*").alias("n")).first()["n"]
-    buckets = min(MAX_BUCKETS, math.ceil(size / rows_per_bucket))
-    if buckets < 2:
-        return []
-    probs = ", ".join(number(i / buckets) for i in range(1, buckets))
-    row = scored.selectExpr(
-        f"percentile_approx(score, array({probs}), {2 * MAX_BUCKETS}) AS q").first()
-    return sorted(set(row["q"]))
 
 
 def _curve(scored: DataFrame, by: Sequence[str], rows_per_bucket: int) -> DataFrame:
     """``scored`` has the columns of ``by``, ``score`` and ``pos`` (0 or 1)."""
-    keys = list(by)
-    edges = _edges(scored, rows_per_bucket)
-    if edges:
-        scored = Bucketizer(
-            splits=[-math.inf, *edges, math.inf], inputCol="score", outputCol="bucket"
-        ).transform(scored)
-        keys.append("bucket")
-    grouped = scored.groupBy(*keys, "score").agg(
+    by = list(by)
+    grouped = scored.groupBy(*by, "score").agg(
         F.sum("pos").alias("pos"), F.sum(1 - F.col("pos")).alias("neg"))
-    # At most one bucket of rows per curve without edges, one bucket at a time with them.
-    inside = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
-    running = inside.orderBy(F.desc("score"))
-    points = grouped.select(
-        *keys, "score", "pos", "neg",
-        F.sum("pos").over(running).alias("tp"), F.sum("neg").over(running).alias("fp"),
-        F.sum("pos").over(inside).alias("all_pos"), F.sum("neg").over(inside).alias("all_neg"),
-    )
-    if edges:
-        points = _with_offsets(points, grouped, list(by))
-    return points.select(
-        *by, "score", "pos", "neg", "tp", "fp",
-        F.try_divide(F.col("fp").cast("double"), F.col("all_neg")).alias("fpr"),
-        F.try_divide(F.col("tp").cast("double"), F.col("all_pos")).alias("tpr"),
-    )
-
-
-def _with_offsets(points: DataFrame, grouped: DataFrame, by: list[str]) -> DataFrame:
-    """Add to each bucket's running sums the totals of the buckets above it."""
+    grouped = materialize(grouped, "scores")
+    ranges = math.ceil(grouped.count() / rows_per_bucket)
+    if ranges > 1:
+        # Ranges are about equal in distinct scores; their number is kept in the rows, as files
+        # may be read in other partitions.
+        grouped = materialize(
+            grouped.repartitionByRange(ranges, *by, F.desc("score"))
+            .withColumn("bucket", F.spark_partition_id()), "ranges")
+    else:
+        grouped = grouped.withColumn("bucket", F.lit(0))
     totals = grouped.groupBy(*by, "bucket").agg(
         F.sum("pos").alias("b_pos"), F.sum("neg").alias("b_neg"))
-    # ``totals`` has at most MAX_BUCKETS rows per curve.
-    part = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    above = part.orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
-    zero = F.lit(0).cast("bigint")
+    # ``totals`` has one row per range, and one more per curve that begins inside a range.
+    curve = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
+    before = curve.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    none = F.lit(0).cast("bigint")
     offsets = totals.select(
         *by, "bucket",
-        F.coalesce(F.sum("b_pos").over(above), zero).alias("o_pos"),
-        F.coalesce(F.sum("b_neg").over(above), zero).alias("o_neg"),
-        F.sum("b_pos").over(part).alias("t_pos"), F.sum("b_neg").over(part).alias("t_neg"),
-    )
-    return points.join(F.broadcast(offsets), [*by, "bucket"]).select(
-        *by, "score", "pos", "neg",
-        (F.col("tp") + F.col("o_pos")).alias("tp"), (F.col("fp") + F.col("o_neg")).alias("fp"),
-        F.col("t_pos").alias("all_pos"), F.col("t_neg").alias("all_neg"),
-    )
+        F.coalesce(F.sum("b_pos").over(before), none).alias("o_pos"),
+        F.coalesce(F.sum("b_neg").over(before), none).alias("o_neg"),
+        F.sum("b_pos").over(curve).alias("all_pos"), F.sum("b_neg").over(curve).alias("all_neg"))
+    # Within a range of one curve; never more than its ``rows_per_bucket`` or so.
+    running = W.partitionBy(*by, "bucket").orderBy(F.desc("score"))
+    points = grouped.select(
+        *by, "bucket", "score", "pos", "neg",
+        F.sum("pos").over(running).alias("in_pos"), F.sum("neg").over(running).alias("in_neg"))
+    tp, fp = F.col("in_pos") + F.col("o_pos"), F.col("in_neg") + F.col("o_neg")
+    return points.join(offsets, [*by, "bucket"]).select(
+        *by, "score", "pos", "neg", tp.alias("tp"), fp.alias("fp"),
+        F.try_divide(fp.cast("double"), F.col("all_neg")).alias("fpr"),
+        F.try_divide(tp.cast("double"), F.col("all_pos")).alias("tpr"))
 
 
 def roc_curve(

@@ -1,6 +1,8 @@
 from gaugeframe.plans.assessment import cross_validation, evaluate, report, train_and_test
 from gaugeframe.plans.exploration import explore
 from gaugeframe.plans.preparation import Prepared, prepare
+from gaugeframe.plans.stored import Preparation, load_preparation, save_preparation, transform
 
-__all__ = ["Prepared", "cross_validation", "evaluate", "explore", "prepare", "report",
-           "train_and_test"]
+__all__ = ["Preparation", "Prepared", "cross_validation", "evaluate", "explore",
+           "load_preparation", "prepare", "report", "save_preparation", "train_and_test",
+           "transform"]

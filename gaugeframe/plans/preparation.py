@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,11 @@ KEY = "__gf_row"
 
 @dataclass(frozen=True)
 class Prepared:
-    """Features, ``label``, ``split`` and the row id in one table, with what was learned."""
+    """Features, ``label``, ``split`` and the row id in one table, with what was learned.
+
+    ``inputs`` are the columns that features are made of. ``plans.stored`` keeps all but the table
+    for later rows.
+    """
 
     df: DataFrame
     features: list[str]
@@ -28,6 +32,9 @@ class Prepared:
     caps: dict[str, tuple[float, float]]
     encoding: encode.EncodingFit
     scale: dict[str, tuple[float, float]]
+    target: str = ""
+    inputs: list[str] = field(default_factory=list)
+    fill_unseen: bool = False
 
 
 def prepare(
@@ -72,8 +79,8 @@ def prepare(
             df, target, impute_target, exact=exact, untouched=[c for c in untouched if c != target])
         rows = clean.drop_duplicates(clean.apply_missing(df, missing))
     else:
-        mode = clean.MissingFit(modes=clean.fit_modes(df, [target])) if impute_target else None
-        rows = clean.drop_duplicates(clean.apply_missing(df, mode) if mode else df)
+        modes = clean.fit_modes(df, [target]) if impute_target else {}
+        rows = clean.drop_duplicates(clean.apply_missing(df, clean.MissingFit(modes=modes)))
     if not impute_target:
         rows = rows.where(ref(target).isNotNull())
     # The one wide write: later passes scan it column by column. The split key is stored with
@@ -101,6 +108,7 @@ def prepare(
     learn, rows = (clean.apply_caps(t, caps) for t in (learn, rows))
 
     text = [c for c in column_roles(rows).categorical if c not in plain]
+    inputs = [c for c in rows.columns if c not in plain]
     encoding = encode.fit_encoding(learn, text)
     rows = encode.apply_encoding(rows, encoding)
     if fit_on == "train" and encoding.shares:
@@ -116,4 +124,7 @@ def prepare(
     features = [c for c in rows.columns if c not in plain]
     kept = [*features, *exclude, "label", "split", KEY]
     out = rows.select(*[ref(c) for c in kept])
-    return Prepared(out, features, classes, missing, caps, encoding, scale)
+    if fit_on == "train":
+        missing = replace(missing, modes={**missing.modes, **modes})
+    return Prepared(out, features, classes, missing, caps, encoding, scale, target, inputs,
+                    fit_on == "train")
