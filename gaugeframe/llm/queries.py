@@ -164,9 +164,41 @@ n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
 SELECT vec_id, coalesce(n.n, 0) AS n_links, c AS component_id, vec_id = c AS kept
 FROM v JOIN least_id ON id = vec_id LEFT JOIN n ON a = vec_id"""
 
+_OP12 = """
+WITH RECURSIVE
+tab AS (SELECT list(list_reduce([b] || range(0, 8), lambda c, k:
+          CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS tab
+        FROM range(0, 256) r(b)),
+run AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+seen AS (SELECT doc_id, run, count(*) AS k FROM run GROUP BY doc_id, run),
+coded AS (SELECT run, k, flatten(list_transform(
+            string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+            lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)]
+              ELSE [CAST(192 + (unicode(x) >> 6) AS BIGINT), 128 + (unicode(x) & 63)] END)) AS b FROM seen),
+hashed AS (SELECT run, k, xor(list_reduce([4294967295] || b, lambda c, x:
+             xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM coded, tab),
+made AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run))
+           || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed),
+w AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM made WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+cut AS (SELECT DISTINCT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS g
+        FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM w) t),
+near AS (SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b USING (i, g) WHERE a.word <> b.word
+         UNION SELECT a.word, b.word, b.n FROM cut a JOIN w b ON b.word = a.g
+         UNION SELECT b.word, a.word, a.n FROM cut a JOIN w b ON b.word = a.g),
+best AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, encode(near))) AS form,
+                max(near_n) AS form_n FROM near GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+             CASE WHEN form_n >= 2 * n THEN form END AS form,
+             CASE WHEN form_n >= 2 * n THEN form_n END AS form_n FROM w LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root FROM f
+          UNION ALL SELECT c.word, f.form FROM chain c JOIN f ON f.word = c.root WHERE f.form IS NOT NULL),
+root AS (SELECT c.word, c.root FROM chain c JOIN f ON f.word = c.root WHERE f.form IS NULL)
+SELECT f.word, f.form, root.root, f.n, f.n_near, f.form_n FROM f JOIN root USING (word)"""
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_mix_sources, op3_near_copies, op4_resample, op5_paragraphs, op6_language, op7_toxicity, op8_decontaminate,
     op9_link_vectors, op10_personal_data, op11_sentencepiece, op12_spelling, op13_whitening)}
 
 ORACLES = {"op1_warc": _OP1, "op3_near_copies": _OP3, "op8_decontaminate": _OP8,
-           "op9_link_vectors": _OP9}
+           "op9_link_vectors": _OP9, "op12_spelling": _OP12}
