@@ -292,6 +292,23 @@ SELECT point, round(x, 8) AS x,
        round(sum(c * exp(-5e-1 * pow((x - value) / w, 2))) / (n * w * sqrt(2 * pi())), 8)
            AS density
 FROM g, v GROUP BY point, x, n, w"""
+ORACLES["A15_density_columns"] = f"""
+WITH v AS ({union(f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS x FROM lineitem"
+                  for c in [*PRICES, "l_partkey"])}),
+s AS (SELECT column_name, count(x) AS n, stddev_samp(x) * pow(count(x), -2e-1) AS w,
+             min(x) AS low, max(x) AS high FROM v GROUP BY column_name),
+g AS (SELECT *, low - 3 * w AS lo, (high - low + 6 * w) / 199 AS step, w / 8 AS bin FROM s),
+b AS (SELECT column_name, floor((x - lo) / bin) AS edge, count(*) AS n,
+             sum((x - lo) / bin - floor((x - lo) / bin)) AS upper
+      FROM v JOIN g USING (column_name) GROUP BY ALL),
+e AS (SELECT column_name, edge, n - upper AS weight FROM b
+      UNION ALL SELECT column_name, edge + 1, upper FROM b),
+t AS (SELECT column_name, CAST(p AS INT) AS point, lo + p * step AS x, lo, bin, w, n
+      FROM g, generate_series(0, 199) q(p))
+SELECT column_name, point, round(x, 9) AS x,
+       round(sum(weight * exp(-5e-1 * pow((x - lo - edge * bin) / w, 2)))
+             / any_value(n * w * sqrt(2 * pi())), 9) AS density
+FROM t JOIN e USING (column_name) GROUP BY column_name, point, x"""
 ORACLES["A16_box_stats"] = union(
     f"""SELECT '{c}' AS column_name, round(any_value(q1), 6) AS q1,
 round(any_value(med), 6) AS median, round(any_value(q3), 6) AS q3,
@@ -439,6 +456,30 @@ WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5('42:' || o_orderke
 SELECT o_orderkey, CAST(CASE WHEN rn < (n % 5) * (n // 5 + 1) THEN rn // (n // 5 + 1)
        ELSE n % 5 + (rn - (n % 5) * (n // 5 + 1)) // (n // 5) END AS INT) AS fold FROM r"""
 
+# --- models: a saturated logistic fit gives the class shares of each group
+
+_CODED = """
+WITH o AS (SELECT o_orderkey, o_orderstatus,
+                  CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INT) AS c FROM orders),
+cells AS (SELECT o_orderstatus, c, count(*) AS n FROM o GROUP BY ALL)
+"""
+ORACLES["M5_predict_saturated"] = _CODED + """
+SELECT o_orderstatus, c AS class,
+       round(n * 1e0 / sum(n) OVER (PARTITION BY o_orderstatus), 6) AS share FROM cells"""
+ORACLES["S6_reload_saturated"] = ORACLES["M5_predict_saturated"]
+ORACLES["M1_fit_saturated"] = _CODED + """
+SELECT o_orderstatus, arg_min(c, (-n, c)) AS prediction, CAST(sum(n) AS BIGINT) AS n,
+       max(n) AS hits FROM cells GROUP BY o_orderstatus"""
+ORACLES["M6_cross_validate_saturated"] = _CODED + f"""
+, f AS ({ORACLES["D4_kfold_assign"]}),
+parts AS (SELECT fold, o_orderstatus, c, count(*) AS n FROM o JOIN f USING (o_orderkey) GROUP BY ALL),
+rest AS (SELECT k.fold AS held, p.o_orderstatus, p.c, sum(p.n) AS n
+         FROM parts p JOIN (SELECT DISTINCT fold FROM parts) k ON p.fold <> k.fold GROUP BY ALL),
+guess AS (SELECT held AS fold, o_orderstatus, arg_min(c, (-n, c)) AS c FROM rest GROUP BY ALL)
+SELECT fold, round(sum(CASE WHEN guess.c = parts.c THEN n ELSE 0 END) / sum(n), 6) AS accuracy,
+       round(sum(CASE WHEN guess.c = parts.c THEN n ELSE 0 END) / sum(n), 6) AS recall
+FROM parts JOIN guess USING (fold, o_orderstatus) GROUP BY fold"""
+
 # --- training histories
 
 ORACLES["M3_training_summary"] = f"""
@@ -520,6 +561,11 @@ ORACLES["E7_error_matrix"] = _GRID + """
 , e AS (SELECT t, p, CASE WHEN t = p THEN 0 ELSE n END AS n FROM cm)
 SELECT t, p, round(coalesce(n / nullif(sum(n) OVER (PARTITION BY t), 0), 0), 6) AS share
 FROM e"""
+ORACLES["E1_confusion_cells"] = ORACLES["E1_confusion_matrix"] + " WHERE n > 0"
+ORACLES["E6_confusion_shares"] = _GRID + """
+SELECT t, p, round(n / sum(n) OVER (PARTITION BY t), 6) AS share FROM cm WHERE n > 0"""
+ORACLES["E7_error_shares"] = _GRID + """
+SELECT t, p, round(n / sum(n) OVER (PARTITION BY t), 6) AS share FROM cm WHERE n > 0 AND t <> p"""
 ORACLES["E8_top_error"] = _GRID + """
 , w AS (SELECT * FROM cm WHERE t <> p ORDER BY n DESC, t, p LIMIT 1)
 SELECT CAST(sum(cm.n) AS BIGINT) AS total,
@@ -634,3 +680,16 @@ SELECT model_id, round(accuracy, 6) AS accuracy, round(p, 6) AS precision_weight
        round(mean_accuracy, 6) AS mean_accuracy, round(std_accuracy, 6) AS std_accuracy,
        round(mean_f1, 6) AS mean_f1, round(std_f1, 6) AS std_f1, {_BAND}, {_STRENGTHS},
        {_WEAKNESSES}, {_RECOMMENDATIONS}, {_GRADE} FROM j"""
+ORACLES["S4_results_tree"] = _MODELS + f"""
+, cells AS (SELECT model_id, count(*) AS n_cells, CAST(sum(n) AS BIGINT) AS n_rows FROM (
+              SELECT model_id, label, prediction, count(*) AS n FROM {src('models')} GROUP BY ALL) c
+            GROUP BY model_id),
+epochs AS (SELECT run_id AS model_id, count(*) AS n FROM {src('history')} GROUP BY run_id)
+SELECT model_id, a.missing_before, a.missing_after, 'event_type' AS target,
+       epochs.n AS total_epochs, CAST(epochs.n AS INT) AS n_rounds, round(accuracy, 6) AS accuracy,
+       CAST(n_cells AS INT) AS n_cells, n_rows, CAST(n_folds AS INT) AS n_folds,
+       round(j.mean_accuracy, 6) AS mean_accuracy,
+       CAST(len(string_split(recommendations, ' | ')) AS INT) AS n_recommendations
+FROM j JOIN cells USING (model_id) JOIN cv USING (model_id) JOIN epochs USING (model_id)
+JOIN (SELECT model_id, {_RECOMMENDATIONS} FROM j) r USING (model_id),
+({ORACLES["A19_missing_totals"]}) a"""

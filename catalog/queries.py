@@ -88,6 +88,34 @@ def _(spark, sf):
     return rounded(back.select("model_id", "accuracy", "correct", "incorrect", per))
 
 
+@query("S4_results_tree")
+def _(spark, sf):
+    """Tests, cells, folds and history of each model, written as one tree and read again."""
+    path = gf.scratch_path(spark, "results")
+    preds = spark_input(spark, sf, "models")
+    tests = _model_metrics(spark, sf)
+    cells = gf.outcome_counts(preds, by=["model_id"])
+    folds = _folds(_model_counts(spark, sf))
+    gaps = spark_input(spark, sf, "orders_nulls")
+    missing = gf.missing_totals(gaps, gf.clean_missing(gaps))
+    history = spark_input(spark, sf, "history").where("run_id <= 100")
+    tree = gf.results_tree(tests, cells, folds, history, missing=missing,
+                           settings={"folds": 5, "target": "event_type"}, max_epochs=30)
+    gf.write_metrics(tree, path)
+    back = spark.read.schema(tree.schema).json(path)
+    return rounded(back.select(
+        "model_id", "preparation.missing_before", "preparation.missing_after",
+        F.col("preparation.settings")["target"].alias("target"),
+        F.col("training.summary.total_epochs").alias("total_epochs"),
+        F.size("training.rounds").alias("n_rounds"),
+        F.col("test.metrics.accuracy").alias("accuracy"),
+        F.size("test.cells").alias("n_cells"),
+        F.aggregate("test.cells", F.lit(0).cast("bigint"), lambda a, c: a + c["n"]).alias("n_rows"),
+        F.size("cross_validation.folds").alias("n_folds"),
+        F.col("cross_validation.summary.mean_accuracy").alias("mean_accuracy"),
+        F.size("verdict.recommendations").alias("n_recommendations")))
+
+
 @query("S5_write_profile")
 def _(spark, sf):
     path = gf.scratch_path(spark, "profile")
@@ -290,6 +318,11 @@ def _(spark, sf):
     return rounded(gf.density(table(spark, sf, "events"), "value"), 8)
 
 
+@query("A15_density_columns")
+def _(spark, sf):
+    return rounded(gf.density_columns(lineitem(spark, sf), [*PRICES, "l_partkey"]), 9)
+
+
 @query("A16_box_stats")
 def _(spark, sf):
     return rounded(gf.box_stats(table(spark, sf, "events"), ["value", "user_id"]))
@@ -495,6 +528,54 @@ def _(spark, sf):
     return history
 
 
+# A logistic fit with one indicator per group and no penalty reproduces the class shares of each
+# group, which SQL can state.
+SATURATED = {"kind": "logreg", "reg": 0.0, "tol": 1e-12, "max_iter": 300}
+
+
+def _grouped_orders(spark, sf) -> tuple[DataFrame, list[str]]:
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    coded = gf.encode_target(orders, "o_orderpriority")
+    marks = [(F.col("o_orderstatus") == v).cast("double").alias(f"is_{v}") for v in "OP"]
+    return coded.select("o_orderkey", "o_orderstatus", "label", *marks), ["is_O", "is_P"]
+
+
+def _group_shares(scored: DataFrame) -> DataFrame:
+    """The probabilities that every group of rows got, a row per group and class."""
+    one = scored.groupBy("o_orderstatus").agg(F.max("probability").alias("p"))
+    return rounded(one.select("o_orderstatus", F.posexplode("p").alias("class", "share")), 6)
+
+
+@query("M1_fit_saturated")
+def _(spark, sf):
+    df, features = _grouped_orders(spark, sf)
+    fitted = gf.fit_classifier(df, features, **SATURATED)
+    hits = gf.predict(fitted, df).groupBy("o_orderstatus", "prediction").agg(
+        F.count("*").alias("n"), F.count_if(F.col("prediction") == F.col("label")).alias("hits"))
+    return hits
+
+
+@query("M5_predict_saturated")
+def _(spark, sf):
+    df, features = _grouped_orders(spark, sf)
+    return _group_shares(gf.predict(gf.fit_classifier(df, features, **SATURATED), df))
+
+
+@query("S6_reload_saturated")
+def _(spark, sf):
+    df, features = _grouped_orders(spark, sf)
+    path = gf.scratch_path(spark, "classifier")
+    gf.save_model(gf.fit_classifier(df, features, **SATURATED), path)
+    return _group_shares(gf.predict(gf.load_model(path), df))
+
+
+@query("M6_cross_validate_saturated")
+def _(spark, sf):
+    df, features = _grouped_orders(spark, sf)
+    folds = gf.cross_validate(gf.kfold_assign(df, key="o_orderkey"), features, **SATURATED)
+    return rounded(folds.select("fold", "accuracy", "recall"))
+
+
 @query("M3_training_summary")
 def _(spark, sf):
     return rounded(gf.training_summary(spark_input(spark, sf, "history"), max_epochs=30))
@@ -573,6 +654,21 @@ def _(spark, sf):
     return rounded(gf.error_matrix(spark_input(spark, sf, "predictions")))
 
 
+@query("E1_confusion_cells")
+def _(spark, sf):
+    return gf.confusion_matrix(spark_input(spark, sf, "predictions"), sparse=True)
+
+
+@query("E6_confusion_shares")
+def _(spark, sf):
+    return rounded(gf.confusion_normalized(spark_input(spark, sf, "predictions"), sparse=True))
+
+
+@query("E7_error_shares")
+def _(spark, sf):
+    return rounded(gf.error_matrix(spark_input(spark, sf, "predictions"), sparse=True))
+
+
 @query("E8_top_error")
 def _(spark, sf):
     return rounded(gf.top_error(spark_input(spark, sf, "predictions")))

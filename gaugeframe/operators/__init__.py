@@ -12,6 +12,7 @@ from gaugeframe.operators.distribution import (
     correlation_lower_triangle,
     correlation_matrix,
     density,
+    density_columns,
     histogram,
     top_correlations,
 )

@@ -29,6 +29,7 @@ SNAP = 1e-12
 UNSURE = 1e-8
 DIRECT_PAIRS = 45
 REACH = 39.0
+FINE = 8  # bins in a bandwidth
 BIN_SCHEMA = "column_name string, bin int, bin_start double, bin_end double"
 
 
@@ -232,6 +233,66 @@ def density(df: DataFrame, col: str, points: int = 200, cut: float = 3.0) -> Dat
         "point", "x", F.coalesce("density", F.lit(0.0)).alias("density"))
 
 
+def density_columns(
+    df: DataFrame, cols: Sequence[str] | None = None, points: int = 200, cut: float = 3.0,
+    fine: int = FINE,
+) -> DataFrame:
+    """``(column_name, point, x, density)``: the density of every column, by linear binning.
+
+    Bandwidth and grid are those of ``density``. Each value shares its weight between the two bin
+    edges around it, ``fine`` of which make a bandwidth; the bins are counted in one scan of all
+    columns, and the kernel is then summed over bins instead of values. Bins out of reach of every
+    grid point are left out, so that their number depends on ``points`` and ``fine`` alone. The
+    result differs from ``density`` by about 1 / (8 fine^2) of the curve's height. Infinite values
+    are not counted; columns without spread have no rows.
+    """
+    cols = list(cols) if cols is not None else column_roles(df).numeric
+    finite = "FILTER (WHERE abs(value) < double('Infinity'))"
+    stats = column_stats(df, cols, {
+        "n": f"count(value) {finite}", "sd": f"stddev_samp(value) {finite}",
+        "lo": f"min(value) {finite}", "hi": f"max(value) {finite}"})
+    known = {r["column_name"]: r for r in stats.collect() if r["n"] and r["sd"]}
+    known = {c: known[c] for c in cols if c in known}
+    fields = "column_no int, column_name string, point int, x double, scale double, width double"
+    grid, cells, params = [], [], []
+    for i, (c, r) in enumerate(known.items()):
+        width = r["sd"] * r["n"] ** -0.2
+        lo, hi = r["lo"] - cut * width, r["hi"] + cut * width
+        step, scale = (hi - lo) / (points - 1), 1.0 / (r["n"] * width * math.sqrt(2 * math.pi))
+        grid += [(i, c, k, lo + k * step, scale, width) for k in range(points)]
+        cells.append([str(i), ident(c), number(lo), number(width / fine), number(step)])
+        params.append((i, lo, width / fine, step, width))
+    grid = small_table(df.sparkSession, grid, fields)
+    if not known:
+        return grid.select("column_name", "point", "x", F.lit(0.0).alias("density"))
+    values = unpivoted(doubles(df, list(known)), cells, ["column_no", "value", "lo", "bin", "step"])
+    # Far from every grid point a kernel is 0 in double precision.
+    off = "abs((value - lo) - step * round((value - lo) / step))"
+    values = values.where(f"abs(value) < double('Infinity') AND {off} <= {REACH * fine + 1} * bin")
+    counts = values.selectExpr("column_no", "(value - lo) / bin AS at").groupBy(
+        "column_no", F.floor("at").alias("edge")).agg(
+            F.count("*").alias("n"), F.sum(F.col("at") - F.floor("at")).alias("upper"))
+    edges = counts.select("column_no", F.inline(F.array(
+        F.struct(F.col("edge"), (F.col("n") - F.col("upper")).alias("weight")),
+        F.struct((F.col("edge") + 1).alias("edge"), F.col("upper").alias("weight")))))
+    places = small_table(df.sparkSession, params,
+                         "column_no int, lo double, bin double, step double, width double")
+    # One row per column.
+    at = edges.join(F.broadcast(places), "column_no").withColumn(
+        "center", F.col("lo") + F.col("edge") * F.col("bin"))
+    near = f"(center - lo {{}} {REACH} * width) / step"
+    reached = at.selectExpr(
+        "column_no", "weight", "center", "width", "lo", "step",
+        f"explode(sequence(greatest(0, CAST(ceil({near.format('-')}) AS INT)), "
+        f"least({points - 1}, CAST(floor({near.format('+')}) AS INT)))) AS point")
+    z = (F.col("lo") + F.col("point") * F.col("step") - F.col("center")) / F.col("width")
+    sums = reached.groupBy("column_no", "point").agg(
+        F.sum(F.col("weight") * F.exp(-0.5 * z * z)).alias("total"))
+    return grid.join(sums, ["column_no", "point"], "left").select(
+        "column_name", "point", "x",
+        (F.coalesce("total", F.lit(0.0)) * F.col("scale")).alias("density"))
+
+
 def box_stats(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Quartiles, whiskers (furthest value inside the fences) and outlier count."""
     cols = list(cols) if cols is not None else column_roles(df).numeric

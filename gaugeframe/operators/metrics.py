@@ -83,10 +83,16 @@ def prediction_rows(
 
 
 def confusion_matrix(
-    df: DataFrame, label: str = "label", prediction: str = "prediction"
+    df: DataFrame, label: str = "label", prediction: str = "prediction", sparse: bool = False
 ) -> DataFrame:
-    """(t, p, n) over the sorted union of true and predicted labels, zeros included."""
+    """(t, p, n) over the sorted union of true and predicted labels, zeros included.
+
+    ``sparse`` lists only the cells that occur, never more than there are rows, which is the
+    form for many classes.
+    """
     cells = outcome_counts(df, label, prediction)
+    if sparse:
+        return cells
     # The zero cells come from the label list itself: one array, expanded on both sides. The
     # filter keeps the counts in this branch, so that both branches share one exchange.
     labels = cells.where(F.col("n") > 0).select(F.explode(F.array("t", "p")).alias("c")).agg(
@@ -155,25 +161,29 @@ def classification_report(
 def _row_shares(cells: DataFrame, kept: Column) -> DataFrame:
     """Each kept cell over the sum of its true row's kept cells, 0 where that sum is 0."""
     value = F.when(kept, F.col("n")).otherwise(0)
-    rows = cells.groupBy("t").agg(F.collect_list(
-        F.struct(F.col("p"), value.alias("v"))).alias("cells"),
-        F.sum(value).alias("total"))
-    return rows.select("t", "total", F.inline("cells")).select(
-        "t", "p", safe_div(F.col("v"), F.col("total")).alias("share"))
+    # The rows' totals are joined, so no row's cells are gathered in one place.
+    totals = cells.groupBy(F.col("t").alias("row")).agg(F.sum(value).alias("total"))
+    return cells.join(totals, F.col("t").eqNullSafe(F.col("row"))).select(
+        "t", "p", safe_div(value, F.col("total")).alias("share"))
 
 
 def confusion_normalized(
-    df: DataFrame, label: str = "label", prediction: str = "prediction"
+    df: DataFrame, label: str = "label", prediction: str = "prediction", sparse: bool = False
 ) -> DataFrame:
-    """Confusion counts as shares of their true class."""
-    return _row_shares(confusion_matrix(df, label, prediction), F.lit(True))
+    """Confusion counts as shares of their true class; ``sparse`` as in ``confusion_matrix``."""
+    return _row_shares(confusion_matrix(df, label, prediction, sparse), F.lit(True))
 
 
 def error_matrix(
-    df: DataFrame, label: str = "label", prediction: str = "prediction"
+    df: DataFrame, label: str = "label", prediction: str = "prediction", sparse: bool = False
 ) -> DataFrame:
-    """Mistakes as shares of all mistakes of their true class, 0 on the diagonal."""
-    return _row_shares(confusion_matrix(df, label, prediction), F.col("t") != F.col("p"))
+    """Mistakes as shares of all mistakes of their true class, 0 on the diagonal.
+
+    ``sparse`` lists only the mistakes that occur.
+    """
+    wrong = F.col("t") != F.col("p")
+    cells = confusion_matrix(df, label, prediction, sparse)
+    return _row_shares(cells.where(wrong) if sparse else cells, wrong)
 
 
 def top_error(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

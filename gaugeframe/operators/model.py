@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     LogisticRegression,
+    MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +31,8 @@ HIDDEN = (64, 32, 16)
 PATIENCE = 15
 MIN_STEP = 1e-6
 FLOOR = 1e-7
+HISTORY = ("run_id string, epoch int, loss double, val_loss double, accuracy double,"
+           " val_accuracy double, lr double")
 
 
 def cast_model_types(df: DataFrame, features: Sequence[str], label: str | None = None) -> DataFrame:
@@ -66,14 +73,16 @@ def _width(vectors: DataFrame) -> int:
     return vectors.select(FEATURES).first()[FEATURES].size
 
 
-def _estimator(kind: str, layers: Sequence[int], max_iter: int, reg: float, seed: int):
+def _estimator(
+    kind: str, layers: Sequence[int], max_iter: int, reg: float, seed: int, tol: float = 1e-6
+):
     if kind == "mlp":
         return MultilayerPerceptronClassifier(
             layers=list(layers), maxIter=max_iter, seed=seed, blockSize=128,
             featuresCol=FEATURES, labelCol=LABEL)
     if kind == "logreg":
         return LogisticRegression(
-            maxIter=max_iter, regParam=reg, featuresCol=FEATURES, labelCol=LABEL)
+            maxIter=max_iter, regParam=reg, tol=tol, featuresCol=FEATURES, labelCol=LABEL)
     if kind == "rf":
         return RandomForestClassifier(seed=seed, featuresCol=FEATURES, labelCol=LABEL)
     raise ValueError(f"unknown classifier {kind!r}: use mlp, logreg or rf")
@@ -92,13 +101,15 @@ def fit_classifier(
     max_iter: int = 100,
     reg: float = 0.001,
     seed: int = 42,
+    tol: float = 1e-6,
 ) -> PipelineModel:
-    """Fit a classifier on numeric features and labels 0..C-1."""
+    """Fit a classifier on numeric features and labels 0..C-1; ``reg`` and ``tol`` are those of
+    ``logreg``."""
     rows, assembler = _vectors(df, features, label)
     rows = _persisted(rows)
     try:
         layers = [len(features), *hidden, _n_classes(rows)]
-        model = _estimator(kind, layers, max_iter, reg, seed).fit(rows)
+        model = _estimator(kind, layers, max_iter, reg, seed, tol).fit(rows)
     finally:
         rows.unpersist()
     return PipelineModel(stages=[assembler, model])
@@ -127,6 +138,55 @@ def _loss_and_accuracy(model, rows: DataFrame) -> dict[str, tuple[float, float]]
     return {r["split"]: (r["loss"], r["accuracy"]) for r in found}
 
 
+@dataclass
+class _Progress:
+    """Where a training in rounds stands; written after every round if it has a folder."""
+
+    weights: list[float] | None
+    step: float
+    history: list[tuple]
+    best_epoch: int = 0
+    best_score: float | None = None
+    low: float = math.inf
+    since_low: int = 0
+    since_step: int = 0
+
+    def stopped(self, patience: int) -> bool:
+        return self.since_low >= patience
+
+
+STATE = ("settings string, epoch int, step double, best_epoch int, best_score double, low double,"
+         " since_low int, since_step int, weights array<double>,"
+         f" history array<struct<{HISTORY.replace(' ', ':').replace(',:', ',')}>>")
+
+
+def _store(spark, state: str, settings: str, p: _Progress) -> None:
+    """One row per round. Its file appears at once, so a run that is stopped while it writes goes
+    on from the round before."""
+    row = (settings, len(p.history), p.step, p.best_epoch, p.best_score, p.low, p.since_low,
+           p.since_step, [float(w) for w in p.weights], p.history)
+    spark.createDataFrame([row], STATE).coalesce(1).write.mode("overwrite").parquet(
+        f"{state}/rounds/round={len(p.history)}")
+
+
+def _resume(spark, state: str, settings: str) -> _Progress | None:
+    """The last complete round in a folder; None if there is none."""
+    try:
+        rounds = spark.read.schema(STATE).parquet(f"{state}/rounds")
+        row = rounds.orderBy(F.desc("epoch")).head()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    if row is None:
+        return None
+    if row["settings"] != settings:
+        raise ValueError(f"{state} holds a training with other settings: {row['settings']}")
+    return _Progress(list(row["weights"]), row["step"], [tuple(h) for h in row["history"]],
+                     row["best_epoch"], row["best_score"], row["low"], row["since_low"],
+                     row["since_step"])
+
+
 def fit_early_stopping(
     train: DataFrame,
     val: DataFrame,
@@ -140,65 +200,79 @@ def fit_early_stopping(
     solver: str = "l-bfgs",
     step: float = 0.03,
     seed: int = 42,
+    state: str | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
     """Short warm-started rounds until validation loss stops improving.
 
     Returns the best model by ``select_by`` (``val_accuracy`` or ``val_loss``) and the
     history, one row per round. With ``solver="gd"`` the step is halved after half the
     patience without improvement.
+
+    ``state`` names a folder that all executors reach: every round stores its weights, rate,
+    history and the best model there, and a later call with the same settings goes on after the
+    last complete round (more ``rounds`` or ``patience`` are allowed). Rounds are warm-started from
+    weights alone, so a resumed run equals one that was never stopped.
     """
     if select_by not in ("val_accuracy", "val_loss"):
         raise ValueError("select_by must be 'val_accuracy' or 'val_loss'")
     rows_t, assembler = _vectors(train.drop("split", "fold"), features, label)
     rows_v, _ = _vectors(val.drop("split", "fold"), features, label)
     model, history = _train_rounds(
-        rows_t, rows_v, rounds, iterations, patience, select_by, hidden, solver, step, seed)
-    table = small_table(
-        train.sparkSession, history,
-        "run_id string, epoch int, loss double, val_loss double, accuracy double,"
-        " val_accuracy double, lr double")
+        rows_t, rows_v, rounds, iterations, patience, select_by, hidden, solver, step, seed, state)
+    table = small_table(train.sparkSession, history, HISTORY)
     return PipelineModel(stages=[assembler, model]), table
 
 
 def _train_rounds(
     train: DataFrame, val: DataFrame, rounds: int, iterations: int, patience: int,
     select_by: str, hidden: Sequence[int], solver: str, step: float, seed: int,
+    state: str | None = None,
 ):
     """The best model and the history rows, from (features, label) vectors."""
+    spark = train.sparkSession
     both = train.select(FEATURES, LABEL, F.lit("train").alias("split")).unionByName(
         val.select(FEATURES, LABEL, F.lit("val").alias("split")))
     rows = _persisted(both)
     fit_rows = rows.where(F.col("split") == "train")
-    history, best, best_score, weights = [], None, None, None
-    low, since_low, since_step = float("inf"), 0, 0
     try:
         layers = [_width(rows), *hidden, _n_classes(rows)]
-        for epoch in range(1, rounds + 1):
+        settings = str((layers, iterations, select_by, solver, step, seed))
+        p = _resume(spark, state, settings) if state else None
+        best = None
+        if p is None:
+            p = _Progress(None, step, [])
+        elif p.best_epoch:
+            best = MultilayerPerceptronClassificationModel.load(f"{state}/best-{p.best_epoch}")
+        for epoch in range(len(p.history) + 1, rounds + 1):
+            if p.stopped(patience):
+                break
             learner = MultilayerPerceptronClassifier(
-                layers=layers, maxIter=iterations, seed=seed, solver=solver, stepSize=step,
+                layers=layers, maxIter=iterations, seed=seed, solver=solver, stepSize=p.step,
                 blockSize=128, featuresCol=FEATURES, labelCol=LABEL)
-            if weights is not None:
-                learner = learner.setInitialWeights(weights)
+            if p.weights is not None:
+                learner = learner.setInitialWeights(Vectors.dense(p.weights))
             model = learner.fit(fit_rows)
-            weights = model.weights
+            p.weights = model.weights.toArray()
             found = _loss_and_accuracy(model, rows)
             (loss, acc), (val_loss, val_acc) = found["train"], found["val"]
-            rate = step if solver == "gd" else None
-            history.append(("fit", epoch, loss, val_loss, acc, val_acc, rate))
+            rate = p.step if solver == "gd" else None
+            p.history.append(("fit", epoch, loss, val_loss, acc, val_acc, rate))
             score = val_acc if select_by == "val_accuracy" else -val_loss
-            if best_score is None or score > best_score:
-                best, best_score = model, score
-            if val_loss < low:
-                low, since_low, since_step = val_loss, 0, 0
+            if p.best_score is None or score > p.best_score:
+                best, p.best_score, p.best_epoch = model, score, epoch
+                if state:
+                    best.write().overwrite().save(f"{state}/best-{epoch}")
+            if val_loss < p.low:
+                p.low, p.since_low, p.since_step = val_loss, 0, 0
             else:
-                since_low, since_step = since_low + 1, since_step + 1
-            if since_low >= patience:
-                break
-            if solver == "gd" and since_step >= max(patience // 2, 1):
-                step, since_step = max(step / 2, MIN_STEP), 0
+                p.since_low, p.since_step = p.since_low + 1, p.since_step + 1
+            if solver == "gd" and not p.stopped(patience) and p.since_step >= max(patience // 2, 1):
+                p.step, p.since_step = max(p.step / 2, MIN_STEP), 0
+            if state:
+                _store(spark, state, settings, p)
     finally:
         rows.unpersist()
-    return best, history
+    return best, p.history
 
 
 def cross_validate(
@@ -213,6 +287,7 @@ def cross_validate(
     patience: int = 10,
     parallelism: int = 1,
     seed: int = 42,
+    tol: float = 1e-6,
 ) -> DataFrame:
     """Per ``fold`` of the input: fit on the other folds, score on it.
 
@@ -231,7 +306,7 @@ def cross_validate(
                 model, _ = _train_rounds(rest, held, rounds, 10, patience, "val_loss",
                                          hidden, "l-bfgs", 0.03, seed)
             else:
-                model = _estimator(kind, layers, max_iter, reg, seed).fit(rest)
+                model = _estimator(kind, layers, max_iter, reg, seed, tol).fit(rest)
             scored = model.transform(held).select(LABEL, F.col(PREDICTION))
             m = metrics.classification_metrics(scored, LABEL, PREDICTION).first()
             return (kind, fold, m["accuracy"], m["precision_weighted"], m["recall_weighted"],

@@ -133,13 +133,20 @@ def conclusion_grade(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("conclusion", grade.otherwise(POOR_CONCLUSION))
 
 
-def scorecard(metrics: DataFrame, cv: DataFrame, by: str = "model_id") -> DataFrame:
-    """One row per model: headline and fold metrics with every verdict."""
+def scorecard(
+    metrics: DataFrame, cv: DataFrame, by: str = "model_id", missing: DataFrame | None = None
+) -> DataFrame:
+    """One row per model: headline and fold metrics with every verdict.
+
+    ``missing`` is the row of ``missing_totals``; its two numbers are added if it is given.
+    """
     joined = metrics.join(
         cv.select(by, "mean_accuracy", "std_accuracy", "mean_f1", "std_f1"), by, "left")
     graded = conclusion_grade(recommendations(weaknesses(strengths(stability_band(joined)))))
+    totals = missing.first().asDict() if missing is not None else {}
     return graded.select(
         by, "accuracy", "precision_weighted", "recall_weighted", "f1_weighted", "roc_auc",
         "mean_accuracy", "std_accuracy", "mean_f1", "std_f1", "stability", "strengths",
         "weaknesses", "recommendations", "conclusion",
+        *[F.lit(n).cast("bigint").alias(c) for c, n in totals.items()],
     )

@@ -20,10 +20,15 @@ def explore(df: DataFrame, target: str | None = None, exact: bool = True) -> dic
         out["numeric_summary"] = profile.numeric_summary(df, roles.numeric, exact)
         out["outliers"] = profile.iqr_bounds(df, roles.numeric, exact=exact)
         out["scaling_advice"] = profile.scaling_advice(df, roles.numeric)
+        out["shape_moments"] = profile.shape_moments(df, roles.numeric, "drop")
+        out["histograms"] = distribution.histogram(df, roles.numeric)
+        out["densities"] = distribution.density_columns(df, roles.numeric)
+        out["box_stats"] = distribution.box_stats(df, roles.numeric, exact)
     if len(roles.numeric) > 1:
         corr = distribution.correlation_matrix(df, roles.numeric)
         out["correlation_matrix"] = corr.select("a", "b", "corr")
         out["top_correlations"] = distribution.top_correlations(corr)
+        out["correlation_lower_triangle"] = distribution.correlation_lower_triangle(corr)
     if roles.categorical:
         out["categorical_summary"] = profile.categorical_summary(df, roles.categorical)
         out["encoding_advice"] = profile.encoding_advice(df, roles.categorical)

@@ -186,3 +186,94 @@ def test_another_version_is_refused(spark, tmp_path):
     spark.read.parquet(f"{path}/shares").write.parquet(f"{path}2/shares")
     with pytest.raises(ValueError, match="version"):
         gf.load_preparation(spark, f"{path}2")
+
+
+# --- densities, cells
+
+
+def test_binned_density_is_close_to_the_exact_one(spark):
+    df = spark.range(4_000).select((F.sqrt("id") % 7).alias("x"), F.lit(3.0).alias("flat"),
+                                   F.when(F.col("id") > 10, F.lit(None)).otherwise(F.col("id")).cast("double").alias("few"))
+    got = gf.density_columns(df).collect()
+    assert {r["column_name"] for r in got} == {"x", "few"}
+    for c in ("x", "few"):
+        exact = [r["density"] for r in gf.density(df, c).orderBy("point").collect()]
+        found = [r["density"] for r in sorted(got, key=lambda r: r["point"]) if r["column_name"] == c]
+        assert max(abs(a - b) for a, b in zip(exact, found)) < 0.004 * max(exact)
+
+
+def test_density_far_from_most_values(spark):
+    df = spark.range(2_000).select(F.when(F.col("id") == 0, 1e9).otherwise(F.col("id") % 5).alias("x"))
+    found = [r["density"] for r in gf.density_columns(df).orderBy("point").collect()]
+    exact = [r["density"] for r in gf.density(df, "x").orderBy("point").collect()]
+    assert max(abs(a - b) for a, b in zip(exact, found)) < 0.004 * max(exact)
+
+
+def test_sparse_cells_of_many_classes(spark):
+    df = spark.range(3_000).select(F.col("id").alias("label"), (F.col("id") + F.col("id") % 2).alias("prediction"))
+    assert gf.confusion_matrix(df, sparse=True).count() == 3_000
+    wrong = gf.error_matrix(df, sparse=True).collect()
+    assert len(wrong) == 1_500 and {r["share"] for r in wrong} == {1.0}
+    assert {r["share"] for r in gf.confusion_normalized(df, sparse=True).collect()} == {1.0}
+
+
+# --- training that stops early and goes on
+
+
+def _points(spark):
+    return spark.range(400).select(
+        (F.col("id") % 2).cast("int").alias("label"), F.sin("id").alias("a"),
+        (F.cos("id") + F.col("id") % 2).alias("b"),
+        F.when(F.col("id") % 4 == 3, "val").otherwise("train").alias("split"))
+
+
+def test_a_stopped_training_goes_on_where_it_was(spark, tmp_path):
+    df = _points(spark)
+    train, val = df.where("split = 'train'"), df.where("split = 'val'")
+    options = {"features": ["a", "b"], "hidden": (4,), "iterations": 3, "patience": 2, "seed": 5}
+    _, whole = gf.fit_early_stopping(train, val, rounds=4, **options)
+    state = str(tmp_path / "state")
+    _, first = gf.fit_early_stopping(train, val, rounds=2, state=state, **options)
+    model, resumed = gf.fit_early_stopping(train, val, rounds=4, state=state, **options)
+    assert first.count() == 2
+    assert [tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in whole.collect()] == \
+        [tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in resumed.collect()]
+    again, same = gf.fit_early_stopping(train, val, rounds=4, state=state, **options)
+    assert same.count() == resumed.count()
+    pick = lambda m: [r["probability"] for r in gf.predict(m, val).collect()]
+    assert pick(again) == pick(model)
+    with pytest.raises(ValueError, match="other settings"):
+        gf.fit_early_stopping(train, val, rounds=4, state=state, **{**options, "seed": 6})
+
+
+def test_training_of_a_prepared_table_returns_its_history(spark):
+    ready = gf.prepare(_table(spark), "kind", key="id", exclude=["id"])
+    out = gf.train_with_stopping(ready, hidden=(3,), rounds=2, iterations=2, model_id="m")
+    assert out.scored.count() == ready.df.where("split = 'test'").count()
+    assert out.history.columns[0] == "run_id" and {r["run_id"] for r in out.history.collect()} == {"m"}
+    assert gf.training_summary(out.history).head()["total_epochs"] == out.history.count()
+
+
+def test_results_tree_of_models_without_history(spark):
+    preds = spark.range(40).select(
+        F.when(F.col("id") < 20, "a").otherwise("b").alias("model_id"),
+        (F.col("id") % 3).cast("int").alias("label"), (F.col("id") % 2).cast("int").alias("prediction"))
+    tests = gf.classification_metrics(preds, by=["model_id"])
+    cells = gf.outcome_counts(preds, by=["model_id"])
+    folds = spark.createDataFrame(
+        [("a", k, 0.9, 0.9, 0.9, 0.9) for k in (1, 0)], "model_id string, fold int, accuracy double,"
+        " precision double, recall double, f1 double")
+    history = spark.createDataFrame(
+        [("a", 2, 0.2, 0.2, 0.2, 0.2), ("a", 1, 0.3, 0.3, 0.1, 0.1)], "run_id string, epoch int,"
+        " loss double, val_loss double, accuracy double, val_accuracy double")
+    missing = spark.createDataFrame([(7, 0)], "missing_before long, missing_after long")
+    tree = gf.results_tree(tests, cells, folds, history, missing=missing, settings={"k": 2})
+    out = {r["model_id"]: r for r in tree.collect()}
+    assert set(out) == {"a", "b"} and out["b"]["preparation"]["missing_before"] == 7
+    assert out["b"]["preparation"]["settings"] == {"k": "2"}
+    assert sum(c["n"] for c in out["a"]["test"]["cells"]) == 20
+    assert [r["epoch"] for r in out["a"]["training"]["rounds"]] == [1, 2]
+    assert [r["fold"] for r in out["a"]["cross_validation"]["folds"]] == [0, 1]
+    assert out["b"]["training"]["rounds"] is None and out["b"]["cross_validation"]["folds"] is None
+    card = gf.scorecard(tests, gf.cv_summary(folds), missing=missing).head()
+    assert (card["missing_before"], card["missing_after"]) == (7, 0)
