@@ -19,63 +19,87 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from gaugeframe.llm.rows import sized
 from gaugeframe.llm.text import mix, space_words, utf8
 from gaugeframe.sources.scratch import materialize
 
-LONG, REACH, GROUP = 51, 12, 5
-BATCH = 100_000  # units of a task that are passed on at once
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+LONG, REACH, GROUP = 51, 16, 5
+CHUNK = 1 << 18  # words that are hashed at once; a longer text is a chunk of its own
+# An odd base, so that it has an inverse among the 64-bit integers.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def _folded(codes: np.ndarray, size: int) -> np.ndarray:
-    """A hash of every ``size`` neighbours."""
-    n = max(0, len(codes) - size + 1)
-    out = np.full(n, size, np.uint64)
-    for k in range(size):
-        out = mix(out * _MIX + codes[k : k + n])
-    return out
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out)
 
 
-def units(words: list[bytes], long: int = LONG, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]:
-    """The first words and the keys of the units of a text."""
-    size = long - reach + 1
-    codes = np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
-    if len(codes) < size:
-        return np.empty(0, np.int32), np.empty(0, np.int64)
-    groups = _folded(codes, GROUP)
-    # The last of the smallest in each stretch of groups; equal groups then give few anchors.
-    near = np.lib.stride_tricks.sliding_window_view(groups, min(reach, len(groups)))
-    anchors = np.unique(np.arange(len(near)) + near.shape[1] - 1
-                        - near[:, ::-1].argmin(1)).astype(np.int32)
-    anchors = anchors[anchors + size <= len(codes)]
-    keys = np.full(len(anchors), size, np.uint64)
-    for k in range(size):
-        keys = mix(keys * _MIX + codes[anchors + k])
-    return anchors, keys.view(np.int64)
+def _slid(x: np.ndarray, size: int, pick) -> np.ndarray:
+    """``pick`` (minimum or maximum) over every ``size`` neighbours, in doubling steps."""
+    width, out = 1, x
+    while 2 * width <= size:
+        out, width = pick(out[:-width], out[width:]), 2 * width
+    rest = size - width
+    return pick(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def _units(long: int, reach: int):
-    def run(batches):
-        held, size = [], 0
+def units(
+    words: list[bytes], text: np.ndarray, long: int = LONG, reach: int = REACH
+) -> tuple[np.ndarray, np.ndarray]:
+    """The first words and the keys of the units of some texts.
+
+    ``text`` numbers the text of each word, ascending; words of a text are together.
+    """
+    size, span = long - reach + 1, reach + GROUP - 1
+    n = len(words)
+    if n < max(size, span):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    codes = np.fromiter(map(xxh64_intdigest, words), np.uint64, n)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(codes * _powers(_BASE, n))])
+    back = _powers(_INVERSE, n)
+
+    def folded(width: int) -> np.ndarray:
+        """A hash of every ``width`` neighbours, from differences of prefix sums."""
+        return mix((sums[width:] - sums[:-width]) * back[: n - width + 1] + np.uint64(width))
+
+    groups = folded(GROUP)
+    # The smallest group of every stretch that lies in one text; elsewhere nothing is chosen.
+    least = _slid(groups, reach, np.minimum)
+    least[text[: len(least)] != text[span - 1 :]] = 0
+    edge = np.zeros(reach - 1, np.uint64)
+    # A group is an anchor if it is the smallest of any stretch that holds it.
+    chosen = _slid(np.concatenate([edge, least, edge]), reach, np.maximum) == groups
+    chosen[n - size + 1 :] = False
+    anchors = np.flatnonzero(chosen)
+    anchors = anchors[text[anchors] == text[anchors + size - 1]]
+    return anchors, folded(size)[anchors].view(np.int64)
+
 
-        def flushed():
-            rows, starts, keys = (np.concatenate(x) for x in zip(*held))
-            held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int64()), pa.array(starts), pa.array(keys)],
-                names=["row", "start", "key"])
+def _units(long: int, reach: int):
+    def part(rows: list[int], texts: list[list[bytes]]) -> pa.RecordBatch:
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        text = np.repeat(np.arange(len(texts)), sizes)
+        at, keys = units([w for words in texts for w in words], text, long, reach)
+        own = text[at]
+        first = np.cumsum(sizes) - sizes
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.array(rows, np.int64)[own]), pa.array((at - first[own]).astype(np.int32)),
+             pa.array(keys)], names=["row", "start", "key"])
 
+    def run(batches):
         for batch in batches:
+            rows, texts, held = [], [], 0
             for row, data in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-                at, keys = units(space_words(data), long, reach)
-                if len(at):
-                    held.append((np.full(len(at), row, np.int64), at, keys))
-                    size += len(at)
-                if size > BATCH:
-                    yield flushed()
-                    size = 0
-        if held:
-            yield flushed()
+                rows.append(row)
+                texts.append(space_words(data))
+                held += len(texts[-1])
+                if held > CHUNK:
+                    yield part(rows, texts)
+                    rows, texts, held = [], [], 0
+            if rows:
+                yield part(rows, texts)
 
     return run
 
@@ -95,7 +119,8 @@ def repeated_passages(texts: DataFrame, long: int = LONG, reach: int = REACH) ->
     several = materialize(found.groupBy("key").agg(
         F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("key"),
         "shared-units")
-    places = found.join(several, "key", "left_semi").groupBy("row").agg(
+    # Sent to every executor only up to a counted size; beyond it both sides are shuffled.
+    places = found.join(sized(several), "key", "left_semi").groupBy("row").agg(
         F.array_sort(F.collect_list("start")).alias("starts"))
     # Units that touch are joined: a new passage begins where the unit before has ended.
     empty = F.array().cast("array<struct<start:int,end:int>>")

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from gaugeframe.llm.passages import repeated_passages, units
+from gaugeframe.llm.passages import LONG, REACH, repeated_passages, units
 from gaugeframe.llm.paragraphs import repeated_paragraphs
 
 
@@ -42,7 +42,7 @@ def test_every_run_of_51_words_is_found_and_no_short_one(spark, seed):
     df = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(3)
     got = {r["row"]: [(p["start"], p["end"]) for p in r["passages"]]
            for r in repeated_passages(df).collect()}
-    long, short = runs(texts, 51), runs(texts, 40)
+    long, short = runs(texts, LONG), runs(texts, LONG - REACH + 1)
     assert sum(bool(x) for x in long) > 40
     for k in range(len(texts)):
         covered = {i for a, b in got.get(k, []) for i in range(a, b)}
@@ -50,7 +50,7 @@ def test_every_run_of_51_words_is_found_and_no_short_one(spark, seed):
         assert covered <= short[k]
         # Runs lose fewer words than the reach at each end.
         for i in long[k]:
-            assert any(a - 12 < i < b + 12 for a, b in got[k])
+            assert any(a - REACH < i < b + REACH for a, b in got[k])
         assert got.get(k, []) == sorted(got.get(k, []))
 
 
@@ -64,7 +64,7 @@ def test_passage_inside_different_lines(spark):
                                  "doc_id long, text string, passages string")
     got = {r["doc_id"]: r for r in repeated_paragraphs(docs).collect()}
     assert [got[i]["n_long"] for i in range(5)] == [1, 1, 1, 0, 0]
-    assert got[0]["passages"][0]["start"] in range(40, 52)
+    assert got[0]["passages"][0]["start"] in range(40, 40 + REACH)
     assert all(got[i]["n_removed"] == 0 for i in range(5))
 
 
@@ -82,8 +82,26 @@ def test_the_line_that_stays_counts_as_repeated(spark):
 
 def test_one_very_long_text_and_an_empty_table(spark):
     text = " ".join(f"w{k % 701}" for k in range(200_000))
-    at, keys = units(text.encode().split())
-    assert len(at) == len(keys) and (np.diff(at) <= 12).all()
+    words = text.encode().split()
+    at, keys = units(words, np.zeros(len(words), int))
+    assert len(at) == len(keys) and (np.diff(at) <= REACH).all()
     docs = spark.createDataFrame([(1, text), (2, "w1 w2")], "row long, text string")
     assert repeated_passages(docs).count() == 0  # repeats inside of one row are none
     assert repeated_passages(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_units_of_many_texts_equal_those_of_each(seed):
+    texts = [(t or "").lower().encode().split() for t in planted(seed)]
+    number = np.repeat(np.arange(len(texts)), [len(w) for w in texts])
+    at, keys = units([w for t in texts for w in t], number)
+    first = np.cumsum([0] + [len(w) for w in texts])
+    for k, words in enumerate(texts):
+        own_at, own_keys = units(words, np.zeros(len(words), int))
+        mine = number[at] == k
+        assert (at[mine] - first[k]).tolist() == own_at.tolist()
+        assert keys[mine].tolist() == own_keys.tolist()
+        # Every stretch of 16 groups of five words has an anchor, unless its unit leaves the text.
+        last = len(words) - (LONG - REACH + 1)
+        for i in range(max(0, len(words) - REACH - 3)):
+            assert any(i <= a < i + REACH for a in own_at) or i + REACH - 1 > last
