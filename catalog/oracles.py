@@ -463,9 +463,7 @@ WITH o AS (SELECT o_orderkey, o_orderstatus,
                   CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INT) AS c FROM orders),
 cells AS (SELECT o_orderstatus, c, count(*) AS n FROM o GROUP BY ALL)
 """
-ORACLES["M5_predict_saturated"] = _CODED + """
-SELECT o_orderstatus, c AS class,
-       round(n * 1e0 / sum(n) OVER (PARTITION BY o_orderstatus), 6) AS share FROM cells"""
+ORACLES["M5_predict_saturated"] = _CODED + "SELECT o_orderstatus, c AS class, n FROM cells"
 ORACLES["S6_reload_saturated"] = ORACLES["M5_predict_saturated"]
 ORACLES["M1_fit_saturated"] = _CODED + """
 SELECT o_orderstatus, arg_min(c, (-n, c)) AS prediction, CAST(sum(n) AS BIGINT) AS n,

@@ -541,9 +541,10 @@ def _grouped_orders(spark, sf) -> tuple[DataFrame, list[str]]:
 
 
 def _group_shares(scored: DataFrame) -> DataFrame:
-    """The probabilities that every group of rows got, a row per group and class."""
-    one = scored.groupBy("o_orderstatus").agg(F.max("probability").alias("p"))
-    return rounded(one.select("o_orderstatus", F.posexplode("p").alias("class", "share")), 6)
+    """A row per group and class: its probability times the size of the group, in whole rows."""
+    one = scored.groupBy("o_orderstatus").agg(F.max("probability").alias("p"), F.count("*").alias("n"))
+    cells = one.select("o_orderstatus", "n", F.posexplode("p").alias("class", "share"))
+    return cells.select("o_orderstatus", "class", F.round(F.col("share") * F.col("n")).cast("long").alias("n"))
 
 
 @query("M1_fit_saturated")
