@@ -258,6 +258,8 @@ ORACLES["A11_correlation_matrix"] = f"SELECT a, b, round(corr, 6) AS corr FROM (
 ORACLES["A11_correlation_pairwise"] = "SELECT a, b, round(corr, 6) AS corr FROM (" + correlations(
     src("orders_nulls"),
     ["o_orderkey", "o_custkey", "o_totalprice", "half_price", "no_price"]) + ") c"
+ORACLES["A11_correlation_wide"] = "SELECT a, b, round(corr, 6) AS corr FROM (" + correlations(
+    src("lineitem_wide"), [f"x{i}" for i in range(1, 23) if i not in (16, 17)]) + ") c"
 ORACLES["A12_top_correlations"] = f"""
 SELECT a, b, round(corr, 6) AS corr FROM ({_CORR}) c WHERE corr <> 1
 ORDER BY abs(corr) DESC, a, b LIMIT 20"""
@@ -391,6 +393,9 @@ FROM {src('lineitem_const')}"""
 ORACLES["T11_encode_target"] = """
 SELECT c_custkey, c_mktsegment, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS INT)
        AS label FROM customer"""
+ORACLES["T11_encode_dictionary"] = """
+SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS BIGINT) AS label,
+       c_name AS name FROM customer"""
 _CAPPED = f"""
 SELECT o_orderkey, o_orderstatus, o_orderpriority,
        greatest(c1 - 15e-1 * (c3 - c1), least(c3 + 15e-1 * (c3 - c1), o_custkey)) AS o_custkey,

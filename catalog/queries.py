@@ -297,6 +297,16 @@ def _(spark, sf):
     return rounded(gf.correlation_matrix(gaps, cols).select("a", "b", "corr"))
 
 
+WIDE = [f"x{i}" for i in range(1, 23) if i not in (16, 17)]
+
+
+@query("A11_correlation_wide")
+def _(spark, sf):
+    """Twenty columns, with gaps, constant and empty ones: sums of all products."""
+    wide = spark_input(spark, sf, "lineitem_wide")
+    return rounded(gf.correlation_matrix(wide, WIDE).select("a", "b", "corr"))
+
+
 @query("A12_top_correlations")
 def _(spark, sf):
     return rounded(gf.top_correlations(_correlations(spark, sf)))
@@ -436,6 +446,15 @@ def _(spark, sf):
     return gf.encode_target(df, "c_mktsegment")
 
 
+@query("T11_encode_dictionary")
+def _(spark, sf):
+    """Every customer's name is a class of its own."""
+    df = table(spark, sf, "customer").select("c_custkey", "c_name")
+    known = gf.class_dictionary(df, "c_name", rows_per_range=100)
+    coded = gf.encode_target(df, "c_name", dictionary=known)
+    return gf.decode_label(coded, known, "label", "name").drop("c_name")
+
+
 @query("T12_prepare")
 def _(spark, sf):
     gaps = spark_input(spark, sf, "orders_nulls")

@@ -17,6 +17,7 @@ from gaugeframe.operators.distribution import (
     top_correlations,
 )
 from gaugeframe.operators.encode import (
+    class_dictionary,
     decode_label,
     encode_binary,
     encode_categoricals,

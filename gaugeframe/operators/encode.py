@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +22,7 @@ MAX_CLASSES = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1e-4
 LOCAL_LEVELS = 100_000
+RANGE_ROWS = 1_000_000  # classes that one task numbers
 
 
 @dataclass(frozen=True)
@@ -240,7 +243,8 @@ def fit_target(df: DataFrame, target: str) -> list[str] | None:
     names = df.where(ref(target).isNotNull()).select(
         ref(target).cast("string").alias("c")).distinct().take(MAX_CLASSES + 1)
     if len(names) > MAX_CLASSES:
-        raise ValueError(f"target {target!r} has more than {MAX_CLASSES} classes")
+        raise ValueError(
+            f"target {target!r} has more than {MAX_CLASSES} classes: use class_dictionary")
     return sorted((r["c"] for r in names), key=lambda v: v.encode())
 
 
@@ -257,17 +261,82 @@ def apply_target(
     ).select(*[ref(c) for c in df.columns], ref(label))
 
 
-def encode_target(df: DataFrame, target: str, label: str = "label") -> DataFrame:
-    """Text target to its index among the sorted class names."""
-    return apply_target(df, target, fit_target(df, target), label)
+def class_dictionary(df: DataFrame, target: str, rows_per_range: int = RANGE_ROWS) -> DataFrame:
+    """``(class, label, n)`` of a text target, stored: its classes numbered from 0 in code-point
+    order, and their rows. Null is no class.
+
+    Classes are sorted by ranges; each range numbers its own and adds the sizes of those before, so
+    no list of all classes is made anywhere.
+    """
+    found = materialize(
+        df.where(ref(target).isNotNull()).groupBy(ref(target).cast("string").alias("class"))
+        .agg(F.count("*").alias("n")), "classes")
+    ranges = max(1, math.ceil(found.count() / rows_per_range))
+    found = materialize(
+        found.repartitionByRange(ranges, "class").withColumn("range", F.spark_partition_id()),
+        "class-ranges")
+    sizes = found.groupBy("range").agg(F.count("*").alias("size"))
+    # One row per range.
+    before = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    place = F.row_number().over(W.partitionBy("range").orderBy("class")) - 1
+    numbered = found.withColumn("place", place).join(offsets, "range")
+    return materialize(
+        numbered.select("class", (F.col("place") + F.col("offset")).alias("label"), "n"),
+        "class-dictionary")
+
+
+def _looked_up(df: DataFrame, key: Column, table: DataFrame, name: str) -> DataFrame:
+    """``df`` with the ``value`` of ``table (entry, value, n)`` whose entry equals ``key``.
+
+    Entries with a share of rows above ``HOT_SHARE`` are at most 1 / HOT_SHARE and are broadcast. Of
+    the others only the rows that need one meet them in a shuffle; the rest are spread by a salt.
+    """
+    total = table.agg(F.sum("n")).first()[0] or 0
+    hot = table.where(F.col("n") > HOT_SHARE * total).select(
+        F.col("entry").alias("__gf_hot"), F.col("value").alias("__gf_hot_value"))
+    rest = table.where(F.col("n") <= HOT_SHARE * total).select(
+        F.col("entry").alias("__gf_entry"), F.col("value").alias("__gf_value"),
+        F.lit(True).alias("__gf_cold"))
+    served = df.withColumn("__gf_key", key)
+    served = served.join(F.broadcast(hot), F.col("__gf_key") == F.col("__gf_hot"), "left")
+    served = served.withColumn(
+        "__gf_need", F.col("__gf_hot").isNull() & F.col("__gf_key").isNotNull()).withColumn(
+            "__gf_salt", F.monotonically_increasing_id().cast("string"))
+    on = (F.col("__gf_need") == F.col("__gf_cold")) & (
+        F.when(F.col("__gf_need"), F.col("__gf_key")).otherwise(F.col("__gf_salt"))
+        == F.col("__gf_entry"))
+    value = F.coalesce("__gf_hot_value", "__gf_value").alias(name)
+    return served.join(rest, on, "left").select(*[ref(c) for c in df.columns if c != name], value)
+
+
+def encode_target(
+    df: DataFrame, target: str, label: str = "label", dictionary: DataFrame | None = None
+) -> DataFrame:
+    """Text target to its index among the sorted class names.
+
+    The classes are those of ``df``, or those of a ``dictionary`` made by ``class_dictionary``, which
+    may have any number of them and is joined by equality; a class that it lacks has no index.
+    """
+    if dictionary is None:
+        return apply_target(df, target, fit_target(df, target), label)
+    table = dictionary.select(F.col("class").alias("entry"), F.col("label").alias("value"), "n")
+    return _looked_up(df, ref(target).cast("string"), table, label)
 
 
 def decode_label(
-    df: DataFrame, classes: Sequence[str], index: str = "prediction", out: str = "class"
+    df: DataFrame, classes: Sequence[str] | DataFrame, index: str = "prediction", out: str = "class"
 ) -> DataFrame:
-    """Class index back to class name; an unknown index becomes null."""
+    """Class index back to class name; an unknown index becomes null.
+
+    ``classes`` is a list, or a table made by ``class_dictionary``.
+    """
+    if isinstance(classes, DataFrame):
+        table = classes.select(F.col("label").cast("string").alias("entry"),
+                               F.col("class").alias("value"), "n")
+        return _looked_up(df, ref(index).cast("long").cast("string"), table, out)
     if len(classes) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
+        raise ValueError(f"more than {MAX_CLASSES} classes: use class_dictionary")
     mapping = small_table(
         df.sparkSession, list(enumerate(classes)), f"__gf_index int, `{out}` string")
     return df.join(

@@ -277,3 +277,30 @@ def test_results_tree_of_models_without_history(spark):
     assert out["b"]["training"]["rounds"] is None and out["b"]["cross_validation"]["folds"] is None
     card = gf.scorecard(tests, gf.cv_summary(folds), missing=missing).head()
     assert (card["missing_before"], card["missing_after"]) == (7, 0)
+
+
+# --- many classes
+
+
+def test_classes_beyond_any_list(spark):
+    df = spark.range(260_000).select(
+        "id", F.when(F.col("id") >= 210_000, F.lit("hot")).when(F.col("id") >= 200_000, None).otherwise(
+            F.concat(F.lit("k"), (F.col("id") % 150_000).cast("string"))).alias("kind"))
+    known = gf.class_dictionary(df, "kind", rows_per_range=20_000)
+    names = sorted([f"k{i}" for i in range(150_000)] + ["hot"])
+    coded = gf.encode_target(df, "kind", dictionary=known)
+    assert coded.columns == ["id", "kind", "label"] and coded.count() == 260_000
+    found = coded.where("id % 1009 = 0").collect()
+    assert all(r["label"] is None if r["kind"] is None else names[r["label"]] == r["kind"] for r in found)
+    back = gf.decode_label(coded, known, "label", "name")
+    assert back.where("NOT (name <=> kind)").count() == 0
+    with pytest.raises(ValueError, match="class_dictionary"):
+        gf.encode_target(df, "kind")
+    odd = gf.encode_target(spark.createDataFrame([("other",), (None,)], "kind string"), "kind", dictionary=known)
+    assert [r["label"] for r in odd.collect()] == [None, None]
+
+
+def test_dictionary_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "kind string")
+    known = gf.class_dictionary(df, "kind")
+    assert known.count() == 0 and gf.encode_target(df, "kind", dictionary=known).count() == 0
