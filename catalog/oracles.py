@@ -374,6 +374,9 @@ _BRAND_SHARE = ("round(count(*) OVER (PARTITION BY p_brand) * 1e0 / count(*) OVE
 ORACLES["T7_encode_onehot"] = f"SELECT p_partkey, {_INDICATORS} FROM {src('part_cat')}"
 ORACLES["T8_encode_frequency"] = f"SELECT p_partkey, {_BRAND_SHARE} FROM {src('part_cat')}"
 ORACLES["T8_encode_frequency_shuffled"] = ORACLES["T8_encode_frequency"]
+ORACLES["T8_encode_frequency_cold"] = """
+SELECT l_linenumber, round(count(*) OVER (PARTITION BY l_orderkey) * 1e0 / count(*) OVER (), 9) AS k
+FROM lineitem"""
 ORACLES["T9_encode_categoricals"] = f"""
 SELECT p_partkey, p_size, round(p_retailprice, 6) AS p_retailprice, {_BRAND_SHARE},
        CASE size_class WHEN 'big' THEN 0 ELSE 1 END AS size_class, {_INDICATORS}
@@ -444,6 +447,7 @@ SELECT k AS o_orderkey, {scaled_on_train('o_custkey')}, {scaled_on_train('o_tota
 # --- splits
 
 ORACLES["D1_stratified_split"] = ORACLES["S3_write_splits"]
+ORACLES["D1_stratified_split_narrowed"] = ORACLES["D1_stratified_split"]
 ORACLES["D1_stratified_split_imbalanced"] = split_sql(
     "labels", "doc_id", "quality", ", toxic") + (
     "SELECT k AS doc_id, c AS quality, toxic, split FROM done")
@@ -461,6 +465,8 @@ WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5('42:' || o_orderke
 SELECT o_orderkey, CAST(CASE WHEN rn < (n % 5) * (n // 5 + 1) THEN rn // (n // 5 + 1)
        ELSE n % 5 + (rn - (n % 5) * (n // 5 + 1)) // (n // 5) END AS INT) AS fold FROM r"""
 
+ORACLES["D4_kfold_assign_narrowed"] = ORACLES["D4_kfold_assign"]
+
 # --- models: a saturated logistic fit gives the class shares of each group
 
 _CODED = """

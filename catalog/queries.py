@@ -427,6 +427,13 @@ def _(spark, sf):
     return rounded(gf.encode_frequency(df, ["p_brand"], broadcast_bytes=0))
 
 
+@query("T8_encode_frequency_cold")
+def _(spark, sf):
+    """Values that are too many to broadcast and each too rare to be hot."""
+    df = lineitem(spark, sf).select("l_linenumber", F.col("l_orderkey").cast("string").alias("k"))
+    return rounded(gf.encode_frequency(df, ["k"], broadcast_bytes=0), 9)
+
+
 @query("T9_encode_categoricals")
 def _(spark, sf):
     return rounded(_as_int(gf.encode_categoricals(spark_input(spark, sf, "part_cat"))))
@@ -487,6 +494,13 @@ def _(spark, sf):
     return _split_orders(spark, sf)
 
 
+@query("D1_stratified_split_narrowed")
+def _(spark, sf):
+    """Cutoffs searched in key prefixes, as for more rows than can be ranked at once."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    return gf.stratified_split(orders, "o_orderpriority", key="o_orderkey", rankable_rows=100)
+
+
 @query("D1_stratified_split_imbalanced")
 def _(spark, sf):
     return gf.stratified_split(table(spark, sf, "labels"), "quality", key="doc_id")
@@ -508,6 +522,12 @@ def _(spark, sf):
     return gf.kfold_assign(orders, key="o_orderkey")
 
 
+@query("D4_kfold_assign_narrowed")
+def _(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    return gf.kfold_assign(orders, key="o_orderkey", rankable_rows=100)
+
+
 # --- models
 
 
