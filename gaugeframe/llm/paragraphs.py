@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from gaugeframe.llm.near_copies import bands_for, near_copies
 from gaugeframe.llm.passages import LONG as LONG_WORDS
-from gaugeframe.llm.passages import repeated_passages
+from gaugeframe.llm.passages import repeated_passages, without_passages
 from gaugeframe.llm.rows import sized
 from gaugeframe.sources.scratch import materialize
 
@@ -128,10 +128,11 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
         F.coalesce("passages", none("struct<start:int,end:int>")).alias("passages"))
 
 
-def drop_repeated_paragraphs(docs: DataFrame) -> DataFrame:
+def drop_repeated_paragraphs(docs: DataFrame, passages: bool = False) -> DataFrame:
     """``docs`` with all columns, its texts without the lines that ``repeated_paragraphs`` removes.
 
-    A text that loses every line becomes empty; a null text stays null.
+    With ``passages`` the long passages that are left in several texts then go as well, but for
+    the first text that holds each. A text that loses every line becomes empty; a null text stays null.
     """
     rows = _numbered(docs)
     gone = materialize(_repeated(_lines(rows.select("doc_id", "text", ROW))).where(
@@ -139,6 +140,9 @@ def drop_repeated_paragraphs(docs: DataFrame) -> DataFrame:
     kept = F.array_join(F.filter(
         F.split("text", "\n"), lambda x, place: ~F.array_contains("__gf_places", place)), "\n")
     text = F.when(F.col("__gf_places").isNull(), F.col("text")).otherwise(kept)
-    gone = gone.select(F.col("row").alias(ROW), F.col("places").alias("__gf_places"))
-    return rows.join(gone, ROW, "left").select(
-        *[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    gone = gone.select(F.col("row").alias("__gf_at"), F.col("places").alias("__gf_places"))
+    out = rows.join(gone, rows[ROW] == F.col("__gf_at"), "left").select(
+        *[text.alias(c) if c == "text" else F.col(c) for c in rows.columns])
+    if passages:
+        out = without_passages(materialize(out, "lines-dropped"), ROW)
+    return out.select(*docs.columns)

@@ -13,6 +13,8 @@ rows are then joined with their places, where Spark can split a very frequent ke
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -104,7 +106,22 @@ def _units(long: int, reach: int):
     return run
 
 
-def repeated_passages(texts: DataFrame, long: int = LONG, reach: int = REACH) -> DataFrame:
+def _joined(starts: str, size: int):
+    """``(start, end)`` of units that overlap or touch, joined; ``starts`` is sorted."""
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+    last = lambda acc: F.element_at(acc, -1)
+    return F.aggregate(
+        starts, empty,
+        lambda acc, at: F.when(
+            (F.size(acc) > 0) & (at <= last(acc)["end"]),
+            F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(
+                F.struct(last(acc)["start"].alias("start"), (at + size).alias("end"))))
+        ).otherwise(F.concat(acc, F.array(F.struct(at.alias("start"), (at + size).alias("end"))))))
+
+
+def repeated_passages(
+    texts: DataFrame, long: int = LONG, reach: int = REACH, later_only: bool = False
+) -> DataFrame:
     """``(row, passages)`` of ``texts (row, text)`` that share a passage with another row.
 
     ``passages`` lists ``(start, end)`` in words (runs without ASCII white space, A-Z lower-cased),
@@ -112,24 +129,57 @@ def repeated_passages(texts: DataFrame, long: int = LONG, reach: int = REACH) ->
     another row holds is covered by a passage, but for up to ``reach`` - 1 words at each end; a
     passage has at least ``long - reach + 1`` words. ``row`` is a long without nulls. Null and
     short texts have no passages.
+
+    ``later_only`` lists only what a smaller row holds too: cut from the texts, each passage stays
+    once, in the smallest row.
     """
-    size = long - reach + 1
     found = materialize(texts.select("row", "text").mapInArrow(
         _units(long, reach), "row long, start int, key long"), "units")
-    several = materialize(found.groupBy("key").agg(
-        F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("key"),
-        "shared-units")
-    # Sent to every executor only up to a counted size; beyond it both sides are shuffled.
-    places = found.join(sized(several), "key", "left_semi").groupBy("row").agg(
-        F.array_sort(F.collect_list("start")).alias("starts"))
-    # Units that touch are joined: a new passage begins where the unit before has ended.
-    empty = F.array().cast("array<struct<start:int,end:int>>")
-    last = lambda acc: F.element_at(acc, -1)
-    joined = F.aggregate(
-        "starts", empty,
-        lambda acc, at: F.when(
-            (F.size(acc) > 0) & (at <= last(acc)["end"]),
-            F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(
-                F.struct(last(acc)["start"].alias("start"), (at + size).alias("end"))))
-        ).otherwise(F.concat(acc, F.array(F.struct(at.alias("start"), (at + size).alias("end"))))))
-    return places.select("row", joined.alias("passages"))
+    several = found.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high"))
+    several = several.where("low < high")
+    if later_only:
+        several = materialize(several.select("key", "low"), "shared-units")
+        places = found.join(several, "key").where("low < row")
+    else:
+        # Sent to every executor only up to a counted size; beyond it both sides are shuffled.
+        places = found.join(sized(materialize(several.select("key"), "shared-units")), "key",
+                            "left_semi")
+    places = places.groupBy("row").agg(F.array_sort(F.collect_list("start")).alias("starts"))
+    return places.select("row", _joined("starts", long - reach + 1).alias("passages"))
+
+
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def cut_words(data: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """A text without the words of ``spans``, and without the white space inside of them."""
+    words = [m.span() for m in _WORD.finditer(data)]
+    out, at = [], 0
+    for start, end in spans:
+        out.append(data[at : words[start][0]])
+        at = words[end - 1][1]
+    return b"".join([*out, data[at:]])
+
+
+def without_passages(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """``rows`` with all columns, their texts without the passages that a row of a smaller ``key`` (a
+    long, without nulls or repeats) holds too."""
+    found = repeated_passages(
+        rows.select(F.col(key).alias("row"), F.col(text).alias("text")), later_only=True)
+    found = materialize(found.select(
+        F.col("row").alias("__gf_at"), F.col("passages").alias("__gf_spans")), "passages")
+    joined = rows.join(found, rows[key] == F.col("__gf_at"), "left").drop("__gf_at")
+    names = rows.columns
+    at = names.index(text)
+
+    def run(batches):
+        for batch in batches:
+            data = utf8(batch.column(at))
+            for k, spans in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                if spans:
+                    data[k] = cut_words(data[k], [(p["start"], p["end"]) for p in spans])
+            columns = batch.columns[:-1]
+            columns[at] = pa.array(data, pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return joined.mapInArrow(run, rows.schema)

@@ -5,8 +5,8 @@ import random
 import numpy as np
 import pytest
 
-from gaugeframe.llm.passages import LONG, REACH, repeated_passages, units
-from gaugeframe.llm.paragraphs import repeated_paragraphs
+from gaugeframe.llm.passages import LONG, REACH, cut_words, repeated_passages, units
+from gaugeframe.llm.paragraphs import drop_repeated_paragraphs, repeated_paragraphs
 
 
 def runs(texts, size):
@@ -105,3 +105,30 @@ def test_units_of_many_texts_equal_those_of_each(seed):
         last = len(words) - (LONG - REACH + 1)
         for i in range(max(0, len(words) - REACH - 3)):
             assert any(i <= a < i + REACH for a in own_at) or i + REACH - 1 > last
+
+
+def test_passages_stay_in_one_text(spark):
+    rng = random.Random(6)
+    prose = lambda n: " ".join(f"q{rng.randrange(900)}" for _ in range(n))
+    passage = prose(70)
+    head = "é " + prose(40)
+    texts = [prose(40) + " " + passage + "\n" + prose(10), prose(50) + " " + passage + "  " + prose(9),
+             head + " " + passage, None, prose(90)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)],
+                                 "doc_id long, text string, passages string")
+    out = drop_repeated_paragraphs(docs, passages=True)
+    assert out.columns == docs.columns
+    got = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert got[0] == texts[0] and got[3] is None and got[4] == texts[4]
+    for i, own in ((1, texts[1].split(passage)), (2, [head + " ", ""])):
+        left = got[i].split()
+        # What stays is the text around the passage and fewer than 16 words of it at each end.
+        around = own[0].split() + own[1].split()
+        assert len(around) <= len(left) < len(around) + 2 * REACH
+        assert got[i].startswith(own[0]) and got[i].endswith(own[1])
+    assert drop_repeated_paragraphs(docs.limit(0), passages=True).count() == 0
+
+
+def test_words_are_cut_with_the_space_between_them():
+    assert cut_words("a  b\tc d\ne".encode(), [(1, 3)]) == b"a   d\ne"
+    assert cut_words("à b".encode(), [(0, 2)]) == b"" and cut_words(b" x ", []) == b" x "
