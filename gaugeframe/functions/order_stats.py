@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,8 +24,7 @@ from gaugeframe.functions.columns import doubles, ident, ref, small_table, unpiv
 
 COUNTABLE = 10_000
 FIRST_BITS, BITS = 16, 12
-_SIGN, _MANTISSA, _BIAS = 63, 52, 1023
-_IMAGES = (-(1 << _SIGN), (1 << _SIGN) - 1)
+_MANTISSA, _BIAS = 52, 1023
 # Magnitudes outside of 2^-500 to 2^500 are brought there by this power of two first.
 _FAR, _SCALE = 500, 600
 
@@ -52,14 +52,20 @@ def image(value: Column) -> Column:
     return F.when(value < 0, -bits).otherwise(bits)
 
 
-def _counted(values: DataFrame, slots: DataFrame) -> DataFrame:
+def _counted(values: DataFrame, slots: DataFrame | None = None) -> DataFrame:
     """``(slot, digit, n, low, high, upto)``: counts by digit, and counts up to each digit.
 
     ``values`` holds ``(column_no, value, image)``, ``slots`` a few rows of
-    ``(slot, column_no, first, last, shift)``.
+    ``(slot, column_no, first, last, shift)``; without them a column is a slot, in the first bits.
     """
-    inside = values.join(F.broadcast(slots), "column_no").where("image BETWEEN first AND last")
-    counts = inside.groupBy("slot", F.expr("shiftright(image, shift)").alias("digit")).agg(
+    if slots is None:
+        digits = values.selectExpr(
+            "column_no AS slot", f"shiftright(image, {64 - FIRST_BITS}) AS digit", "value")
+    else:
+        digits = values.join(F.broadcast(slots), "column_no").where(
+            "image BETWEEN first AND last").selectExpr(
+                "slot", "shiftright(image, shift) AS digit", "value")
+    counts = digits.groupBy("slot", "digit").agg(
         F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
     order = Window.partitionBy("slot").orderBy("digit")
     return counts.withColumn("upto", F.sum("n").over(order))
@@ -76,7 +82,33 @@ def _between(low: float, high: float, part: float) -> float:
     return low if not part or low == high else low + (high - low) * part
 
 
-_SLOTS = "slot int, column_no int, first long, last long, shift int"
+@dataclass
+class _Slot:
+    """The images of one column from ``first`` on, counted in steps of 2^``shift``."""
+
+    column: int
+    first: int
+    last: int
+    shift: int
+    asked: dict[int, int] = field(default_factory=dict)  # rank inside it: rank in the column
+
+
+def _narrowed(slots: list[_Slot], found: list, known: dict, countable: int) -> list[_Slot]:
+    """The slots of the next pass; ranks whose value is certain go to ``known``."""
+    nexts: dict[tuple[int, int], _Slot] = {}
+    for r in found:
+        slot, before = slots[r["slot"]], r["upto"] - r["n"]
+        for inner, rank in slot.asked.items():
+            if not before <= inner < r["upto"]:
+                continue
+            if r["low"] == r["high"]:
+                known[slot.column, rank] = r["low"]
+                continue
+            first, size = r["digit"] << slot.shift, 1 << slot.shift
+            shift = 0 if r["n"] <= countable else max(0, slot.shift - BITS)
+            narrow = _Slot(slot.column, first, first + size - 1, shift)
+            nexts.setdefault((slot.column, first), narrow).asked[inner - before] = rank
+    return list(nexts.values())
 
 
 def exact_quantiles(
@@ -91,57 +123,29 @@ def exact_quantiles(
     values = unpivoted(doubles(df, cols), [[str(i), ident(c)] for i, c in enumerate(cols)],
                        ["column_no", "value"]).where("value IS NOT NULL")
     values = values.withColumn("image", image(F.col("value")))
-    at = 64 - FIRST_BITS
-    slots = [(i, i, *_IMAGES, at) for i in range(len(cols))]
-    counts = _counted(values, small_table(spark, slots, _SLOTS))
     # The first pass also tells the number of values, from which the ranks follow.
-    rows = counts.withColumn("total", F.sum("n").over(Window.partitionBy("slot")))
+    rows = _counted(values).withColumn("total", F.sum("n").over(Window.partitionBy("slot")))
     place = [F.floor(p * (F.col("total") - 1)).cast("long") for p in map(float, probs)]
     rows = rows.select("*", F.explode(F.array(*place)).alias("at"))
     rows = rows.select("*", F.explode(F.array(
         "at", F.least(F.col("at") + 1, F.col("total") - 1))).alias("rank")).drop("at")
     found = rows.where("upto - n <= rank AND rank < upto").distinct().collect()
 
-    totals: dict[int, int] = {}
+    totals = {r["slot"]: r["total"] for r in found}
     known: dict[tuple[int, int], float] = {}  # of column and rank
-    # Open slots by their range of images: column, rank inside it, rank in the column.
-    open_slots: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
-    home = {i: (i, 0) for i in range(len(cols))}  # of a slot: column, and values before it
-    shift = dict.fromkeys(home, at)
-    asked: dict[int, list[tuple[int, int]]] = {}
+    slots = [_Slot(i, 0, 0, 64 - FIRST_BITS) for i in range(len(cols))]
     for r in found:
-        totals[r["slot"]] = r["total"]
-        asked.setdefault(r["slot"], []).append((r["rank"], r["rank"]))
-    while True:
-        open_slots.clear()
-        sizes = {}
-        for r in found:
-            column, before = home[r["slot"]]
-            for inner, rank in asked[r["slot"]]:
-                if not r["upto"] - r["n"] <= inner < r["upto"]:
-                    continue
-                if r["low"] == r["high"]:
-                    known[column, rank] = r["low"]
-                    continue
-                bits = shift[r["slot"]]
-                key = (column, r["digit"] << bits, bits)
-                sizes[key] = r["n"]
-                ranks = open_slots.setdefault(key, [])
-                if (inner - (r["upto"] - r["n"]), rank) not in ranks:
-                    ranks.append((inner - (r["upto"] - r["n"]), rank))
-        if not open_slots:
-            break
-        slots, home, shift, asked, wanted = [], {}, {}, {}, []
-        for i, ((column, first, bits), ranks) in enumerate(open_slots.items()):
-            few = sizes[column, first, bits] <= countable
-            shift[i] = 0 if few else max(0, bits - BITS)
-            slots.append((i, column, first, first + (1 << bits) - 1, shift[i]))
-            home[i], asked[i] = (column, 0), ranks
-            wanted += [(i, inner) for inner, _ in ranks]
-        counts = _counted(values, small_table(spark, slots, _SLOTS))
-        wanted = small_table(spark, sorted(set(wanted)), "slot int, inner long")
-        found = counts.join(F.broadcast(wanted), "slot").where(
+        slots[r["slot"]].asked[r["rank"]] = r["rank"]
+    slots = _narrowed(slots, found, known, countable)
+    while slots:
+        table = small_table(spark, [(k, s.column, s.first, s.last, s.shift) for k, s in enumerate(slots)],
+                            "slot int, column_no int, first long, last long, shift int")
+        wanted = small_table(spark, [(k, inner) for k, s in enumerate(slots) for inner in s.asked],
+                             "slot int, inner long")
+        # A row per slot and rank on both sides.
+        found = _counted(values, table).join(F.broadcast(wanted), "slot").where(
             "upto - n <= inner AND inner < upto").drop("inner").distinct().collect()
+        slots = _narrowed(slots, found, known, countable)
 
     out = {}
     for i, c in enumerate(cols):
