@@ -477,17 +477,18 @@ cells AS (SELECT o_orderstatus, c, count(*) AS n FROM o GROUP BY ALL)
 ORACLES["M5_predict_saturated"] = _CODED + "SELECT o_orderstatus, c AS class, n FROM cells"
 ORACLES["S6_reload_saturated"] = ORACLES["M5_predict_saturated"]
 ORACLES["M1_fit_saturated"] = _CODED + """
-SELECT o_orderstatus, arg_min(c, (-n, c)) AS prediction, CAST(sum(n) AS BIGINT) AS n,
-       max(n) AS hits FROM cells GROUP BY o_orderstatus"""
-ORACLES["M6_cross_validate_saturated"] = _CODED + f"""
-, f AS ({ORACLES["D4_kfold_assign"]}),
-parts AS (SELECT fold, o_orderstatus, c, count(*) AS n FROM o JOIN f USING (o_orderkey) GROUP BY ALL),
-rest AS (SELECT k.fold AS held, p.o_orderstatus, p.c, sum(p.n) AS n
+SELECT o_orderstatus, CAST(sum(n) AS BIGINT) AS n, max(n) AS hits FROM cells GROUP BY o_orderstatus"""
+ORACLES["M6_cross_validate_saturated"] = f"""
+WITH o AS (SELECT o_orderkey, o_orderstatus AS g, CASE WHEN o_orderpriority = '5-LOW' THEN 'X'
+                  ELSE o_orderstatus END AS c FROM orders),
+f AS ({ORACLES["D4_kfold_assign"]}),
+parts AS (SELECT fold, g, c, count(*) AS n FROM o JOIN f USING (o_orderkey) GROUP BY ALL),
+rest AS (SELECT k.fold AS held, p.g, p.c, sum(p.n) AS n
          FROM parts p JOIN (SELECT DISTINCT fold FROM parts) k ON p.fold <> k.fold GROUP BY ALL),
-guess AS (SELECT held AS fold, o_orderstatus, arg_min(c, (-n, c)) AS c FROM rest GROUP BY ALL)
+guess AS (SELECT held AS fold, g, arg_max(c, n) AS c FROM rest GROUP BY ALL)
 SELECT fold, round(sum(CASE WHEN guess.c = parts.c THEN n ELSE 0 END) / sum(n), 6) AS accuracy,
        round(sum(CASE WHEN guess.c = parts.c THEN n ELSE 0 END) / sum(n), 6) AS recall
-FROM parts JOIN guess USING (fold, o_orderstatus) GROUP BY fold"""
+FROM parts JOIN guess USING (fold, g) GROUP BY fold"""
 
 # --- training histories
 

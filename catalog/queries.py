@@ -590,9 +590,8 @@ def _group_shares(scored: DataFrame) -> DataFrame:
 def _(spark, sf):
     df, features = _grouped_orders(spark, sf)
     fitted = gf.fit_classifier(df, features, **SATURATED)
-    hits = gf.predict(fitted, df).groupBy("o_orderstatus", "prediction").agg(
+    return gf.predict(fitted, df).groupBy("o_orderstatus").agg(
         F.count("*").alias("n"), F.count_if(F.col("prediction") == F.col("label")).alias("hits"))
-    return hits
 
 
 @query("M5_predict_saturated")
@@ -611,8 +610,12 @@ def _(spark, sf):
 
 @query("M6_cross_validate_saturated")
 def _(spark, sf):
-    df, features = _grouped_orders(spark, sf)
-    folds = gf.cross_validate(gf.kfold_assign(df, key="o_orderkey"), features, **SATURATED)
+    """Four orders in five have their status as class, so the guess of a group is never tied."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.when(
+        F.col("o_orderpriority") == "5-LOW", "X").otherwise(F.col("o_orderstatus")).alias("kind"))
+    marks = {f"is_{v}": (F.col("o_orderstatus") == v).cast("double") for v in "OP"}
+    df = gf.encode_target(orders, "kind").withColumns(marks).select("o_orderkey", "label", *marks)
+    folds = gf.cross_validate(gf.kfold_assign(df, key="o_orderkey"), list(marks), **SATURATED)
     return rounded(folds.select("fold", "accuracy", "recall"))
 
 
