@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeframe.llm.text import letter_words, utf8
+from gaugeframe.llm.text import in_parts, letter_words, utf8
 from gaugeframe.sources.scratch import materialize
 
 WINDOW = 10
@@ -76,7 +76,7 @@ def _counts(vocabulary: dict[bytes, int]):
 
     def run(batches):
         ids, total = _term_ids(vocabulary), np.zeros(len(vocabulary) + 1, np.int64)
-        for batch in batches:
+        for batch in in_parts(batches, 0):
             for data in utf8(batch.column(0)):
                 total += np.bincount(ids(data) + 1, minlength=len(total))
         used = np.flatnonzero(total[1:])
@@ -127,7 +127,7 @@ def _postings(vocabulary: dict[bytes, int], anchors: Anchors | None):
 
     def run(batches):
         ids = _term_ids(vocabulary)
-        for batch in batches:
+        for batch in in_parts(batches, 1):
             keys, words, terms, places = [], [], [], []
             for data in utf8(batch.column(1)):
                 found = ids(data)

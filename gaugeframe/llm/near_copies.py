@@ -29,7 +29,7 @@ from gaugeframe.llm.blocks import (
     BLOCK, BLOCK_SETS, BLOCK_SHINGLES, alike, compare, linked, meetings)
 from gaugeframe.llm.components import components
 from gaugeframe.llm.rows import sized
-from gaugeframe.llm.text import mix, shingles, shingles_of, space_words, utf8
+from gaugeframe.llm.text import in_parts, mix, shingles, shingles_of, space_words, utf8
 from gaugeframe.sources.scratch import materialize
 
 BINS, BAND_ROWS = 128, 4
@@ -123,7 +123,7 @@ def _signatures(size: int, n_bands: int, rows: int):
 
     def run(batches):
         names = ["doc_id", "n_shingles", "set_key", "bands", "s1", "s2"]
-        for batch in batches:
+        for batch in in_parts(batches, 1):
             start = 0
             for texts in _parts(utf8(batch.column(1))):
                 ids = batch.column(0).slice(start, len(texts))
@@ -137,7 +137,7 @@ def _sets(size: int):
     schema = pa.schema([("id", pa.int64()), ("codes", pa.list_(pa.int64()))])
 
     def run(batches):
-        for batch in batches:
+        for batch in in_parts(batches, 1):
             codes = [shingles(space_words(data), size).view(np.int64)
                      for data in utf8(batch.column(1))]
             yield pa.RecordBatch.from_arrays(

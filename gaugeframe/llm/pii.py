@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeframe.llm.text import in_parts
+
 KINDS = ("email", "ip", "card", "phone", "address", "account")
 BASE = 4
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -185,7 +187,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         automaton = _automaton()
-        for batch in batches:
+        for batch in in_parts(batches, 1):
             rows = []
             for text in batch.column(1).to_pylist():
                 spans = find_spans(text, automaton) if text else []
@@ -207,12 +209,13 @@ def mask_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by ``[KIND]``; null texts and other columns stay."""
     out = "__gf_masked"
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.StringType())])
+    at = docs.columns.index(text)
 
     def run(batches):
         automaton = _automaton()
-        for batch in batches:
+        for batch in in_parts(batches, at):
             new = [t and masked(t, find_spans(t, automaton))
-                   for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+                   for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(new, pa.string())],
                 names=[*batch.schema.names, out])

@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from xxhash import xxh64_intdigest
 
+PART_BYTES = 1 << 21
+
 # Digits, ASCII letters (lower-cased) and every byte of a non-ASCII character stay.
 _KEPT = bytes(
     c + 32 if 0x41 <= c <= 0x5A else
@@ -22,6 +25,19 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def in_parts(batches, at: int, size: int = PART_BYTES):
+    """Slices of batches with about ``size`` bytes in a string column, so that what a task makes of
+    a batch stays small; a longer text is a slice of its own."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+        ends, start = np.cumsum(sizes.astype(np.int64)), 0
+        while start < len(ends):
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def space_words(data: bytes | None) -> list[bytes]:
     """Runs of anything but space, tab, line feed, VT, FF, CR; A-Z lower-cased."""
     return data.lower().split() if data else []

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeframe.llm.rows import crc32_fold
-from gaugeframe.llm.text import letter_words, utf8
+from gaugeframe.llm.text import in_parts, letter_words, utf8
 from gaugeframe.sources.scratch import materialize
 
 # Bounds of the training sample; drawn by a hash of the document id.
@@ -41,6 +41,8 @@ LEAST_LIFT = 25.0
 FOLDS = 5
 # Features that a task counts before it passes the counts on.
 HELD = 200_000
+# Words whose weights a task remembers.
+CACHED = 100_000
 PREFIXES = (4, 5, 6)
 
 
@@ -75,7 +77,7 @@ class Classifier:
             for f in seen:
                 total += weight(f)
             out[k] = total
-            if len(known) > 500_000:
+            if len(known) > CACHED:
                 known.clear()
         return 1 / (1 + np.exp(-np.clip(out, -50, 50)))
 
@@ -94,7 +96,7 @@ def _counts(batches):
         other.clear()
         return out
 
-    for batch in batches:
+    for batch in in_parts(batches, 0):
         for data, toxic in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
             (seen if toxic else other).update(features(data))
             if len(seen) + len(other) > HELD:
@@ -195,7 +197,7 @@ def _numbers(chosen: list[bytes]):
     wanted = {f: k for k, f in enumerate(chosen)}
 
     def run(batches):
-        for batch in batches:
+        for batch in in_parts(batches, 0):
             found = [sorted(wanted[f] for f in features(data) & wanted.keys())
                      for data in utf8(batch.column(0))]
             yield pa.RecordBatch.from_arrays(
@@ -269,7 +271,7 @@ def with_toxicity(docs: DataFrame, model: Classifier, score: str = "score") -> D
     at = docs.columns.index("text")
 
     def run(batches):
-        for batch in batches:
+        for batch in in_parts(batches, at):
             scores = model.scores(utf8(batch.column(at)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores, pa.float64())],
