@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from gaugeframe.llm.rows import sized
-from gaugeframe.llm.text import mix, space_words, utf8
+from gaugeframe.llm.text import in_parts, mix, space_words, utf8
 from gaugeframe.sources.scratch import materialize
 
 LONG, REACH, GROUP = 51, 16, 5
@@ -91,7 +91,7 @@ def _units(long: int, reach: int):
              pa.array(keys)], names=["row", "start", "key"])
 
     def run(batches):
-        for batch in batches:
+        for batch in in_parts(batches, 1):
             rows, texts, held = [], [], 0
             for row, data in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
                 rows.append(row)
