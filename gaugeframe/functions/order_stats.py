@@ -25,31 +25,35 @@ from gaugeframe.functions.columns import doubles, ident, ref, small_table, unpiv
 COUNTABLE = 10_000
 FIRST_BITS, BITS = 16, 12
 _MANTISSA, _BIAS = 52, 1023
-# Magnitudes outside of 2^-500 to 2^500 are brought there by this power of two first.
-_FAR, _SCALE = 500, 600
+_LEAST, _LARGEST = 2.0**-1022, math.nextafter(math.inf, 0)  # of the normal doubles
+
+
+def _ratio(size: Column, power: Column) -> Column:
+    """Bits of a normal double beyond those of a power of two that is at most one step away.
+
+    Doubles between two powers of two are evenly spaced, so the bits are a line with a bend at 1
+    and at 2. Every term is exact.
+    """
+    r = size / power - 1
+    line = F.least(r, F.lit(0.0)) * 2 + F.least(F.greatest(r, F.lit(0.0)), F.lit(1.0)) + (
+        F.greatest(r - 1, F.lit(0.0)) / 2)
+    return (line * float(1 << _MANTISSA)).cast("long")
 
 
 def image(value: Column) -> Column:
     """The order-preserving 64-bit image of a double that is not NaN; both zeros give 0.
 
-    Powers of two and the scaling by them are exact, so the logarithm only has to be right to
-    the nearest power, and its neighbours are tried.
+    The logarithm only has to be right to the nearest power of two. No part depends on a
+    condition, so that Spark computes the parts that occur several times once per row.
     """
     size = F.abs(value)
-    moved = F.when(size < 2.0**-_FAR, _SCALE).when(size > 2.0**_FAR, -_SCALE).otherwise(0)
-    near = size * F.when(size < 2.0**-_FAR, 2.0**_SCALE).when(
-        size > 2.0**_FAR, 2.0**-_SCALE).otherwise(1.0)
-    guess = F.floor(F.log2(near)).cast("int")
-    power = F.pow(F.lit(2.0), guess)
-    step = F.when(near < power, -1).when(near >= 2 * power, 1).otherwise(0)
-    fraction = near / (power * F.when(step == -1, 0.5).when(step == 1, 2.0).otherwise(1.0)) - 1
-    exponent = (guess + step - moved + _BIAS).cast("long")
-    bits = exponent * F.lit(1 << _MANTISSA) + (fraction * float(1 << _MANTISSA)).cast("long")
+    normal = F.least(F.greatest(size, F.lit(_LEAST)), F.lit(_LARGEST))
+    near = F.least(F.greatest(F.floor(F.log2(normal)), F.lit(1 - _BIAS)), F.lit(_BIAS))
+    bits = (near + _BIAS) * F.lit(1 << _MANTISSA) + _ratio(normal, F.pow(F.lit(2.0), near))
     # Below the smallest normal double the magnitude is a multiple of 2^-1074.
-    small = (size * 2.0**537 * 2.0**537).cast("long")
-    bits = (F.when(size == math.inf, F.lit(2047 << _MANTISSA)).when(size == 0, F.lit(0))
-            .when(size < 2.0**-1022, small).otherwise(bits))
-    return F.when(value < 0, -bits).otherwise(bits)
+    small = (F.least(size, F.lit(_LEAST)) * 2.0**537 * 2.0**537).cast("long")
+    bits = bits + small - F.lit(1 << _MANTISSA) + (size > _LARGEST).cast("long")
+    return bits * F.signum(value).cast("long")
 
 
 def _counted(values: DataFrame, slots: DataFrame | None = None) -> DataFrame:
