@@ -6,6 +6,7 @@ their images, with a map-side-combined ``groupBy(slot, digit)``. A slot is a ran
 holds the rank of a quantile; the digit that holds it is the slot of the next pass. A slot is
 done when its smallest and largest value are equal. The first pass looks at 16 bits, each further
 one at 12, so there are at most five; a slot with few values left is listed by value at once.
+Passes after the first read only columns with open slots, and take images only of values in them.
 
 Nothing is sketched, and no task holds more than the counts of one slot: 65,536 in the first pass,
 4,096 or ``countable`` later. The driver gets one row per column and rank.
@@ -59,16 +60,16 @@ def image(value: Column) -> Column:
 def _counted(values: DataFrame, slots: DataFrame | None = None) -> DataFrame:
     """``(slot, digit, n, low, high, upto)``: counts by digit, and counts up to each digit.
 
-    ``values`` holds ``(column_no, value, image)``, ``slots`` a few rows of
-    ``(slot, column_no, first, last, shift)``; without them a column is a slot, in the first bits.
+    ``values`` holds ``(column_no, value)``, ``slots`` a few rows of
+    ``(slot, column_no, least, most, shift)``; without them a column is a slot, in the first bits.
+    Slots are met by value, so that images are computed only of the values inside one.
     """
     if slots is None:
-        digits = values.selectExpr(
-            "column_no AS slot", f"shiftright(image, {64 - FIRST_BITS}) AS digit", "value")
+        inside = values.selectExpr("column_no AS slot", "value", f"{64 - FIRST_BITS} AS shift")
     else:
-        digits = values.join(F.broadcast(slots), "column_no").where(
-            "image BETWEEN first AND last").selectExpr(
-                "slot", "shiftright(image, shift) AS digit", "value")
+        inside = values.join(F.broadcast(slots), "column_no").where("value BETWEEN least AND most")
+    digits = inside.select("slot", F.call_function(
+        "shiftright", image(F.col("value")), F.col("shift")).alias("digit"), "value")
     counts = digits.groupBy("slot", "digit").agg(
         F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
     order = Window.partitionBy("slot").orderBy("digit")
@@ -88,11 +89,11 @@ def _between(low: float, high: float, part: float) -> float:
 
 @dataclass
 class _Slot:
-    """The images of one column from ``first`` on, counted in steps of 2^``shift``."""
+    """The values of one column from ``least`` to ``most``, counted in steps of 2^``shift``."""
 
     column: int
-    first: int
-    last: int
+    least: float
+    most: float
     shift: int
     asked: dict[int, int] = field(default_factory=dict)  # rank inside it: rank in the column
 
@@ -108,10 +109,9 @@ def _narrowed(slots: list[_Slot], found: list, known: dict, countable: int) -> l
             if r["low"] == r["high"]:
                 known[slot.column, rank] = r["low"]
                 continue
-            first, size = r["digit"] << slot.shift, 1 << slot.shift
             shift = 0 if r["n"] <= countable else max(0, slot.shift - BITS)
-            narrow = _Slot(slot.column, first, first + size - 1, shift)
-            nexts.setdefault((slot.column, first), narrow).asked[inner - before] = rank
+            narrow = _Slot(slot.column, r["low"], r["high"], shift)
+            nexts.setdefault((slot.column, r["low"]), narrow).asked[inner - before] = rank
     return list(nexts.values())
 
 
@@ -124,11 +124,14 @@ def exact_quantiles(
     most ``countable`` values is listed by value.
     """
     spark = df.sparkSession
-    values = unpivoted(doubles(df, cols), [[str(i), ident(c)] for i, c in enumerate(cols)],
-                       ["column_no", "value"]).where("value IS NOT NULL")
-    values = values.withColumn("image", image(F.col("value")))
+
+    def values(places: Sequence[int]) -> DataFrame:
+        return unpivoted(doubles(df, [cols[i] for i in places]),
+                         [[str(i), ident(cols[i])] for i in places],
+                         ["column_no", "value"]).where("value IS NOT NULL")
+
     # The first pass also tells the number of values, from which the ranks follow.
-    rows = _counted(values).withColumn("total", F.sum("n").over(Window.partitionBy("slot")))
+    rows = _counted(values(range(len(cols)))).withColumn("total", F.sum("n").over(Window.partitionBy("slot")))
     place = [F.floor(p * (F.col("total") - 1)).cast("long") for p in map(float, probs)]
     rows = rows.select("*", F.explode(F.array(*place)).alias("at"))
     rows = rows.select("*", F.explode(F.array(
@@ -137,17 +140,18 @@ def exact_quantiles(
 
     totals = {r["slot"]: r["total"] for r in found}
     known: dict[tuple[int, int], float] = {}  # of column and rank
-    slots = [_Slot(i, 0, 0, 64 - FIRST_BITS) for i in range(len(cols))]
+    slots = [_Slot(i, -math.inf, math.inf, 64 - FIRST_BITS) for i in range(len(cols))]
     for r in found:
         slots[r["slot"]].asked[r["rank"]] = r["rank"]
     slots = _narrowed(slots, found, known, countable)
     while slots:
-        table = small_table(spark, [(k, s.column, s.first, s.last, s.shift) for k, s in enumerate(slots)],
-                            "slot int, column_no int, first long, last long, shift int")
+        table = small_table(spark, [(k, s.column, s.least, s.most, s.shift) for k, s in enumerate(slots)],
+                            "slot int, column_no int, least double, most double, shift int")
         wanted = small_table(spark, [(k, inner) for k, s in enumerate(slots) for inner in s.asked],
                              "slot int, inner long")
         # A row per slot and rank on both sides.
-        found = _counted(values, table).join(F.broadcast(wanted), "slot").where(
+        open_columns = sorted({s.column for s in slots})
+        found = _counted(values(open_columns), table).join(F.broadcast(wanted), "slot").where(
             "upto - n <= inner AND inner < upto").drop("inner").distinct().collect()
         slots = _narrowed(slots, found, known, countable)
 
