@@ -90,6 +90,10 @@ def prepare(
     classes = encode.fit_target(rows, target)
     labelled = encode.apply_target(rows, target, classes, "label")
     labelled = split.stratified_split(labelled, "label", test, val, seed, KEY)
+    if fit_on == "train":
+        # Every parameter is learned from a scan of the training rows: stored, they are not hashed
+        # and looked up again each time.
+        labelled = materialize(labelled, "split-rows")
 
     # ``learn`` is what parameters are learned from; every step is applied to both tables.
     learn = rows if fit_on == "all" else labelled.where(F.col("split") == "train")

@@ -136,6 +136,15 @@ def test_prepare_can_learn_from_training_rows_only(spark):
     assert both["all"] == both["train"]
 
 
+def test_learning_from_training_rows_reads_stored_splits(spark):
+    df = spark.range(60).select("id", (F.col("id") % 7).cast("double").alias("x"),
+                                F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("y"))
+    ready = gf.prepare(df, "y", fit_on="train", key="id", exclude=["id"])
+    plan = ready.df._jdf.queryExecution().executedPlan().toString()
+    assert "md5(" not in plan and "Join" not in plan
+    assert ready.df.groupBy("split").count().count() == 3
+
+
 def test_prepare_refuses_timestamps(spark):
     df = spark.sql("select 1 as x, 'a' as y, timestamp'2024-01-01' as t")
     with pytest.raises(TypeError, match="neither numbers nor text"):
