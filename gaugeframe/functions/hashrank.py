@@ -128,7 +128,8 @@ def _narrowed(counts: DataFrame) -> list[tuple]:
 
 
 def _inside(keys: DataFrame, state: DataFrame, depth: int) -> DataFrame:
-    # The state has one row per (group, slot): the classes times two, or the folds.
-    prefix = F.substring(KEY, 1, depth)
+    # The state has one row per (group, slot): the classes times two, or the folds. A prefix that is
+    # never null keeps Spark from hashing every row once more to filter nulls; "-" is in no prefix.
+    prefix = F.coalesce(F.substring(KEY, 1, depth), F.lit("-"))
     return keys.join(
         F.broadcast(state), (F.col(GROUP) == F.col("grp")) & (prefix == F.col("prefix")), "inner")

@@ -3,6 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeframe.functions import hashrank
 from gaugeframe.operators.split import (
     class_quotas,
     kfold_assign,
@@ -58,6 +59,16 @@ def test_split_does_not_shuffle_rows(spark):
     assert "Exchange hashpartitioning" not in plan and "Window" not in plan
 
 
+def test_search_of_cutoffs_hashes_a_row_once(spark):
+    df = spark.range(10).union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    keys = df.select(hashrank.row_key(df, 42, "id").alias(hashrank.KEY), F.lit("=a").alias(hashrank.GROUP))
+    every = spark.createDataFrame([("=a", 0, "", 1, 10)], hashrank._STATE)
+    inside = hashrank._inside(keys, every, 0)
+    assert inside._jdf.queryExecution().executedPlan().toString().count("md5(") == 1
+    # A row without a key is in no prefix.
+    assert inside.count() == 10 and inside.where(F.col(hashrank.KEY).isNull()).count() == 0
+
+
 def test_one_class_and_tiny_class(spark):
     one = stratified_split(spark.range(20).withColumn("y", F.lit("a")), "y", key="id")
     assert {r["split"]: r["n"] for r in one.groupBy("split").agg(F.count("*").alias("n")).collect()
