@@ -98,7 +98,7 @@ def _(spark, sf):
     folds = _folds(_model_counts(spark, sf))
     gaps = spark_input(spark, sf, "orders_nulls")
     missing = gf.missing_totals(gaps, gf.clean_missing(gaps))
-    history = spark_input(spark, sf, "history").where("run_id <= 100")
+    history = spark_input(spark, sf, "history")
     tree = gf.results_tree(tests, cells, folds, history, missing=missing,
                            settings={"folds": 5, "target": "event_type"}, max_epochs=30)
     gf.write_metrics(tree, path)
